@@ -6,6 +6,7 @@ from brightledger.plans.registry import all_queries, all_sql
 
 MODULES = [
     "projections",
+    "relations",
 ]
 
 for _m in MODULES:
