@@ -175,11 +175,19 @@ def standings(matches: DataFrame, top: int = 2) -> DataFrame:
     return table.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= top)
 
 
-def dashboard(df: DataFrame, dims: Sequence[Column], measure: str | None = None, condition: Column | None = None) -> DataFrame:
-    """One measure by one or two dimensions: the row count, or the mean of ``measure`` with it."""
-    if condition is not None:
-        df = df.filter(condition)
-    aggs = [F.count("*").alias("n")]
-    if measure:
-        aggs.append(F.avg(measure).alias("avg_value"))
-    return df.groupBy(*dims).agg(*aggs)
+def dashboards(df: DataFrame, views: dict[str, tuple[Sequence[str], str | None, Column | None]]) -> DataFrame:
+    """Many saved views in one pass: ``name -> (one or two dimensions, averaged measure, row condition)``.
+
+    Each row turns into one cell per view, and the cells are counted and averaged map-side, so
+    the table is read (and any join under it done) once however many views there are.
+    """
+    cells = []
+    for name, (dims, measure, condition) in views.items():
+        first, second = (*dims, None)[:2]
+        cell = F.struct(
+            F.lit(name).alias("view_name"), F.col(first).cast("string").alias("dim_1"),
+            (F.col(second) if second else F.lit(None)).cast("string").alias("dim_2"),
+            (F.col(measure) if measure else F.lit(None)).cast("double").alias("value"))
+        cells.append(cell if condition is None else F.when(condition, cell))
+    return df.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("view_name", "dim_1", "dim_2").agg(
+        F.count("*").alias("n"), F.avg("value").alias("avg_value"))

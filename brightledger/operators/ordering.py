@@ -57,12 +57,12 @@ def with_position(df: DataFrame, order: Sequence[str | Column], by: Sequence[str
     """
     staged = _sorted_stage(df, by, order)
     by = list(by)
-    totals = staged.groupBy("_part", *by).agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
+    totals = staged.groupBy("_part", *by).agg(F.count("*").alias("_in_part"), F.min("_pos").alias("_first"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    totals = totals.withColumn("_before", F.coalesce(F.sum("_in_part").over(before), F.lit(0)))
     if count_name:
-        totals = totals.withColumn(count_name, F.sum("_n").over(Window.partitionBy(*by)))
-    out = _join_totals(staged, totals.drop("_n"), by)
+        totals = totals.withColumn(count_name, F.sum("_in_part").over(Window.partitionBy(*by)))
+    out = _join_totals(staged, totals.drop("_in_part"), by)
     return out.withColumn(name, F.col("_pos") - F.col("_first") + F.col("_before")).drop(
         "_part", "_pos", "_first", "_before")
 

@@ -7,6 +7,9 @@ from brightledger.plans.registry import all_queries, all_sql
 MODULES = [
     "projections",
     "relations",
+    "aggregations",
+    "windows",
+    "streams",
 ]
 
 for _m in MODULES:
