@@ -26,10 +26,17 @@ _TEXT = ["transaction_id", "customer_id", "merchant_id", "merchant_category", "p
 _WHOLE = ["amount", "commission_amount", "vat_amount", "total_amount", "risk_level"]
 
 
-def first_missing_key(value: Column) -> Column:
-    """Name of the first required key the JSON text lacks; NULL when complete or not JSON."""
-    keys = F.json_object_keys(value)
-    inner = F.json_object_keys(F.get_json_object(value, "$.location"))
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are evaluated once per row.
+
+    A plain projection would be inlined into every later filter and expression, parsing the
+    text again each time; a generated row is not.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def _first_missing(keys: Column, inner: Column) -> Column:
+    """Name of the first required key that is absent; NULL when complete."""
     missing = F.concat(
         F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]), keys),
         F.array_except(F.array(*[F.lit(k) for k in REQUIRED_LOCATION_KEYS]),
@@ -39,20 +46,22 @@ def first_missing_key(value: Column) -> Column:
 
 def parse_messages(df: DataFrame, value: str = "value") -> DataFrame:
     """Flatten and cast; adds ``reject_reason`` (malformed, missing:<key>, cast:<column> or NULL)."""
-    parsed = df.withColumn("_d", F.from_json(value, MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})).withColumn(
-        "_missing", first_missing_key(F.col(value)))
+    parsed = _once(df, {
+        "_d": F.from_json(value, MESSAGE_SCHEMA, {"mode": "PERMISSIVE"}),
+        "_keys": F.json_object_keys(value),
+        "_inner": F.json_object_keys(F.get_json_object(value, "$.location"))})
     fields = {c: F.col(f"_d.{c}") for c in _TEXT}
     fields |= {c: F.col(f"_d.{c}").try_cast("bigint") for c in _WHOLE}
     fields |= {c: F.col(f"_d.location.{c}").try_cast("double") for c in REQUIRED_LOCATION_KEYS}
-    fields |= {"device_info": F.col("_d.device_info"), "event_time": parse_event_time(F.col("_d.timestamp"))}
-    malformed = F.col("_d._corrupt_record").isNotNull() | F.col("_d").isNull() | F.json_object_keys(value).isNull()
-    bad_cast = F.array_compact(F.array(*[
-        F.when(F.col(c).isNull(), F.lit(c)) for c in [*_WHOLE, *REQUIRED_LOCATION_KEYS, "event_time"]]))
+    fields |= {"device_info": F.col("_d.device_info"), "event_time": parse_event_time(F.col("_d.timestamp")),
+               "_missing": _first_missing(F.col("_keys"), F.col("_inner"))}
+    typed = _once(parsed, fields)
+    malformed = F.col("_d._corrupt_record").isNotNull() | F.col("_d").isNull() | F.col("_keys").isNull()
     reason = F.when(malformed, "malformed").when(
-        F.col("_missing").isNotNull(), F.concat(F.lit("missing:"), "_missing")).when(
-        F.size("_bad") > 0, F.concat(F.lit("cast:"), F.col("_bad")[0]))
-    return parsed.withColumns(fields).withColumn(
-        "_bad", bad_cast).withColumn("reject_reason", reason).drop("_d", "_missing", "_bad")
+        F.col("_missing").isNotNull(), F.concat(F.lit("missing:"), "_missing"))
+    for c in [*_WHOLE, *REQUIRED_LOCATION_KEYS, "event_time"]:
+        reason = reason.when(F.col(c).isNull(), F.lit(f"cast:{c}"))
+    return typed.withColumn("reject_reason", reason).drop("_d", "_keys", "_inner", "_missing")
 
 
 def rule_codes(as_of: Column) -> Column:
