@@ -10,6 +10,8 @@ MODULES = [
     "aggregations",
     "windows",
     "streams",
+    "statistics",
+    "quality",
 ]
 
 for _m in MODULES:
