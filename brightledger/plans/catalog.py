@@ -12,6 +12,7 @@ MODULES = [
     "streams",
     "statistics",
     "quality",
+    "texts",
 ]
 
 for _m in MODULES:
