@@ -13,6 +13,7 @@ MODULES = [
     "statistics",
     "quality",
     "texts",
+    "graphs",
 ]
 
 for _m in MODULES:
