@@ -4,38 +4,64 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
+SHARE = 0.01
+SALTS = 32
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys holding more than ``share`` of all rows: at most ``1 / share`` of them."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*")).scalar()
-    return counts.filter(F.col("_n") > total * F.lit(share)).select(*keys)
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys)
 
 
-def salted_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner",
-                salts: int = 32, share: float = 0.01, spread_by: Sequence[str] | None = None) -> DataFrame:
-    """Join where rows of ``big`` with a heavy key are spread over ``salts`` partitions.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> list[int]:
+    """Hashes of the keys holding more than ``share`` of the rows (at most ``1 / share`` of them).
 
-    Only rows of ``other`` with a heavy key are copied, once per salt. The heavy-key list is
-    bounded by ``1 / share`` rows, so it is broadcast. Rows are spread by a hash of
-    ``spread_by`` (default: every column), so a retried task repeats its output.
+    Frequent-item counters find every such key in one pass over the key columns, without a
+    shuffle; a second pass counts only those few candidates.
+    """
+    hashed = df.select(key_hash(keys).alias("h"))
+    candidates = hashed.freqItems(["h"], share).first()[0]
+    if not candidates:
+        return []
+    counted = hashed.agg(F.count("*").alias("n"), F.count_if(F.col("h").isin(*candidates)).alias("c")).first()
+    if counted["c"] <= counted["n"] * share:
+        return []
+    rows = hashed.filter(F.col("h").isin(*candidates)).groupBy("h").agg(F.count("*").alias("n")).filter(
+        F.col("n") > counted["n"] * share).collect()
+    return [r["h"] for r in rows]
+
+
+def salted(df: DataFrame, keys: Sequence[str], hot: Sequence[int], spread_by: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Add ``_salt``: rows of hot keys are spread by a hash (a retried task repeats its output)."""
+    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    return df.withColumn("_salt", F.when(key_hash(keys).isin(*hot), spread).otherwise(0))
+
+
+def copied(df: DataFrame, keys: Sequence[str], hot: Sequence[int], salts: int = SALTS) -> DataFrame:
+    """Counterpart of ``salted``: only rows of hot keys are copied, once per salt."""
+    every = F.array(*[F.lit(i) for i in range(salts)])
+    return df.withColumn("_salt", F.explode(F.when(key_hash(keys).isin(*hot), every).otherwise(F.array(F.lit(0)))))
+
+
+def salted_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner", hot: Sequence[int] | None = None,
+                spread_by: Sequence[str] | None = None, salts: int = SALTS) -> DataFrame:
+    """Join with the rows of hot keys of ``big`` spread over ``salts`` partitions.
+
+    ``hot`` is the result of ``hot_keys`` where it is already known (a base table whose key runs
+    through several joins); otherwise it is found here. Without hot keys this is a plain join.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(how)
     keys = list(keys)
-    hot = F.broadcast(heavy_keys(big, keys, share).withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*(spread_by or big.columns)), F.lit(salts)).cast("int")
-    left = big.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
-    every = F.array(*[F.lit(i) for i in range(salts)])
-    right = other.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    if hot is None:
+        hot = hot_keys(big, keys)
+    if not hot:
+        return big.join(other, keys, how)
+    left = salted(big, keys, hot, spread_by or big.columns, salts)
+    return left.join(copied(other, keys, hot, salts), [*keys, "_salt"], how).drop("_salt")
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

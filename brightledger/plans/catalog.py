@@ -14,6 +14,7 @@ MODULES = [
     "quality",
     "texts",
     "graphs",
+    "learning",
 ]
 
 for _m in MODULES:
