@@ -15,6 +15,7 @@ MODULES = [
     "texts",
     "graphs",
     "learning",
+    "clusters",
 ]
 
 for _m in MODULES:
