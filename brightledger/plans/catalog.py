@@ -16,6 +16,7 @@ MODULES = [
     "graphs",
     "learning",
     "clusters",
+    "sources",
 ]
 
 for _m in MODULES:
