@@ -368,6 +368,15 @@ def _(t):
         F.lit(35.7), F.lit(51.4), F.col("lat"), F.col("lng")), "km"))
 
 
+@query("ud1_sql_function", with_views(TXN) + """, h AS (SELECT event_id,
+ pow(sin(radians(lat - 35.7::DOUBLE) / 2), 2) + cos(radians(35.7::DOUBLE)) * cos(radians(lat)) * pow(sin(radians(lng - 51.4::DOUBLE) / 2), 2) AS a FROM txn)
+SELECT event_id, round(6371.0::DOUBLE * 2 * asin(sqrt(a)), 5) AS km FROM h""")
+def _(t):
+    geometry.register_sql_functions(t.spark)
+    t.txn.createOrReplaceTempView("bl_txn")
+    return t.spark.sql("SELECT event_id, round(great_circle_km(35.7D, 51.4D, lat, lng), 5) AS km FROM bl_txn")
+
+
 @query("m2_numeric_functions", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(ln(l_extendedprice), 6) AS log_price,
 round(sqrt(l_quantity), 6) AS root, abs(l_quantity - 25) AS gap, round(pow(l_discount, 2), 6) AS square FROM lineitem""")
 def _(t):
