@@ -1,6 +1,8 @@
 """Streams: several batches equal the batch twin, restart, late rows, malformed messages."""
 
+import itertools
 import json
+import os
 import tempfile
 
 from pyspark.sql import functions as F
@@ -20,11 +22,16 @@ def message(i, when, customer="c", **extra):
     return json.dumps(m | extra)
 
 
+CLOCK = itertools.count(1_700_000_000)
+
+
 def put(base, name, lines):
-    import os
+    """Files are read in order of their time, which is set here so that it is never equal."""
     os.makedirs(f"{base}/in", exist_ok=True)
     with open(f"{base}/in/{name}", "w") as f:
         f.write("\n".join(lines) + "\n")
+    now = next(CLOCK)
+    os.utime(f"{base}/in/{name}", (now, now))
 
 
 def stream(spark, base, per_batch=1):
@@ -87,10 +94,11 @@ def test_row_behind_the_watermark_is_dropped(spark):
     base = folder()
     put(base, "a", [message(1, at(0))])
     put(base, "b", [message(2, at(30))])
-    put(base, "c", [message(3, at(0, 30))])
-    put(base, "d", [message(4, at(90))])
+    put(base, "c", [message(3, at(30, 10))])  # lateness is judged by the watermark of the batch before
+    put(base, "d", [message(4, at(0, 30))])
+    put(base, "e", [message(5, at(90))])
     out = io.run_to_table(queries.commission_by_type(stream(spark, base)), base).collect()
-    assert {str(r["window_start"]): r["total_commission"] for r in out} == {"2024-01-01 00:00:00": 2, "2024-01-01 00:30:00": 2}
+    assert {str(r["window_start"]): r["total_commission"] for r in out} == {"2024-01-01 00:00:00": 2, "2024-01-01 00:30:00": 4}
 
 
 def test_top_merchant_tie_takes_lowest_id(spark):
