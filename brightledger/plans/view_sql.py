@@ -25,7 +25,7 @@ GAPS = """gaps AS (
 BOXES = """boxes AS (
   SELECT 'img_' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS filename,
     lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || '_' || lpad(CAST(l_partkey AS VARCHAR), 8, '0') || '_' ||
-      lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS box_id,
+      lpad(CAST(l_suppkey AS VARCHAR), 8, '0') || '_' || lpad(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), 2, '0') AS box_id,
     640 AS width, 480 AS height,
     CASE WHEN z THEN 0 ELSE l_partkey % 500 END AS xmin,
     CASE WHEN z THEN 0 ELSE l_suppkey % 400 END AS ymin,

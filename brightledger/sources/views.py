@@ -69,14 +69,8 @@ def events_with_gaps(events: DataFrame) -> DataFrame:
         F.when(F.col("event_id") % 13 != 0, F.col("value")).alias("value"))
 
 
-BOX_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-
-
 def boxes(lineitem: DataFrame) -> DataFrame:
-    """One image per order; the four-column key identifies a box.
-
-    ``box_id`` packs that key into text that sorts as the key does.
-    """
+    """One image per order; ``box_id`` packs the key of a line and its quantity into text that sorts as they do."""
     zero = ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 50) == 0
     q = F.col("l_quantity").cast("int")
     xmin = (F.col("l_partkey") % 500).cast("int")
@@ -87,7 +81,7 @@ def boxes(lineitem: DataFrame) -> DataFrame:
 
     return lineitem.select(
         F.format_string("img_%08d", "l_orderkey").alias("filename"),
-        F.format_string("%03d_%08d_%08d", "l_linenumber", "l_partkey", "l_suppkey").alias("box_id"),
+        F.format_string("%03d_%08d_%08d_%02d", "l_linenumber", "l_partkey", "l_suppkey", q).alias("box_id"),
         F.lit(640).alias("width"), F.lit(480).alias("height"),
         unless_zero(xmin).alias("xmin"), unless_zero(ymin).alias("ymin"),
         unless_zero(xmin + 20 + 2 * q).alias("xmax"), unless_zero(ymin + 10 + q).alias("ymax"),
