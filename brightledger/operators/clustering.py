@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from brightledger.operators.components import connected_components
 from brightledger.operators.ordering import with_position
 from brightledger.operators.rows import seeded_sample
-from brightledger.operators.skew import salted_join
+from brightledger.operators.skew import hot_keys, salted_join
 from brightledger.session import materialise
 
 NOISE = -1
@@ -126,13 +126,14 @@ def density_clusters(df: DataFrame, eps: float, min_samples: int, key: str = "id
     cells = materialise(pts.groupBy("cx", "cy").agg(F.count("*").alias("n"), F.min("id").alias("node")), "cells")
     dense = cells.filter(F.col("n") >= min_samples)
     thin_cells = cells.filter(F.col("n") < min_samples)
-    crowd = pts.join(dense.select("cx", "cy", "node"), ["cx", "cy"])
+    hot = hot_keys(pts, ["cx", "cy"])
+    crowd = salted_join(pts, dense.select("cx", "cy", "node"), ["cx", "cy"], hot=hot, spread_by=["id"])
     thin = materialise(pts.join(thin_cells.select("cx", "cy"), ["cx", "cy"], "left_semi"), "thin")
     asks = thin.select(F.col("id").alias("p_id"), F.col("x").alias("px"), F.col("y").alias("py"), F.explode(_around()).alias("o")).select(
         "p_id", "px", "py", F.col("o.cx").alias("cx"), F.col("o.cy").alias("cy"))
     within = F.pow(F.col("px") - F.col("x"), F.lit(2)) + F.pow(F.col("py") - F.col("y"), F.lit(2)) <= eps * eps
     # thin point -> crowded cell: how many of its points are in reach
-    to_crowd = materialise(salted_join(crowd, asks, ["cx", "cy"], spread_by=["id"]).filter(within).groupBy("p_id", "node").agg(
+    to_crowd = materialise(salted_join(crowd, asks, ["cx", "cy"], hot=hot, spread_by=["id"]).filter(within).groupBy("p_id", "node").agg(
         F.count("*").alias("c")), "reach")
     # thin point -> thin point: both cells hold fewer than min_samples points
     to_thin = materialise(asks.join(thin, ["cx", "cy"]).filter(within).select("p_id", F.col("id").alias("q_id")), "reach")

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightledger.operators.skew import salted_join
+from brightledger.operators.skew import hot_keys, salted_join
 from brightledger.session import materialise
 
 
+ONE_TASK_LINKS = 1_000_000  # up to this many links even one hub's rows are an easy task
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, root): ``root`` is the smallest node of the component. ``edges`` has columns a, b.
 
@@ -17,20 +20,23 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     (hub nodes salted), so no neighbour list is ever gathered.
     """
     live = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    n_links = live.count()
     before = None
     for _ in range(max_rounds):
         both = live.select("u", "v").union(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.any_value("u")).alias("m"))
-        large = materialise(salted_join(both, low, ["u"], spread_by=["v"]).filter("v > u").select(
+        hubs = [] if n_links <= ONE_TASK_LINKS else hot_keys(both, ["u"])
+        large = materialise(salted_join(both, low, ["u"], hot=hubs, spread_by=["v"]).filter("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "links")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = salted_join(large, low, ["u"], spread_by=["v"])
+        hubs = [] if n_links <= ONE_TASK_LINKS else hot_keys(large, ["u"])
+        joined = salted_join(large, low, ["u"], hot=hubs, spread_by=["v"])
         live = materialise(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(
             low.select("u", F.col("m"))).distinct(), "links")
         now = live.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if before == now:
             break
-        before = now
+        before, n_links = now, now["n"]
     else:
         raise RuntimeError("components did not settle")
     roots = live.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightledger.functions.geometry import box_overlap_ratio, great_circle_km
 from brightledger.operators.rows import BOX_COLUMNS
+from brightledger.operators.skew import salted_join
 from brightledger.session import materialise
 
 
@@ -16,9 +17,9 @@ def above_average(txns: DataFrame, averages: DataFrame, key: str, factor: float)
     """Rows whose amount exceeds ``factor`` times the average of their key.
 
     ``averages`` holds one row per key. It grows with the data, so it carries no broadcast
-    hint: the planner broadcasts it only when its measured size allows.
+    hint: the planner broadcasts it only when its measured size allows. A hot key is spread.
     """
-    return txns.join(averages, key).filter(F.col("amount") > F.col("average_amount") * factor)
+    return salted_join(txns, averages, [key]).filter(F.col("amount") > F.col("average_amount") * factor)
 
 
 def pairs_within_seconds(events: DataFrame, key: str, seconds: int, time_column: str = "ts",
@@ -89,15 +90,6 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str], keep:
     return df.groupBy(*key).agg(best.alias("_r")).select(*key, *[F.col(f"_r.{c}").alias(c) for c in keep])
 
 
-def _cells(p: str, size: int) -> Column:
-    """Grid cells a box touches."""
-    def axis(lo, hi):
-        return F.sequence(F.floor(F.col(p + lo) / size), F.floor(F.col(p + hi) / size))
-
-    return F.flatten(F.transform(axis("xmin", "xmax"), lambda x: F.transform(
-        axis("ymin", "ymax"), lambda y: F.struct(x.alias("x"), y.alias("y")))))
-
-
 def overlapping_boxes(truth: DataFrame, guesses: DataFrame, image: str = "filename", truth_id: str = "box_id",
                       guess_id: str = "pred_id", cell: int = 64) -> DataFrame:
     """Overlapping (truth, guess) pairs per image with their overlap ratio.
@@ -107,12 +99,15 @@ def overlapping_boxes(truth: DataFrame, guesses: DataFrame, image: str = "filena
     """
     def side(df, ident, p):
         named = df.select(image, F.col(ident), *[F.col(c).alias(p + c) for c in BOX_COLUMNS])
-        return named.withColumn("_cell", F.explode(_cells(p, cell)))
+        for axis in ("x", "y"):  # the grid cells the box touches
+            first, last = (F.floor(F.col(f"{p}{axis}{end}") / cell).cast("int") for end in ("min", "max"))
+            named = named.withColumn(f"_cell_{axis}", F.explode(F.sequence(first, last)))
+        return named
 
-    pairs = side(truth, truth_id, "t_").join(side(guesses, guess_id, "g_"), [image, "_cell"])
+    pairs = side(truth, truth_id, "t_").join(side(guesses, guess_id, "g_"), [image, "_cell_x", "_cell_y"])
     corner_x = F.floor(F.greatest("t_xmin", "g_xmin") / cell)
     corner_y = F.floor(F.greatest("t_ymin", "g_ymin") / cell)
-    home = (F.col("_cell.x") == corner_x) & (F.col("_cell.y") == corner_y)
+    home = (F.col("_cell_x") == corner_x) & (F.col("_cell_y") == corner_y)
     ratio = box_overlap_ratio("t_", "g_")
     return pairs.filter(home).withColumn("iou", ratio).filter("iou > 0").select(image, truth_id, guess_id, "iou")
 

@@ -92,12 +92,15 @@ def word_frequency(df: DataFrame, token_list: str, excluded: Sequence[str] = (),
 
 def ngrams(c: Column, n: int) -> Column:
     """Space-joined runs of ``n`` tokens of one list."""
+    if n == 1:
+        return c
     starts = F.when(F.size(c) >= n, F.sequence(F.lit(1), F.size(c) - (n - 1))).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.array_join(F.slice(c, i, n), " "))
 
 
-def top_ngrams(df: DataFrame, text: str, n: int = 1, k: int = 20) -> DataFrame:
-    grams = df.select(words(F.col(text)).alias("w")).select(F.explode(ngrams(F.col("w"), n)).alias("ngram"))
+def top_ngrams(df: DataFrame, word_list: Column, n: int = 1, k: int = 20) -> DataFrame:
+    """Top-k runs of ``n`` words; ``word_list`` is usually ``words(text)``."""
+    grams = df.select(word_list.alias("w")).select(F.explode(ngrams(F.col("w"), n)).alias("ngram"))
     return grams.groupBy("ngram").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ngram").limit(k)
 
 

@@ -12,7 +12,7 @@ from brightledger.operators import text as tx
 from brightledger.operators.evaluation import classification_summary
 from brightledger.plans.registry import query
 from brightledger.plans.view_sql import GAPS, with_views
-from brightledger.session import materialise, scratch_path
+from brightledger.session import materialise, scratch_path, well_split
 
 DIMS = 64
 
@@ -64,7 +64,7 @@ def class_vectors(t):
 
 def price_rows(t):
     cols = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-    rows = t.lineitem.withColumn("key", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), F.lit(2 ** 31)))
+    rows = well_split(t.lineitem).withColumn("key", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), F.lit(2 ** 31)))
     v = VectorAssembler(inputCols=cols, outputCol="features").transform(rows)
     return materialise(v.select("key", "features", F.col("l_extendedprice").alias("label")), "prices")
 
@@ -211,14 +211,14 @@ def _(t):
 
 @query("l25_word_vectors")
 def _(t):
-    docs = t.documents.select("doc_id", tx.words(F.col("text")).alias("w"))
+    docs = t.texts.select("doc_id", tx.words(F.col("text")).alias("w"))
     model = m.word_vectors(docs, "w", dims=100, window=5, min_count=1, partitions=8)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
 @query("x18_embedding_table")
 def _(t):
-    docs = t.documents.select("doc_id", "text").dropDuplicates(["doc_id", "text"]).withColumn("w", tx.words(F.col("text")))
+    docs = t.texts.select("doc_id", "text").dropDuplicates(["doc_id", "text"]).withColumn("w", tx.words(F.col("text")))
     docs = materialise(docs, "tokens")
     model = m.word_vectors(docs, "w", dims=32, window=5, min_count=5, partitions=8)
     return materialise(model.transform(docs).select("doc_id", "text", vector_to_array("vector", "float32").alias("embedding")), "vectors")

@@ -30,9 +30,9 @@ def _(t):
 def _(t):
     path = scratch_path(t.spark, "questions")
     one = F.struct(F.col("answer_turn").cast("string").alias("CID"), F.col("answer").alias("CBody"))
-    # a thread's turns form one document by the format's own definition
-    docs = t.qa.groupBy(F.col("conv_id").cast("string").alias("QID"), F.col("question").alias("QBody")).agg(
-        F.collect_list(F.when(F.col("answer_turn").isNotNull(), one)).alias("Comments"))
+    # one document per answer: a long thread is never gathered into one row
+    docs = t.qa.select(F.col("conv_id").cast("string").alias("QID"), F.col("question").alias("QBody"),
+                       F.when(F.col("answer_turn").isNotNull(), F.array(one)).alias("Comments"))
     docs.write.json(path)
     return files.read_questions(t.spark, path, one_document_per_file=False).select("QID", "question_body", "answer_id", "answer_body")
 

@@ -14,6 +14,7 @@ from brightledger.operators.ordering import with_position
 from brightledger.plans.registry import query
 from brightledger.plans.statistics import rounded
 from brightledger.plans.view_sql import QA, with_views
+from brightledger.session import materialise
 
 _VARIANTS = "translate({c}, 'يكةۀؤإأآ' || chr(8204) || chr(8203), 'یکههوااا ')"
 _CLEAN = (r"trim(regexp_replace(regexp_replace(regexp_replace({c}, '[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}]+', '', 'g'), "
@@ -29,7 +30,7 @@ def noisy(t):
     c = F.translate("text", "ei", "يك")
     c = F.replace(c, F.lit("."), F.lit(".!\U0001F600"))
     c = F.replace(c, F.lit(" a"), F.lit("\u200ba"))
-    return t.documents.select("doc_id", F.replace(c, F.lit(", "), F.lit("\u200c")).alias("text"))
+    return t.texts.select("doc_id", F.replace(c, F.lit(", "), F.lit("\u200c")).alias("text"))
 
 
 @query("x1_unify_letters", f"SELECT doc_id, {_VARIANTS.format(c=_NOISY)} AS text FROM documents")
@@ -40,7 +41,7 @@ def _(t):
 @query("x1_unify_accents", "SELECT doc_id, translate(text, 'éèêçñóíä', 'eeecnoia') AS text FROM documents")
 def _(t):
     accents = {"é": "e", "è": "e", "ê": "e", "ç": "c", "ñ": "n", "ó": "o", "í": "i", "ä": "a"}
-    return t.documents.select("doc_id", tx.unify_letters(F.col("text"), accents, "").alias("text"))
+    return t.texts.select("doc_id", tx.unify_letters(F.col("text"), accents, "").alias("text"))
 
 
 @query("x2_clean_punctuation", f"SELECT doc_id, {_CLEAN.replace('{c}', _NOISY)} AS text FROM documents")
@@ -59,7 +60,7 @@ _MARKED = "replace(replace(text, 'é', 'e' || chr(1611)), 'ñ', 'n' || chr(1618)
 
 def marked(t):
     c = F.replace(F.col("text"), F.lit("é"), F.lit("e\u064b"))
-    return t.documents.select("doc_id", F.replace(c, F.lit("ñ"), F.lit("n\u0652")).alias("text"))
+    return t.texts.select("doc_id", F.replace(c, F.lit("ñ"), F.lit("n\u0652")).alias("text"))
 
 
 @query("x4_marks_present", " UNION ALL ".join(
@@ -79,7 +80,7 @@ _TOKENS = r"string_split(trim(regexp_replace(text, '[\s]+', ' ', 'g')), ' ')"
 
 @query("x6_tokens", f"SELECT doc_id, len({_TOKENS}) AS n_tokens, array_to_string({_TOKENS}, '|') AS joined FROM documents")
 def _(t):
-    tok = t.documents.select("doc_id", tx.tokens(F.col("text")).alias("t"))
+    tok = t.texts.select("doc_id", tx.tokens(F.col("text")).alias("t"))
     return tok.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.array_join("t", "|").alias("joined"))
 
 
@@ -89,7 +90,7 @@ _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 @query("x7_stop_words", f"SELECT doc_id, len({_TOKENS}) AS n_with, len(list_filter({_TOKENS}, lambda w: w NOT IN ({_STOPS}))) AS n_without, array_to_string(list_filter({_TOKENS}, lambda w: w NOT IN ({_STOPS})), ' ') AS kept FROM documents")
 def _(t):
-    tok = t.documents.select("doc_id", tx.tokens(F.col("text")).alias("t"))
+    tok = t.texts.select("doc_id", tx.tokens(F.col("text")).alias("t"))
     kept = tok.withColumn("k", tx.without_stop_words(F.col("t"), STOP_WORDS))
     return kept.select("doc_id", F.size("t").cast("bigint").alias("n_with"), F.size("k").cast("bigint").alias("n_without"),
                        F.array_join("k", " ").alias("kept"))
@@ -108,18 +109,18 @@ def _short_sql():
 @query("x8_shorten_repeats", f"SELECT doc_id, {_short_sql()} AS text FROM documents")
 def _(t):
     stretched = F.replace(F.replace(F.col("text"), F.lit("on"), F.lit("onnnn")), F.lit("a"), F.lit("aaa"))
-    return t.documents.select("doc_id", F.array_join(tx.shorten_repeats(tx.tokens(stretched)), " ").alias("text"))
+    return t.texts.select("doc_id", F.array_join(tx.shorten_repeats(tx.tokens(stretched)), " ").alias("text"))
 
 
 @query("x9_replace_words", f"SELECT doc_id, array_to_string(list_transform({_TOKENS}, lambda w: CASE w WHEN 'the' THEN 'article' WHEN 'la' THEN 'artículo' WHEN 'and' THEN 'link' ELSE w END), ' ') AS text FROM documents")
 def _(t):
     swapped = tx.replace_words(tx.tokens(F.col("text")), {"the": "article", "la": "artículo", "and": "link"})
-    return t.documents.select("doc_id", F.array_join(swapped, " ").alias("text"))
+    return t.texts.select("doc_id", F.array_join(swapped, " ").alias("text"))
 
 
 @query("x10_word_frequency", f"""SELECT word, count(*) AS n FROM (SELECT unnest({_TOKENS}) AS word FROM documents) WHERE word NOT IN ('.', ',', '!', '?', '-', ':') GROUP BY 1 ORDER BY n DESC, word LIMIT 50""")
 def _(t):
-    tok = t.documents.select(tx.tokens(F.col("text")).alias("t"))
+    tok = t.texts.select(tx.tokens(F.col("text")).alias("t"))
     return tx.word_frequency(tok, "t", [".", ",", "!", "?", "-", ":"], 50)
 
 
@@ -130,9 +131,9 @@ _WORDS = r"regexp_extract_all(lower(text), '[\pL\pN_\pM]{2,}')"
     f"SELECT * FROM (SELECT CAST({n} AS INTEGER) AS size, array_to_string(list_slice(w, i, i + {n - 1}), ' ') AS ngram, count(*) AS n FROM (SELECT w, unnest(generate_series(1, len(w) - {n - 1})) AS i FROM w) GROUP BY 2 ORDER BY n DESC, ngram LIMIT 20)"
     for n in (1, 2, 3)))
 def _(t):
-    out = None
+    out, tokens = None, materialise(t.texts.select(tx.words(F.col("text")).alias("w")), "tokens")
     for n in (1, 2, 3):
-        part = tx.top_ngrams(t.documents, "text", n).select(F.lit(n).alias("size"), "ngram", "n")
+        part = tx.top_ngrams(tokens, F.col("w"), n).select(F.lit(n).alias("size"), "ngram", "n")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -222,17 +223,18 @@ FROM qt JOIN post p USING (term) JOIN df USING (term) JOIN len USING (doc_id), s
 kw AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM sc) """
 
 
-def keyword_queries(t):
+def keyword_queries(tokens):
     """The three most frequent longer words of each language."""
-    counted = t.documents.select(F.col("lang").alias("query_id"), F.explode(tx.words(F.col("text"))).alias("term")).filter(
+    counted = tokens.select(F.col("lang").alias("query_id"), F.explode("w").alias("term")).filter(
         F.length("term") >= 4).groupBy("query_id", "term").agg(F.count("*").alias("n"))
     w = Window.partitionBy("query_id").orderBy(F.desc("n"), "term")
     return counted.withColumn("r", F.row_number().over(w)).filter("r <= 3").select("query_id", "term")
 
 
 def keyword_ranking(t, k):
-    postings, lengths = rt.build_index(t.documents, "doc_id", tx.words(F.col("text")))
-    return rt.keyword_search(postings, lengths, keyword_queries(t), k)
+    tokens = materialise(t.texts.select("doc_id", "lang", tx.words(F.col("text")).alias("w")), "tokens")
+    postings, lengths = rt.build_index(tokens, "doc_id", F.col("w"))
+    return rt.keyword_search(postings, lengths, materialise(keyword_queries(tokens), "asked"), k)
 
 
 @query("x15_keyword_search", "WITH " + _BM25 + "SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM kw WHERE rank <= 5")
@@ -246,7 +248,7 @@ FROM (SELECT * FROM kw WHERE rank <= 50) a FULL JOIN (SELECT * FROM ln WHERE ran
 SELECT query_id, id, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) AS rank FROM f) WHERE rank <= 5""")
 def _(t):
     w = Window.partitionBy("query_id").orderBy(F.desc("n_chars"), "id")
-    longest = t.documents.select(F.col("lang").alias("query_id"), F.col("doc_id").alias("id"), "n_chars").withColumn(
+    longest = t.texts.select(F.col("lang").alias("query_id"), F.col("doc_id").alias("id"), "n_chars").withColumn(
         "rank", F.row_number().over(w)).filter("rank <= 50")
     out = rt.fuse(keyword_ranking(t, 50), longest, 5)
     return out.select("query_id", "id", F.round("score", 9).alias("score"), "rank")
@@ -259,7 +261,7 @@ SELECT doc_id, round(coalesce(a, 0), 6) AS v_first, round(coalesce(b, 0), 6) AS
 
 @query("r8_mean_word_vectors", _R8)
 def _(t):
-    docs = t.documents.select("doc_id", tx.words(F.col("text")).alias("w"))
+    docs = materialise(t.texts.select("doc_id", tx.words(F.col("text")).alias("w")), "tokens")
     by_count = with_position(tx.word_frequency(docs, "w"), [F.desc("n"), "word"], name="vec_id")
     vocabulary = by_count.join(t.embeddings, "vec_id").select("word", F.col("embedding").alias("vector"))
     v = rt.mean_word_vectors(docs, "doc_id", "w", vocabulary, DIMS)
@@ -271,4 +273,4 @@ def _(t):
     def character_profile(texts):
         return [[len(x), sum(map(str.isupper, x)), x.count(" ")] for x in texts]
 
-    return rt.embed_texts(t.documents, "doc_id", "text", character_profile, 3).select("doc_id", "embedding")
+    return rt.embed_texts(t.texts, "doc_id", "text", character_profile, 3).select("doc_id", "embedding")

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brightledger.session import well_split
 from brightledger.sources import views
 
 SCHEMAS = {
@@ -62,7 +63,7 @@ class Tables:
 
     @cached_property
     def txn_json(self) -> DataFrame:
-        return views.transaction_messages(self.events)
+        return views.transaction_messages(well_split(self.events))
 
     @cached_property
     def events_with_gaps(self) -> DataFrame:
@@ -70,7 +71,7 @@ class Tables:
 
     @cached_property
     def boxes(self) -> DataFrame:
-        return views.boxes(self.lineitem)
+        return views.boxes(well_split(self.lineitem))
 
     @cached_property
     def ratings(self) -> DataFrame:
@@ -92,6 +93,11 @@ class Tables:
     def qa(self) -> DataFrame:
         return views.question_answers(self.conversations)
 
+    @cached_property
+    def texts(self) -> DataFrame:
+        """``documents``, split for costly text work."""
+        return well_split(self.documents)
+
     @cached_property
     def probs(self) -> DataFrame:
         return views.class_probabilities(self.embeddings)

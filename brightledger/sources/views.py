@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brightledger.operators.skew import salted_join
+
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -96,9 +98,12 @@ def predicted_boxes(b: DataFrame) -> DataFrame:
 
 
 def ratings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
-    return joined.groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id")).agg(
-        F.avg(1 + F.col("l_quantity").cast("int") % 5).alias("label"))
+    """Mean score of a part by a customer. Lines are summed per order and part before the join."""
+    scores = lineitem.groupBy("l_orderkey", F.col("l_partkey").alias("item_id")).agg(
+        F.sum(1 + F.col("l_quantity").cast("int") % 5).alias("_s"), F.count("*").alias("_c"))
+    joined = scores.join(orders, scores.l_orderkey == orders.o_orderkey)
+    return joined.groupBy(F.col("o_custkey").alias("user_id"), "item_id").agg(
+        (F.sum("_s") / F.sum("_c")).alias("label"))
 
 
 def edges(customer: DataFrame) -> DataFrame:
@@ -141,7 +146,10 @@ def question_answers(conversations: DataFrame) -> DataFrame:
         F.min_by("text", "turn").alias("question"))
     answers = conversations.filter(F.col("role") == "assistant").select(
         "conv_id", F.col("turn").alias("answer_turn"), F.col("text").alias("answer"))
-    return question.join(answers, "conv_id", "left").select("conv_id", "question", "answer_turn", "answer")
+    answered = salted_join(answers, question, ["conv_id"], spread_by=["answer_turn"])
+    silent = question.join(answers, "conv_id", "left_anti").select(
+        "*", F.lit(None).cast("bigint").alias("answer_turn"), F.lit(None).cast("string").alias("answer"))
+    return answered.select(*silent.columns).unionByName(silent)
 
 
 def class_probabilities(embeddings: DataFrame) -> DataFrame:

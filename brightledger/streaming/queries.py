@@ -71,12 +71,14 @@ def distance_alerts(txns: DataFrame, seconds: int = 300, km: float = 50.0, delay
         start, end = F.col("ts_1"), F.col("ts_2")
     else:
         base = watermarked(txns, delay)
-        a = base.select("customer_id", *[F.col(c).alias(f"{c}_1") for c in ("ts", "lat", "lng")])
-        b = base.select(F.col("customer_id").alias("_c"), *[F.col(c).alias(f"{c}_2") for c in ("ts", "lat", "lng")])
+        # both sides meet on (customer, time slot), so one busy customer's state is spread over time
+        slot = F.floor(F.unix_timestamp("ts") / seconds)
+        a = base.select("customer_id", F.explode(F.array(slot, slot + 1)).alias("_slot_1"), *[F.col(c).alias(f"{c}_1") for c in ("ts", "lat", "lng")])
+        b = base.select(F.col("customer_id").alias("_c"), slot.alias("_slot_2"), *[F.col(c).alias(f"{c}_2") for c in ("ts", "lat", "lng")])
         gap = F.unix_timestamp("ts_2") - F.unix_timestamp("ts_1")
         # one second wider than the whole-second rule below, only to bound the state
         bounds = F.expr(f"ts_2 >= ts_1 AND ts_2 <= ts_1 + INTERVAL {seconds + 1} SECONDS")
-        pairs = a.join(b, (F.col("customer_id") == F.col("_c")) & bounds).filter((gap > 0) & (gap <= seconds))
+        pairs = a.join(b, (F.col("customer_id") == F.col("_c")) & (F.col("_slot_1") == F.col("_slot_2")) & bounds).filter((gap > 0) & (gap <= seconds))
         far = great_circle_km(*[F.col(c) for c in ("lat_1", "lng_1", "lat_2", "lng_2")]) > km
         out, start, end = pairs.filter(far), F.col("ts_1"), F.col("ts_2")
     return _alert(out, "GEOGRAPHICAL_IMPOSSIBILITY", f"Transactions >{km:g}km apart within {seconds} seconds", start, end)
