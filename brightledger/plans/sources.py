@@ -86,9 +86,9 @@ def _(t):
     return io.run_to_table(rows, scratch_path(t.spark, "messages"))
 
 
-@query("s14_stream_keyed_messages", with_views(TXN) + """SELECT customer_id AS key, '{"customer_id":"' || customer_id || '","amount":' || amount || '}' AS value FROM txn WHERE amount > 100000""")
+@query("s14_stream_keyed_messages", with_views(TXN) + """SELECT customer_id AS key, '{"customer_id":"' || customer_id || '","amount":' || amount || '}' AS value FROM txn""")
 def _(t):
-    rows = keyed_message(stream_of(t).filter("amount > 100000").select("customer_id", "amount"), "customer_id")
+    rows = keyed_message(stream_of(t).select("customer_id", "amount"), "customer_id")
     return io.run_to_table(rows, scratch_path(t.spark, "keyed"))
 
 

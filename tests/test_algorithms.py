@@ -69,7 +69,7 @@ def test_touching_boxes_do_not_overlap(spark):
     assert joins.greedy_matches(joins.overlapping_boxes(a, b)).isEmpty()
 
 
-def reference_density(points, eps, m):
+def plain_density(points, eps, m):
     n = len(points)
     near = [[j for j in range(n) if (points[i][0] - points[j][0]) ** 2 + (points[i][1] - points[j][1]) ** 2 <= eps * eps] for i in range(n)]
     core = [len(x) >= m for x in near]
@@ -98,7 +98,7 @@ def test_density_clusters(spark, seed, eps, m):
     pts = [(float(x), float(y)) for x, y in pts]
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "id int, x double, y double")
     got = {r["id"]: r["label"] for r in clustering.density_clusters(df, eps, m).collect()}
-    assert [got[i] for i in range(len(pts))] == reference_density(pts, eps, m)
+    assert [got[i] for i in range(len(pts))] == plain_density(pts, eps, m)
 
 
 def test_density_on_a_grid(spark):
@@ -106,7 +106,7 @@ def test_density_on_a_grid(spark):
     pts = [(x * 1.0, y * 1.0) for x in range(6) for y in range(6)] + [(20.0, 0.0)] * 12 + [(21.0001, 0.0)] * 12 + [(30.0, 0.0)] * 12 + [(31.0, 0.0)] * 12
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "id int, x double, y double")
     got = {r["id"]: r["label"] for r in clustering.density_clusters(df, 1.0, 4).collect()}
-    assert [got[i] for i in range(len(pts))] == reference_density(pts, 1.0, 4)
+    assert [got[i] for i in range(len(pts))] == plain_density(pts, 1.0, 4)
 
 
 def test_density_all_noise(spark):
