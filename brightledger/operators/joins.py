@@ -112,13 +112,20 @@ def overlapping_boxes(truth: DataFrame, guesses: DataFrame, image: str = "filena
     return pairs.filter(home).withColumn("iou", ratio).filter("iou > 0").select(image, truth_id, guess_id, "iou")
 
 
-def best_overlap(truth: DataFrame, guesses: DataFrame, image: str = "filename", truth_id: str = "box_id",
-                 guess_id: str = "pred_id", cell: int = 64) -> DataFrame:
-    """Best overlap of every truth box; 0 where nothing overlaps."""
-    best = overlapping_boxes(truth, guesses, image, truth_id, guess_id, cell).groupBy(image, truth_id).agg(
-        F.max("iou").alias("best_iou"))
-    return truth.select(image, truth_id).join(best, [image, truth_id], "left").withColumn(
-        "best_iou", F.coalesce("best_iou", F.lit(0.0)))
+def best_overlap(truth: DataFrame, guesses: DataFrame, image: str = "filename", truth_id: str = "box_id", cell: int = 64) -> DataFrame:
+    """Best overlap of every truth box; 0 where nothing overlaps.
+
+    Equal boxes of an image are merged before they are compared, so the work in a crowded image
+    follows its distinct boxes; the result is then handed to every row with that box.
+    """
+    box = F.struct(*BOX_COLUMNS)
+    distinct_truth, distinct_guesses = (
+        df.select(image, *BOX_COLUMNS).distinct().withColumn("_box", box) for df in (truth, guesses))
+    pairs = overlapping_boxes(distinct_truth, distinct_guesses.withColumnRenamed("_box", "_guess"), image, "_box", "_guess", cell)
+    best = pairs.groupBy(image, "_box").agg(F.max("iou").alias("best_iou"))
+    rows = truth.select(image, truth_id, box.alias("_box"))
+    return salted_join(rows, best, [image, "_box"], "left", spread_by=[truth_id]).select(
+        image, truth_id, F.coalesce("best_iou", F.lit(0.0)).alias("best_iou"))
 
 
 def greedy_matches(pairs: DataFrame, image: str = "filename", truth_id: str = "box_id", guess_id: str = "pred_id",
