@@ -122,9 +122,9 @@ def best_overlap(truth: DataFrame, guesses: DataFrame, image: str = "filename",
     distinct_truth, distinct_guesses = (
         df.select(image, *BOX_COLUMNS).distinct().withColumn("_box", box) for df in (truth, guesses))
     pairs = overlapping_boxes(distinct_truth, distinct_guesses.withColumnRenamed("_box", "_guess"), image, "_box", "_guess", cell)
-    best = pairs.groupBy(image, "_box").agg(F.max("iou").alias("best_iou"))
-    rows = truth.select(image, truth_id, box.alias("_box"))
-    return salted_join(rows, best, [image, "_box"], "left", spread_by=[truth_id]).select(
+    best = pairs.groupBy(image, "_box").agg(F.max("iou").alias("best_iou")).select(image, "_box.*", "best_iou")
+    rows = truth.select(image, truth_id, *BOX_COLUMNS)
+    return salted_join(rows, best, [image, *BOX_COLUMNS], "left", spread_by=[truth_id]).select(
         image, truth_id, F.coalesce("best_iou", F.lit(0.0)).alias("best_iou"))
 
 
