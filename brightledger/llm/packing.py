@@ -19,8 +19,9 @@ LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 #: Tokens that are packed together, about; what a task holds.
 LOT = 1 << 20
 #: Words whose ids a worker keeps.
-MAX_WORDS = 600_000
-_GAPS = str.maketrans(dict.fromkeys("\t\n\r\x0b\x0c", " "))
+MAX_WORDS = 1_000_000
+#: New words that are encoded in one call, parted by a character that is a token of its own between spaces.
+JOINED, PARTING = 256, "\x01"
 
 
 class WordIds(dict):
@@ -33,16 +34,36 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.parting = self.tokenizer.encode(PARTING, add_special_tokens=False).ids
+        if len(self.parting) != 1:
+            raise ValueError("the parting character is not one token")
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return ids
+
+    def learn(self, words: list[str]) -> None:
+        """Words that hold the parting character are left to ``__missing__``."""
+        words = [w for w in words if PARTING not in w]
+        parts = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        texts = [f" {PARTING} ".join(p) for p in parts]
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids, at = np.array(e.ids, "<u4"), 0
+            raw, ends = ids.tobytes(), [*np.flatnonzero(ids == self.parting[0]).tolist(), len(ids)]
+            for word, end in zip(part, ends, strict=True):
+                self[word] = raw[4 * at:4 * end]
+                at = end + 1
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.translate(_GAPS).split(" ") for t in texts]
-        new = list(set().union(*split).difference(self)) if split else []
+        for gap in "\t\n\r\x0b\x0c":
+            texts = [t.replace(gap, " ") for t in texts]
+        split = [t.split(" ") for t in texts]
+        every = set().union(*split)
+        new = every.difference(self)
         if len(self) + len(new) > MAX_WORDS:
             self.clear()
-            new = list(set().union(*split))
-        for i in range(0, len(new), 50_000):
-            for word, e in zip(new[i:i + 50_000], self.tokenizer.encode_batch_fast(new[i:i + 50_000], add_special_tokens=False)):
-                self[word] = np.array(e.ids, "<u4").tobytes()
+            new = every
+        self.learn(list(new))
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 

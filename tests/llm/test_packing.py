@@ -12,7 +12,7 @@ TOKENIZER = Tokenizer.from_file(packing.default_tokenizer())
 WORDS = packing.word_ids(packing.default_tokenizer())
 
 
-@given(st.text(max_size=80) | st.lists(st.sampled_from(["It's", " ", "\n", "́a", "İ", "ΑΣ", "<|endoftext|>", "\x1c", " ", "12", "don't", "é"]), max_size=20).map("".join))
+@given(st.text(max_size=80) | st.lists(st.sampled_from(["It's", " ", "\n", "́a", "İ", "ΑΣ", "<|endoftext|>", "\x1c", " ", "12", "don't", "é", "\x01", ".\x01"]), max_size=20).map("".join))
 @settings(max_examples=500, deadline=None)
 def test_ids_word_by_word(text):
     assert np.frombuffer(WORDS.encode([text])[0], "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
