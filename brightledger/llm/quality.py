@@ -16,6 +16,8 @@ SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Metrics per thousand, with the least spread (quartile distance) that a threshold assumes.
 SPREADS = {"word_length": 500, "symbols": 25, "dup_lines": 75, "repeats": 75, "capitals": 75, "shouts": 60}
+#: Lines added to a text's own for the share of repeated ones: one line found twice says little in a text of three.
+FEW_LINES = 5
 #: A document goes when a metric lies more than so many spreads above the upper quartile.
 REACH = 4
 #: A group's quartiles count as its documents to this many of its language.
@@ -85,13 +87,13 @@ def measured(docs: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", failed)
 
 
-def _per_thousand(part: str, whole: str) -> Column:
-    return F.when(F.col(whole) > 0, F.expr(f"1000 * {part} div {whole}")).otherwise(F.lit(0)).cast("long")
+def _per_thousand(part: str, whole: str, more: int = 0) -> Column:
+    return F.when(F.col(whole) > 0, F.expr(f"1000 * {part} div ({whole} + {more})")).otherwise(F.lit(0)).cast("long")
 
 
 def metrics(rows: DataFrame) -> DataFrame:
     """Add ``metrics``: name to whole number."""
-    each = {"word_length": ("word_chars", "n_words"), "symbols": ("n_symbols", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"),
+    each = {"word_length": ("word_chars", "n_words"), "symbols": ("n_symbols", "n_words"), "dup_lines": ("n_dup_lines", "n_lines", FEW_LINES),
             "repeats": ("n_repeat_words", "n_words"), "capitals": ("n_capitals", "word_chars"), "shouts": ("n_shouts", "n_words")}
     return rows.withColumns({f"m_{k}": _per_thousand(*v) for k, v in each.items()})
 
@@ -209,7 +211,7 @@ c AS (SELECT w.rid, doc_id, lang, source, len(words)::BIGINT AS n_words, coalesc
       FROM w LEFT JOIN r USING (rid)),
 m AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
         CASE WHEN n_words > 0 THEN 1000 * word_chars // n_words ELSE 0 END AS m_word_length, CASE WHEN n_words > 0 THEN 1000 * n_symbols // n_words ELSE 0 END AS m_symbols,
-        CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // n_lines ELSE 0 END AS m_dup_lines, CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS m_repeats,
+        CASE WHEN n_lines > 0 THEN 1000 * n_dup_lines // (n_lines + {FEW_LINES}) ELSE 0 END AS m_dup_lines, CASE WHEN n_words > 0 THEN 1000 * n_repeat_words // n_words ELSE 0 END AS m_repeats,
         CASE WHEN word_chars > 0 THEN 1000 * n_capitals // word_chars ELSE 0 END AS m_capitals, CASE WHEN n_words > 0 THEN 1000 * n_shouts // n_words ELSE 0 END AS m_shouts
       FROM c),
 l AS ({arms}),

@@ -17,7 +17,7 @@ THRESHOLD = 0.3
 #: Bounds of the fit: labelled training rows of either label (by hash order) and terms of the lexicon.
 FIT_ROWS, TERMS = 10_000, 2_000
 #: A term must be in so many toxic training texts, in so many different surroundings, and that much likelier there.
-LEAST_TEXTS, LEAST_PLACES, LEAST_LIFT = 4, 4, 8.0
+LEAST_TEXTS, LEAST_PLACES, LEAST_LIFT = 4, 4, 30.0
 #: Terms of at least so many letters are matched with one edit; what an inexact match counts.
 FUZZY_LETTERS, FUZZY_WEIGHT = 5, 0.6
 #: Words on either side of a term that are its context.
@@ -39,8 +39,9 @@ class Matcher:
     A state is a set of (trie node, edits so far, pending deletion); a word runs until the set is empty.
     """
 
-    def __init__(self, terms: dict[str, float]):
-        self.terms = terms
+    def __init__(self, terms: dict[str, float], exact: frozenset[str] = frozenset()):
+        """``exact``: terms whose near words are no misspellings but words of their own."""
+        self.terms, self.exact = terms, exact
         self.children: list[dict[str, int]] = [{}]
         self.term_at: list[str | None] = [None]
         for t in sorted(terms):
@@ -89,7 +90,7 @@ class Matcher:
             if state < 0:
                 return None
         hits = [(edits, self.term_at[node]) for node, edits in self.states[state] if self.term_at[node]]
-        hits = [(e, t) for e, t in hits if not e or len(t) >= FUZZY_LETTERS]
+        hits = [(e, t) for e, t in hits if not e or len(t) >= FUZZY_LETTERS and t not in self.exact]
         return (min(hits)[1], min(hits)[0]) if hits else None
 
     def of_text(self, words: list[str]) -> dict[str, tuple[str, int]]:
@@ -191,13 +192,30 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
     return {r["term"]: math.log(r["lift"]) / math.log(LEAST_LIFT) for r in good.orderBy(F.desc("lift"), "term").limit(terms).collect()}
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarray]:
-    """The lexicon and the weights of the features, from training labels only."""
+def exact_terms(rows: DataFrame, lexicon: dict[str, float]) -> frozenset[str]:
+    """Terms whose inexact matches are about as likely in clean training texts as in toxic ones."""
+    def work(batches):
+        matcher = Matcher(lexicon)
+        for b in batches:
+            found = [(t, y) for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+                     for t in {t for t, e in matcher.of_text(_WORD.findall(text.lower())).values() if e}]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int32())], names=["term", "toxic"])
+
+    n = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
+    counts = map_arrow(rows.select("text", "toxic"), work, "term string, toxic int").groupBy("term").agg(
+        F.sum("toxic").alias("a"), (F.count("*") - F.sum("toxic")).alias("b")).filter("b > 0").collect()  # one row per term at most
+    toxic, clean = n["t"], n["n"] - n["t"]
+    return frozenset(r["term"] for r in counts if (r["a"] + 0.5) / (toxic + 1) < LEAST_LIFT * (r["b"] + 0.5) / (clean + 1))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Matcher, np.ndarray]:
+    """The lexicon's matcher and the weights of the features, from training labels only."""
     rows = training_rows(docs, labels)
     lexicon = learn_lexicon(rows)
+    exact = exact_terms(rows, lexicon)
 
     def measure(batches):
-        matcher = Matcher(lexicon)
+        matcher = Matcher(lexicon, exact)
         for b in batches:
             out = [features(t, matcher) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array([o[k] for o in out], pa.float64()) for k in range(3))], names=["toxic", "f0", "f1", "f2"])
@@ -205,19 +223,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], np.ndarra
     seen = np.array(map_arrow(rows.select("text", "toxic"), measure, "toxic int, f0 double, f1 double, f2 double").collect(), float).reshape(-1, 4)
     if len(set(seen[:, 0])) < 2:
         share = seen[:, 0].mean() if len(seen) else 0.0
-        return lexicon, np.array([math.log((share + 1e-3) / (1 - share + 1e-3)), 0, 0, 0])
-    return lexicon, logistic(seen[:, 1:], seen[:, 0])
+        return Matcher(lexicon, exact), np.array([math.log((share + 1e-3) / (1 - share + 1e-3)), 0, 0, 0])
+    return Matcher(lexicon, exact), logistic(seen[:, 1:], seen[:, 0])
 
 
-def scored(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+def scored(docs: DataFrame, known: Matcher, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs`` (doc_id, text; others are ignored).
 
     Null and empty texts score as texts without a term. Rows repeated come back as often; a null doc_id isn't held out.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    terms, exact = known.terms, known.exact
 
     def work(batches):
-        matcher = Matcher(lexicon)
+        matcher = Matcher(terms, exact)
         for b in batches:
             x = np.array([features(t or "", matcher) for t in b.column(1).to_pylist()]).reshape(-1, 3)
             p = 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
