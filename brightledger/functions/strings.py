@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 # Letters commonly misread for digits, and the digit they stand for.
 DIGIT_LOOKALIKES = {"o": "0", "O": "0", "l": "1", "L": "1", "I": "1", "]": "1"}
@@ -30,25 +28,28 @@ def character_accuracy(truth: Column, guess: Column) -> Column:
     return 1 - F.levenshtein(truth, guess) / F.greatest(F.length(truth), F.lit(1))
 
 
-def _common_subsequence_length(a: str, b: str) -> int:
-    row = [0] * (len(b) + 1)
-    for ch in a:
-        diagonal = 0
-        for j, other in enumerate(b, 1):
-            diagonal, row[j] = row[j], diagonal + 1 if ch == other else max(row[j], row[j - 1])
-    return row[-1]
+def common_subsequence_length(a: str | Column, b: str | Column) -> Column:
+    """Length of the longest common subsequence of two short texts, row by row of the usual table."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    places = F.sequence(F.lit(1), F.length(b))
+    first = F.array_repeat(F.lit(0), F.length(b) + 1)
 
+    def next_row(row, letter):
+        def cell(new, j):
+            left = F.element_at(new, -1)
+            return F.array_append(new, F.when(F.substring(b, j, F.lit(1)) == letter, F.get(row, j - 1) + 1).otherwise(F.greatest(F.get(row, j), left)))
 
-@F.pandas_udf(DoubleType())
-def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Similarity with substitution cost two: 2 * LCS / (sum of lengths); 1 for two empty texts."""
-    def one(x, y):
-        if x is None or y is None:
-            return None
-        total = len(x) + len(y)
-        return 1.0 if total == 0 else 2.0 * _common_subsequence_length(x, y) / total
+        return F.aggregate(places, F.array(F.lit(0)), cell)
+
+    full = F.element_at(F.aggregate(F.split(a, ""), first, next_row), -1)
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), 0).otherwise(full)
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+
+def indel_ratio(a: str | Column, b: str | Column) -> Column:
+    """Similarity with substitution cost two: 2 * LCS / (sum of lengths); 1 for two empty texts."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    total = F.length(a) + F.length(b)
+    return F.when(total == 0, 1.0).otherwise(2.0 * common_subsequence_length(a, b) / total)
 
 
 def digits_to_number(c: Column, kind: str = "double") -> Column:

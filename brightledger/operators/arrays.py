@@ -43,14 +43,16 @@ def with_trend(df: DataFrame, x: str, y: str, name: str = "trend") -> DataFrame:
     return df.withColumn("_f", fit).withColumn(name, F.col("_f.icpt") + F.col("_f.slope") * F.col(x)).drop("_f")
 
 
-def learn_labels(df: DataFrame, column: str, limit: int = 10_000) -> list[str]:
-    """Sorted distinct labels of a list column. They become columns, so more than ``limit`` is an error."""
-    rows = df.select(F.explode(column).alias("label")).distinct().orderBy("label").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} labels cannot be columns")
-    return [r["label"] for r in rows]
+def learn_labels(df: DataFrame, column: str) -> DataFrame:
+    """Distinct labels of a list column, one row each: a table that may grow with the data."""
+    return df.select(F.explode(column).alias("label")).distinct()
+
+
+def multi_hot_rows(df: DataFrame, key: str, column: str, labels: DataFrame) -> DataFrame:
+    """The sparse form of multi-hot encoding: (key, label) for every learned label that a row has."""
+    return df.select(key, F.explode(F.array_distinct(column)).alias("label")).join(labels, "label", "left_semi").select(key, "label")
 
 
 def multi_hot(df: DataFrame, column: str, labels: Sequence[str], prefix: str = "") -> DataFrame:
-    """One 0/1 column per learned label; labels not learned are ignored."""
+    """One 0/1 column per label of the caller's list; other labels are ignored."""
     return df.withColumns({f"{prefix}{v}": F.array_contains(column, v).cast("int") for v in labels})

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from brightledger.operators.components import connected_components
 from brightledger.operators.ordering import with_position
-from brightledger.operators.rows import seeded_sample
 from brightledger.operators.skew import hot_keys, salted_join
 from brightledger.session import materialise
 
@@ -33,15 +32,13 @@ def inertia_by_k(df: DataFrame, ks: range = range(1, 11), column: str = "feature
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
-def silhouette_by_k(df: DataFrame, key: str, ks: range = range(2, 11), sample: int = 10_000, column: str = "features",
-                    seed: int = 42) -> DataFrame:
-    """Silhouette (squared Euclidean) of each k-means clustering on a seeded sample of at most ``sample`` rows."""
+def silhouette_by_k(df: DataFrame, ks: range = range(2, 11), column: str = "features", seed: int = 42) -> DataFrame:
+    """Silhouette (squared Euclidean, linear in the rows) of each k-means clustering, over all rows."""
     rows = []
-    part = materialise(seeded_sample(df.select(key, column), key, sample, seed), "sample")
     evaluator = ClusteringEvaluator(featuresCol=column, metricName="silhouette", distanceMeasure="squaredEuclidean")
     for k in ks:
         model = KMeans(k=k, seed=seed, featuresCol=column).fit(df)
-        rows.append((k, float(evaluator.evaluate(model.transform(part)))))
+        rows.append((k, float(evaluator.evaluate(model.transform(df)))))
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
@@ -57,7 +54,7 @@ def _around(reach: int = 2) -> Column:
     return F.array(*steps)
 
 
-def _dense_links(points: DataFrame, dense: DataFrame, cell: float, eps: float, max_level: int = 24) -> DataFrame:
+def _dense_links(points: DataFrame, dense: DataFrame, cell: float, eps: float, hot, max_level: int = 24) -> DataFrame:
     """Pairs of neighbouring dense cells that hold two points within ``eps``.
 
     Cells are halved level by level. A pair of part cells surely within reach settles its cell pair, one
@@ -69,8 +66,9 @@ def _dense_links(points: DataFrame, dense: DataFrame, cell: float, eps: float, m
         dense.select("cx", "cy", F.col("node").alias("b")), ["cx", "cy"]).filter("a < b").select("a", "b")
     undecided = materialise(pairs, "pairs")
     n_points = points.count()
-    members = points.join(dense.select("cx", "cy", "node"), ["cx", "cy"]).select("node", "x", "y").distinct()
+    members = salted_join(points, dense.select("cx", "cy", "node"), ["cx", "cy"], hot=hot, spread_by=["id"]).select("node", "x", "y").distinct()
     members = materialise(members, "members")
+    crowded = hot_keys(members, ["node"])
     links = None
     budget = 10 * max(n_points, 1_000)
     for level in range(1, max_level + 1):
@@ -78,7 +76,7 @@ def _dense_links(points: DataFrame, dense: DataFrame, cell: float, eps: float, m
             return links if links is not None else undecided.select("a", "b")
         width = cell / 2 ** level
         involved = undecided.select(F.col("a").alias("node")).union(undecided.select("b")).distinct()
-        parts = members.join(involved, "node", "left_semi").groupBy(
+        parts = salted_join(members, involved, ["node"], "left_semi", crowded, ["x", "y"]).groupBy(
             "node", F.floor(F.col("x") / width).alias("sx"), F.floor(F.col("y") / width).alias("sy")).agg(F.count("*").alias("n"))
         up_x, up_y = F.floor(F.col("sx") / 2), F.floor(F.col("sy") / 2)
         a = parts.select(F.col("node").alias("a"), F.col("sx").alias("ax"), F.col("sy").alias("ay"), F.col("n").alias("na"),
@@ -147,7 +145,7 @@ def density_clusters(df: DataFrame, eps: float, min_samples: int, key: str = "id
     as_p, as_q = core_of.select(F.col("id").alias("p_id"), F.col("node").alias("a")), core_of.select(F.col("id").alias("q_id"), F.col("node").alias("b"))
     links = to_crowd.join(as_p, "p_id").select("a", F.col("node").alias("b"))
     links = links.union(to_thin.join(as_p, "p_id").join(as_q, "q_id").select("a", "b"))
-    links = links.union(_dense_links(pts, dense, cell, eps).select("a", "b"))
+    links = links.union(_dense_links(pts, dense, cell, eps, hot).select("a", "b"))
     roots = materialise(connected_components(nodes, links), "roots")
     numbers = with_position(roots.select("root").distinct(), ["root"], name="label")
     labelled = materialise(roots.join(numbers, "root").select("node", "label"), "labels")

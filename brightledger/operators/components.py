@@ -5,39 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightledger.operators.skew import hot_keys, salted_join
+from brightledger.operators.skew import task_rows
 from brightledger.session import materialise
 
 
-ONE_TASK_LINKS = 1_000_000  # up to this many links even one hub's rows are an easy task
+def _with_low(links: DataFrame, low: DataFrame, n_links: int) -> DataFrame:
+    """Attach ``m`` (of ``low``) to every link by ``u``; a hub's links meet it in as many partitions as they would fill.
+
+    A hub has more links than an even shuffle partition. Every link counts for two nodes at most, so there are at most twice as
+    many hubs as shuffle partitions, and their broadcast list is bounded by that.
+    """
+    each = task_rows(links, n_links)
+    hubs = F.broadcast(low.filter(F.col("n") > each).select("u", F.ceil(F.col("n") / each).cast("int").alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = links.join(hubs, "u", "left").withColumn("_salt", F.pmod(F.xxhash64("v"), salts).cast("int")).drop("_salts")
+    right = low.select("u", "m").join(hubs, "u", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return left.join(right, ["u", "_salt"]).drop("_salt")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(node, root): ``root`` is the smallest node of the component. ``edges`` has columns a, b.
+def component_roots(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``links`` (columns a, b; any one orderable type); root is the smallest node reachable.
 
-    Alternates linking every larger neighbour to the smallest neighbour and every node to its
-    smallest smaller neighbour, until the edges form stars. Minima are aggregates joined back
-    (hub nodes salted), so no neighbour list is ever gathered.
+    Every node's larger neighbours are linked to its smallest neighbour, then every node to its smallest smaller
+    neighbour, until all links form stars: a logarithmic number of rounds. A round is written under
+    ``spark.checkpoint.dir``, so a lost executor repeats one round at most; no neighbour list is ever gathered.
+    Links with a null end or from a node to itself count as absent.
     """
-    live = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    n_links = live.count()
-    before = None
-    for _ in range(max_rounds):
-        both = live.select("u", "v").union(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.any_value("u")).alias("m"))
-        hubs = [] if n_links <= ONE_TASK_LINKS else hot_keys(both, ["u"])
-        large = materialise(salted_join(both, low, ["u"], hot=hubs, spread_by=["v"]).filter("v > u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), "links")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hubs = [] if n_links <= ONE_TASK_LINKS else hot_keys(large, ["u"])
-        joined = salted_join(large, low, ["u"], hot=hubs, spread_by=["v"])
-        live = materialise(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(
-            low.select("u", F.col("m"))).distinct(), "links")
-        now = live.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if before == now:
+    state = materialise(links.filter("a is not null and b is not null and a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+
+    def digest(df):
+        return df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+
+    before = digest(state)
+    while before["n"]:
+        both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"), F.count("*").alias("n"))
+        large = _with_low(both, low, before["n"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialise(large, "links")
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = _with_low(large, low, before["n"]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        state = materialise(small.union(low.select("u", "m")).distinct(), "links")
+        now = digest(state)
+        if now == before:
             break
-        before, n_links = now, now["n"]
-    else:
-        raise RuntimeError("components did not settle")
-    roots = live.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+        before = now
+    ends = state.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+    roots = state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return ends.unionByName(roots)
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, root) for every row of ``nodes`` (column node): nodes without an edge are their own root."""
+    roots = component_roots(edges)
     return nodes.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))

@@ -63,20 +63,20 @@ def trailing_day_mean(targets: DataFrame, history: DataFrame, day: str, value: s
     return targets.join(spread, day, "left").withColumn(name, F.try_divide("_s", "_c")).drop("_s", "_c")
 
 
-def group_pairs(items: DataFrame, group: str, item: str, carry: Sequence[str] = (),
-                largest_group: int = 1_000) -> DataFrame:
+def group_pairs(items: DataFrame, group: str, item: str, carry: Sequence[str] = (), block: int = 1_000) -> DataFrame:
     """Every unordered pair inside a group (a round-robin draw): the pairs are the result.
 
-    A group is a drawn group of teams. A group above ``largest_group`` is an error, raised
-    by the plan itself before its pairs are formed.
+    A group is cut into blocks of about ``block`` items and each pair of blocks meets on a key of its own, so a task
+    holds two blocks however large the group is.
     """
-    sizes = items.groupBy(group).agg(F.count("*").alias("_n"))
-    checked = sizes.select(group, F.when(F.col("_n") > largest_group, F.raise_error(
-        F.lit("group is too large for a round-robin draw")).cast("int")).alias("_ok"))
+    sizes = items.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    placed = salted_join(items.select(group, item, *carry), sizes, [group], spread_by=[item])
+    placed = placed.withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int")).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     cols = [item, *carry]
-    a = items.join(checked, group).select(group, *[F.col(c).alias(f"{c}_a") for c in cols], "_ok")
-    b = items.select(group, *[F.col(c).alias(f"{c}_b") for c in cols])
-    return a.filter("_ok IS NULL").join(b, group).filter(F.col(f"{item}_a") < F.col(f"{item}_b")).drop("_ok")
+    a = placed.select(group, F.col("_own").alias("_i"), F.col("_other").alias("_j"), *[F.col(c).alias(f"{c}_a") for c in cols])
+    b = placed.select(group, F.col("_other").alias("_i"), F.col("_own").alias("_j"), *[F.col(c).alias(f"{c}_b") for c in cols])
+    return a.join(b, [group, "_i", "_j"]).filter(F.col(f"{item}_a") < F.col(f"{item}_b")).drop("_i", "_j")
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -129,32 +129,23 @@ def best_overlap(truth: DataFrame, guesses: DataFrame, image: str = "filename",
 
 
 def greedy_matches(pairs: DataFrame, image: str = "filename", truth_id: str = "box_id", guess_id: str = "pred_id",
-                   threshold: float = 0.5, max_rounds: int = 10_000) -> DataFrame:
+                   threshold: float = 0.5) -> DataFrame:
     """Guesses in id order each take their best still-free truth box with ``iou >= threshold``.
 
-    In a round a guess takes its best free box when no earlier undecided guess could still
-    want that box: the free set only shrinks, so this is exactly the sequential outcome. Every
-    round settles at least the first undecided guess of each image; ties go to the lower box id.
+    Deferred acceptance gives exactly the sequential outcome: every guess asks for its best box, a box holds the earliest guess
+    that asks for it and strikes all later ones from its pairs, until no box is asked for twice. All images and all
+    boxes advance in the same round; a round is one written table. Ties go to the lower box id.
     """
-    live = materialise(pairs.filter(F.col("iou") >= threshold), "pairs")
-    chosen = []
-    for _ in range(max_rounds):
+    live = materialise(pairs.filter(F.col("iou") >= threshold).select(image, truth_id, guess_id, "iou"), "pairs")
+    left = live.count()
+    while True:
         preference = F.struct((-F.col("iou")).alias("_rank"), F.col(truth_id))
         best = live.groupBy(image, guess_id).agg(F.min(preference).alias("_b")).select(
             image, guess_id, F.col(f"_b.{truth_id}").alias(truth_id), (-F.col("_b._rank")).alias("iou"))
-        first = live.groupBy(image, truth_id).agg(F.min(guess_id).alias(guess_id))
-        taken = materialise(best.join(first, [image, truth_id, guess_id]), "matches")
-        if taken.isEmpty():
-            break
-        chosen.append(taken)
-        live = materialise(
-            live.join(taken.select(image, guess_id), [image, guess_id], "left_anti")
-                .join(taken.select(image, truth_id), [image, truth_id], "left_anti"), "pairs")
-    else:
-        raise RuntimeError("greedy matching did not settle")
-    if not chosen:
-        return live.select(image, truth_id, guess_id, "iou")
-    out = chosen[0]
-    for c in chosen[1:]:
-        out = out.unionByName(c)
-    return out.select(image, truth_id, guess_id, "iou")
+        held = best.groupBy(image, truth_id).agg(F.min(guess_id).alias("_held"))
+        kept = materialise(salted_join(live, held, [image, truth_id], "left", spread_by=[guess_id]).filter(
+            F.col("_held").isNull() | (F.col(guess_id) <= F.col("_held"))).drop("_held"), "pairs")
+        now = kept.count()
+        if now == left:
+            return best.select(image, truth_id, guess_id, "iou")
+        live, left = kept, now

@@ -90,8 +90,8 @@ def regressors() -> dict[str, Estimator]:
     return {
         "linear_regression": LinearRegression(maxIter=20),
         "decision_tree": DecisionTreeRegressor(maxDepth=5, seed=SEED),
-        "random_forest": RandomForestRegressor(numTrees=10, maxDepth=5, seed=SEED),
-        "gradient_boosting": GBTRegressor(maxIter=5, maxDepth=3, seed=SEED),
+        "random_forest": RandomForestRegressor(numTrees=20, maxDepth=5, seed=SEED),
+        "gradient_boosting": GBTRegressor(maxIter=20, maxDepth=5, seed=SEED),
     }
 
 

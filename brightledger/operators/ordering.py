@@ -23,29 +23,31 @@ def _as_columns(keys: Sequence[str | Column]) -> list[Column]:
 
 
 def _sorted_stage(df: DataFrame, by: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """``df`` sorted over all tasks and written, with task number, position in the task and the group as one struct.
+
+    Structs compare null fields as equal, so null group keys meet each other in plain joins.
+    """
     keys = _as_columns(by) + _as_columns(order)
     staged = (
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))))
+    if by:
+        staged = staged.withColumn("_key", F.struct(*by))
     return materialise(staged, "ordered")
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[n])
-    return cond
-
+def _with_totals(staged: DataFrame, totals: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Attach the per-(task, group) columns ``names`` of ``totals``.
 
-def _join_totals(staged: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach per-(partition, group) totals; null group keys match each other."""
-    renamed = totals.withColumnsRenamed({c: f"_t_{c}" for c in ["_part", *by]})
-    cond = staged["_part"] == renamed["_t__part"]
-    for c in by:
-        cond = cond & staged[c].eqNullSafe(renamed[f"_t_{c}"])
-    return staged.join(renamed, cond, "inner").drop("_t__part", *[f"_t_{c}" for c in by])
+    Without groups there is one row per task: these enter as a one-row map and the rows aren't shuffled.
+    """
+    if by:
+        return staged.join(totals.select("_part", "_key", *names), ["_part", "_key"])
+    table = totals.agg(F.map_from_entries(F.collect_list(F.struct("_part", F.struct(*names))))).scalar()
+    return staged.withColumn("_t", F.element_at(table, F.col("_part"))).select(
+        *staged.columns, *[F.col(f"_t.{n}").alias(n) for n in names])
 
 
 def with_position(df: DataFrame, order: Sequence[str | Column], by: Sequence[str] = (),
@@ -55,41 +57,46 @@ def with_position(df: DataFrame, order: Sequence[str | Column], by: Sequence[str
     ``order`` must identify a row for the result to be repeatable, and then also splits
     runs of equal leading keys over partitions.
     """
-    staged = _sorted_stage(df, by, order)
     by = list(by)
-    totals = staged.groupBy("_part", *by).agg(F.count("*").alias("_in_part"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    staged = _sorted_stage(df, by, order)
+    group = ["_key"] if by else []
+    totals = staged.groupBy("_part", *group).agg(F.count("*").alias("_in_part"), F.min("_pos").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("_before", F.coalesce(F.sum("_in_part").over(before), F.lit(0)))
+    names = ["_first", "_before"]
     if count_name:
-        totals = totals.withColumn(count_name, F.sum("_in_part").over(Window.partitionBy(*by)))
-    out = _join_totals(staged, totals.drop("_in_part"), by)
+        totals = totals.withColumn(count_name, F.sum("_in_part").over(Window.partitionBy(*group)))
+        names.append(count_name)
+    out = _with_totals(staged, totals, by, names)
     return out.withColumn(name, F.col("_pos") - F.col("_first") + F.col("_before")).drop(
-        "_part", "_pos", "_first", "_before")
+        "_part", "_pos", "_key", "_first", "_before")
 
 
 def with_running_sums(df: DataFrame, sums: dict[str, str], order: Sequence[str | Column],
                       by: Sequence[str] = (), totals_too: bool = False) -> DataFrame:
     """Add inclusive running sums ``{new_name: column}`` along ``order`` within ``by``.
 
-    With ``totals_too`` the group total of each column is added as ``<new_name>_total``.
+    With ``totals_too`` the group total of each column is added as ``<new_name>_total``. The sorted rows are dealt by task
+    (and group) once, for the totals and for the sums inside a task alike.
     """
-    staged = _sorted_stage(df, by, order)
     by = list(by)
-    totals = staged.groupBy("_part", *by).agg(*[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()])
-    group = Window.partitionBy(*by)
+    staged = _sorted_stage(df, by, order)
+    key = ["_key"] if by else []
+    totals = staged.groupBy("_part", *key).agg(*[F.sum(c).alias(f"_s_{n}") for n, c in sums.items()])
+    group = Window.partitionBy(*key)
     before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    keep = ["_part", *by]
+    names = []
     for n in sums:
         totals = totals.withColumn(f"_b_{n}", F.coalesce(F.sum(f"_s_{n}").over(before), F.lit(0)))
-        keep.append(f"_b_{n}")
+        names.append(f"_b_{n}")
         if totals_too:
             totals = totals.withColumn(f"{n}_total", F.sum(f"_s_{n}").over(group))
-            keep.append(f"{n}_total")
-    out = _join_totals(staged, totals.select(*keep), by)
-    inside = Window.partitionBy("_part", *by).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+            names.append(f"{n}_total")
+    out = _with_totals(staged, totals, by, names)
+    inside = Window.partitionBy("_part", *key).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     for n, c in sums.items():
         out = out.withColumn(n, F.sum(c).over(inside) + F.col(f"_b_{n}"))
-    return out.drop("_part", "_pos", *[f"_b_{n}" for n in sums])
+    return out.drop("_part", "_pos", "_key", *[f"_b_{n}" for n in sums])
 
 
 def over_row_frames(df: DataFrame, order: Sequence[str | Column], before: int, after: int,
@@ -102,8 +109,7 @@ def over_row_frames(df: DataFrame, order: Sequence[str | Column], before: int, a
     bounds sees exactly the rows a single global window would. ``add`` receives the frame
     and an ordered window. ``_idx`` (position) and ``_n`` (series length) are available to it.
     """
-    if max(before, after) > block_rows:
-        raise ValueError("frame is wider than a block")
+    block_rows = max(block_rows, before, after)
     placed = with_position(df, order, by, name="_idx", count_name="_n")
     b = F.floor(F.col("_idx") / block_rows)
     offset = F.col("_idx") % block_rows
@@ -142,8 +148,18 @@ def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float], by: Seq
 
 
 def top_fraction(df: DataFrame, score: Column, fraction: float, tie_break: Sequence[str]) -> DataFrame:
-    """Rows among the ``max(1, int(fraction * n))`` highest scores."""
-    placed = with_position(df.withColumn("_score", score), [F.col("_score").desc(), *tie_break],
-                           name="_idx", count_name="_n")
-    k = F.greatest(F.lit(1), F.floor(F.col("_n") * F.lit(fraction)))
-    return placed.filter(F.col("_idx") < k).drop("_idx", "_n", "_score")
+    """Rows among the ``max(1, int(fraction * n))`` highest scores; a null score is the lowest.
+
+    The score that the fraction ends in is found from counts of scores; only rows of that score are put in order.
+    """
+    scored = df.withColumn("_score", F.coalesce(score.cast("double"), F.lit(float("-inf"))))
+    counts = scored.groupBy("_score").agg(F.count("*").alias("_c"))
+    upto = with_running_sums(counts, {"_hi": "_c"}, [F.col("_score").desc()], totals_too=True)
+    k = F.greatest(F.lit(1), F.floor(F.col("_hi_total") * F.lit(fraction)))
+    last = upto.filter(F.col("_hi") >= k).agg(F.max(F.struct("_score", (F.col("_hi") - F.col("_c")).alias("before"), k.alias("k"))).alias("r")).first()["r"]
+    if last is None:
+        return df
+    edge = F.lit(last["_score"])
+    ties = with_position(scored.filter(F.col("_score") == edge), list(tie_break), name="_idx").filter(
+        F.col("_idx") < last["k"] - last["before"])
+    return scored.filter(F.col("_score") > edge).drop("_score").unionByName(ties.drop("_score", "_idx"))

@@ -125,9 +125,12 @@ def add_missing_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def portable_hash(key: Column, seed: int = 42) -> Column:
-    """Integer hash any SQL engine repeats: (key * 2654435761 + seed) mod 2^32."""
-    reduced = key.cast("bigint") % F.lit(2 ** 31)
-    return (reduced * F.lit(2654435761) + F.lit(seed)) % F.lit(4294967296)
+    """Hash in [0, 2^32) of a key of any type and sign, which any SQL engine repeats: the first 32 bits of md5("seed:key").
+
+    A null key hashes as an empty text.
+    """
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

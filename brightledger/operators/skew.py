@@ -2,53 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-SHARE = 0.01
-SALTS = 32
+#: Hot keys by the number of partitions each is spread over: salts (a power of two) -> hashes of keys.
+HotKeys = dict[int, list[int]]
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE) -> list[int]:
-    """Hashes of the keys holding more than ``share`` of the rows (at most ``1 / share`` of them).
+def task_rows(df: DataFrame, n: int) -> int:
+    """Rows of an even shuffle partition of ``n`` rows."""
+    return max(1, math.ceil(n / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
-    Frequent-item counters find every such key in one pass over the key columns, without a
-    shuffle; a second pass counts only those few candidates.
+
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
+    """Keys with more rows than an even shuffle partition has, with salts in proportion to their rows.
+
+    There are fewer of them than shuffle partitions. Frequent-item counters find every such key in one pass over the
+    key columns, without a shuffle; a second pass counts those few candidates.
     """
     hashed = df.select(key_hash(keys).alias("h"))
-    candidates = hashed.freqItems(["h"], share).first()[0]
+    support = max(1e-4, min(0.5, 1.0 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    candidates = hashed.freqItems(["h"], support).first()[0]
     if not candidates:
-        return []
-    counted = hashed.agg(F.count("*").alias("n"), F.count_if(F.col("h").isin(*candidates)).alias("c")).first()
-    if counted["c"] <= counted["n"] * share:
-        return []
-    rows = hashed.filter(F.col("h").isin(*candidates)).groupBy("h").agg(F.count("*").alias("n")).filter(
-        F.col("n") > counted["n"] * share).collect()
-    return [r["h"] for r in rows]
+        return {}
+    rows = hashed.groupBy(F.when(F.col("h").isin(*candidates), F.col("h")).alias("h")).agg(F.count("*").alias("n")).collect()
+    each = task_rows(df, sum(r["n"] for r in rows))
+    hot: HotKeys = {}
+    for r in rows:
+        if r["h"] is not None and r["n"] > each:
+            hot.setdefault(1 << (math.ceil(r["n"] / each) - 1).bit_length(), []).append(r["h"])
+    return hot
+
+
+def _salts(keys: Sequence[str], hot: Mapping[int, Sequence[int]]) -> Column:
+    """Number of salts of a row's key; 1 for keys that aren't hot."""
+    out = F.lit(1)
+    for n, hashes in hot.items():
+        out = F.when(key_hash(keys).isin(*hashes), n).otherwise(out)
+    return out
+
 
+def spreadable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed: those without a map."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
-def salted(df: DataFrame, keys: Sequence[str], hot: Sequence[int], spread_by: Sequence[str], salts: int = SALTS) -> DataFrame:
+
+def salted(df: DataFrame, keys: Sequence[str], hot: Mapping[int, Sequence[int]], spread_by: Sequence[str]) -> DataFrame:
     """Add ``_salt``: rows of hot keys are spread by a hash (a retried task repeats its output)."""
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    return df.withColumn("_salt", F.when(key_hash(keys).isin(*hot), spread).otherwise(0))
+    return df.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), _salts(keys, hot)).cast("int"))
 
 
-def copied(df: DataFrame, keys: Sequence[str], hot: Sequence[int], salts: int = SALTS) -> DataFrame:
+def copied(df: DataFrame, keys: Sequence[str], hot: Mapping[int, Sequence[int]]) -> DataFrame:
     """Counterpart of ``salted``: only rows of hot keys are copied, once per salt."""
-    every = F.array(*[F.lit(i) for i in range(salts)])
-    return df.withColumn("_salt", F.explode(F.when(key_hash(keys).isin(*hot), every).otherwise(F.array(F.lit(0)))))
+    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), _salts(keys, hot) - 1)))
 
 
-def salted_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner", hot: Sequence[int] | None = None,
-                spread_by: Sequence[str] | None = None, salts: int = SALTS) -> DataFrame:
-    """Join with the rows of hot keys of ``big`` spread over ``salts`` partitions.
+def salted_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner", hot: Mapping[int, Sequence[int]] | None = None,
+                spread_by: Sequence[str] | None = None) -> DataFrame:
+    """Join with the rows of hot keys of ``big`` spread over several partitions.
 
     ``hot`` is the result of ``hot_keys`` where it is already known (a base table whose key runs
     through several joins); otherwise it is found here. Without hot keys this is a plain join.
@@ -60,14 +78,5 @@ def salted_join(big: DataFrame, other: DataFrame, keys: Sequence[str], how: str
         hot = hot_keys(big, keys)
     if not hot:
         return big.join(other, keys, how)
-    left = salted(big, keys, hot, spread_by or big.columns, salts)
-    return left.join(copied(other, keys, hot, salts), [*keys, "_salt"], how).drop("_salt")
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting that it has at most ``limit`` rows.
-
-    Above the limit the frame is returned unhinted and the planner shuffles both sides.
-    """
-    small = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if small else df
+    left = salted(big, keys, hot, spread_by or spreadable(big))
+    return left.join(copied(other, keys, hot), [*keys, "_salt"], how).drop("_salt")

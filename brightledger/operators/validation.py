@@ -75,18 +75,19 @@ def rule_codes(as_of: Column) -> Column:
 
 
 def validate(df: DataFrame, as_of: Column, value: str = "value") -> DataFrame:
-    """Parsed messages with ``errors`` (array of codes). ``as_of`` is the arrival time."""
-    return parse_messages(df, value).withColumn("errors", rule_codes(as_of))
+    """Parsed messages with ``errors`` (array of codes) and ``arrival``, the time ``as_of`` that they were checked against."""
+    parsed = parse_messages(df.withColumn("_as_of", as_of), value)
+    return parsed.withColumn("errors", rule_codes(F.col("_as_of"))).withColumn("arrival", F.col("_as_of")).drop("_as_of")
 
 
 def valid_rows(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.col("reject_reason").isNull() & (F.size("errors") == 0))
+    return validated.filter(F.col("reject_reason").isNull() & (F.size("errors") == 0)).drop("arrival")
 
 
 def error_rows(validated: DataFrame) -> DataFrame:
-    """One row per failed rule."""
+    """One row per failed rule, with the time of arrival."""
     return validated.filter(F.col("reject_reason").isNull() & (F.size("errors") > 0)).select(
-        "transaction_id", F.explode("errors").alias("error_code"), F.col("event_time").alias("timestamp"))
+        "transaction_id", F.explode("errors").alias("error_code"), F.col("arrival").alias("timestamp"))
 
 
 def rejected_rows(validated: DataFrame, value: str = "value") -> DataFrame:

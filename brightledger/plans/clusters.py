@@ -24,7 +24,7 @@ def _(t):
 
 @query("k2_silhouette_by_k")
 def _(t):
-    return cl.silhouette_by_k(vectors(t), "vec_id", range(2, 6))
+    return cl.silhouette_by_k(vectors(t), range(2, 11))
 
 
 @query("k3_density_clusters")

@@ -12,7 +12,7 @@ from brightledger.operators import text as tx
 from brightledger.operators.evaluation import classification_summary
 from brightledger.plans.registry import query
 from brightledger.plans.view_sql import GAPS, with_views
-from brightledger.session import materialise, scratch_path, well_split
+from brightledger.session import materialise, scratch_path
 
 DIMS = 64
 
@@ -64,7 +64,7 @@ def class_vectors(t):
 
 def price_rows(t):
     cols = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-    rows = well_split(t.lineitem).withColumn("key", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), F.lit(2 ** 31)))
+    rows = t.lineitem.withColumn("key", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), F.lit(2 ** 31)))
     v = VectorAssembler(inputCols=cols, outputCol="features").transform(rows)
     return materialise(v.select("key", "features", F.col("l_extendedprice").alias("label")), "prices")
 
@@ -73,7 +73,7 @@ def price_rows(t):
 def _(t):
     train, test = m.split_parts(labelled_vectors(t), "doc_id")
     weighted = m.balanced_weights(train, "label")
-    cv = m.cross_validated(LogisticRegression(maxIter=30, weightCol="weight"), {"regParam": [0.001, 0.01, 0.1, 1.0]}, m.auc_evaluator("label"), 2)
+    cv = m.cross_validated(LogisticRegression(maxIter=30, weightCol="weight"), {"regParam": [10.0 ** (k / 2 - 4) for k in range(10)]}, m.auc_evaluator("label"), 5)
     model = cv.fit(weighted)
     scored = model.transform(test)
     return classification_summary(scored.select(F.col("label").cast("double").alias("y"), "prediction"), "y", "prediction").withColumn(
@@ -89,7 +89,7 @@ def _(t):
 @query("l10_gradient_boosting")
 def _(t):
     train, test = m.split_parts(class_vectors(t), "vec_id")
-    return m.compare({"boosted_one_vs_rest": m.boosted_multiclass(2, 2)}, train, test, "label")
+    return m.compare({"boosted_one_vs_rest": m.boosted_multiclass(20, 3)}, train, test, "label")
 
 
 @query("l11_regressors")
@@ -115,7 +115,7 @@ def _(t):
 @query("l14_grid_search")
 def _(t):
     train, _ = m.split_parts(class_vectors(t), "vec_id")
-    cv = m.cross_validated(RandomForestClassifier(seed=m.SEED), {"numTrees": [5, 10], "maxDepth": [3, 5]}, m.accuracy_evaluator("label"), 2)
+    cv = m.cross_validated(RandomForestClassifier(seed=m.SEED), {"numTrees": [10, 20], "maxDepth": [3, 5, 8]}, m.accuracy_evaluator("label"), 5)
     return m.search_table(t.spark, cv.fit(train))
 
 
@@ -123,7 +123,7 @@ def _(t):
 def _(t):
     train, _ = m.split_parts(class_vectors(t), "vec_id")
     space = {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [10, 20]}
-    return m.search_table(t.spark, m.random_search(LogisticRegression(), space, 4, m.accuracy_evaluator("label"), 2).fit(train))
+    return m.search_table(t.spark, m.random_search(LogisticRegression(), space, 10, m.accuracy_evaluator("label"), 5).fit(train))
 
 
 @query("l15_model_comparison")
@@ -158,7 +158,7 @@ def _(t):
     return m.score_table(m.regressors()["linear_regression"].fit(train), test, "key")
 
 
-@query("l18_saved_model")
+@query("l18_saved_model", "SELECT o_orderkey, round((o_totalprice - avg(o_totalprice) OVER ()) / stddev_samp(o_totalprice) OVER (), 6) AS price_scaled FROM orders JOIN customer ON o_custkey = c_custkey")
 def _(t):
     rows = order_rows(t)
     fitted = m.column_transformer(["price"], ["c_mktsegment"]).fit(rows)
@@ -198,7 +198,7 @@ def _(t):
     labelled, pool, test = learning_parts(class_vectors(t), "vec_id")
     out = None
     for s in (sel.LEAST_CONFIDENCE, sel.MARGIN, sel.ENTROPY):
-        part = m.active_learning(labelled, pool, pool, test, "vec_id", "label", s, 20, 2).withColumn("strategy", F.lit(s))
+        part = m.active_learning(labelled, pool, pool, test, "vec_id", "label", s, 20, 5).withColumn("strategy", F.lit(s))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -206,21 +206,21 @@ def _(t):
 @query("l24_active_learning_regression")
 def _(t):
     labelled, pool, test = learning_parts(price_rows(t), "key")
-    return m.active_learning_regression(labelled, pool, pool, test, "key", "label", 50, 2)
+    return m.active_learning_regression(labelled, pool, pool, test, "key", "label", 50, 5)
 
 
 @query("l25_word_vectors")
 def _(t):
-    docs = t.texts.select("doc_id", tx.words(F.col("text")).alias("w"))
-    model = m.word_vectors(docs, "w", dims=100, window=5, min_count=1, partitions=8)
+    docs = t.documents.select("doc_id", tx.words(F.col("text")).alias("w"))
+    model = m.word_vectors(docs, "w", dims=100, window=5, min_count=1, partitions=t.spark.sparkContext.defaultParallelism)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
 @query("x18_embedding_table")
 def _(t):
-    docs = t.texts.select("doc_id", "text").dropDuplicates(["doc_id", "text"]).withColumn("w", tx.words(F.col("text")))
+    docs = t.documents.select("doc_id", "text").dropDuplicates(["doc_id", "text"]).withColumn("w", tx.words(F.col("text")))
     docs = materialise(docs, "tokens")
-    model = m.word_vectors(docs, "w", dims=32, window=5, min_count=5, partitions=8)
+    model = m.word_vectors(docs, "w", dims=32, window=5, min_count=1, partitions=t.spark.sparkContext.defaultParallelism)
     return materialise(model.transform(docs).select("doc_id", "text", vector_to_array("vector", "float32").alias("embedding")), "vectors")
 
 

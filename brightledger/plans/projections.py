@@ -6,7 +6,7 @@ from brightledger.functions import dates, geometry, strings
 from brightledger.operators import arrays, rows
 from brightledger.operators.ordering import with_position
 from brightledger.plans.registry import query
-from brightledger.plans.view_sql import BOXES, GAPS, OHLCV, POLLS, PROBS, TXN, with_views
+from brightledger.plans.view_sql import BOXES, GAPS, OHLCV, POLLS, PROBS, TXN, lcs_sql, with_views
 
 NTZ = "timestamp_ntz"
 
@@ -218,7 +218,7 @@ def _(t):
 
 
 @query("p27_seeded_sample", """SELECT doc_id, lang FROM documents
-ORDER BY ((doc_id % 2147483648) * 2654435761 + 42) % 4294967296, doc_id LIMIT 50""")
+ORDER BY substr(md5('42:' || doc_id), 1, 8), doc_id LIMIT 50""")
 def _(t):
     return rows.seeded_sample(t.documents.select("doc_id", "lang"), "doc_id", 50)
 
@@ -265,7 +265,8 @@ def _(t):
                          r6(strings.character_accuracy(a, b), "char_accuracy"))
 
 
-@query("f6_similarity_ratio")
+@query("f6_similarity_ratio", _OCR.replace("WITH ", "WITH RECURSIVE ", 1) + ", pairs AS (SELECT DISTINCT name_b AS a, type_b AS b FROM p), " + lcs_sql("pairs") + """
+SELECT a, b, round(CASE WHEN length(a) + length(b) = 0 THEN 1 ELSE 2.0::DOUBLE * n / (length(a) + length(b)) END, 6) AS ratio FROM lcs""")
 def _(t):
     a, b = (strings.normalise_plate_wide(F.col(c)) for c in ("p_name", "p_type"))
     pairs = t.part.select(a.alias("a"), b.alias("b")).distinct()
@@ -450,9 +451,15 @@ CAST(contains(text, ' the ') AS INTEGER) AS has_the FROM documents""")
 def _(t):
     listed = t.documents.select("doc_id", F.array_compact(F.array(
         *[F.when(F.col("text").contains(f" {w} "), F.lit(w)) for w in ("the", "la", "de", "und")])).alias("words"))
-    labels = arrays.learn_labels(listed.filter("NOT array_contains(words, 'und')"), "words")
-    keep = [w for w in labels if w in ("the", "la", "de")]
-    return arrays.multi_hot(listed, "words", keep, "has_").drop("words")
+    return arrays.multi_hot(listed, "words", ["the", "la", "de"], "has_").drop("words")
+
+
+@query("r5_multi_hot_rows", """SELECT doc_id, label FROM documents, (SELECT unnest(['the', 'la', 'de', 'und']) AS label) WHERE contains(text, ' ' || label || ' ')
+AND label IN (SELECT label FROM documents, (SELECT unnest(['the', 'la', 'de', 'und']) AS label) WHERE contains(text, ' ' || label || ' ') AND lang = 'en')""")
+def _(t):
+    words = [F.when(F.col("text").contains(f" {w} "), F.lit(w)) for w in ("the", "la", "de", "und")]
+    listed = t.documents.select("doc_id", "lang", F.array_compact(F.array(*words)).alias("words"))
+    return arrays.multi_hot_rows(listed, "doc_id", "words", arrays.learn_labels(listed.filter("lang = 'en'"), "words"))
 
 
 @query("r6_array_extremes", with_views(PROBS) + """SELECT vec_id, round(greatest(p1, p2, p3), 6) AS top,

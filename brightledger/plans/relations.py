@@ -98,9 +98,9 @@ def _(t):
 
 
 @query("j10_trailing_day_mean", with_views(OHLCV) + """SELECT strftime(t.day, '%Y-%m-%d') AS day,
-round((SELECT avg(h.volume) FROM ohlcv h WHERE h.day >= t.day - INTERVAL 7 DAY AND h.day < t.day AND h."close" > 200000), 4) AS trailing_mean FROM ohlcv t""")
+round((SELECT avg(h.volume) FROM ohlcv h WHERE h.day >= t.day - INTERVAL 7 DAY AND h.day < t.day), 4) AS trailing_mean FROM ohlcv t""")
 def _(t):
-    history = t.ohlcv.filter("close > 200000").select("day", "volume")
+    history = t.ohlcv.select("day", "volume")
     out = joins.trailing_day_mean(t.ohlcv.select("day"), history, "day", "volume")
     return out.select(F.col("day").cast("string").alias("day"), F.round("trailing_mean", 4).alias("trailing_mean"))
 
@@ -115,8 +115,9 @@ JOIN ui USING (user_id) JOIN ii USING (item_id)""")
 def _(t):
     users = t.ratings.select("user_id").union(t.edges.select("src")).union(t.edges.select("dst")).distinct()
     items = t.ratings.select("item_id").distinct()
-    return (t.ratings.join(with_position(users, ["user_id"], name="user_idx"), "user_id")
-            .join(with_position(items, ["item_id"], name="item_idx"), "item_id")
+    by_user = skew.salted_join(t.ratings, with_position(users, ["user_id"], name="user_idx"), ["user_id"], spread_by=["item_id"])
+    return (skew.salted_join(by_user, with_position(items, ["item_id"], name="item_idx"), ["item_id"],
+                             hot=skew.hot_keys(t.ratings, ["item_id"]), spread_by=["user_id"])
             .select("user_idx", "item_idx", r6("label", "label")))
 
 
@@ -154,7 +155,17 @@ def _(t):
                     r6(F.count_if(F.col("best_iou") >= 0.5) / F.count("*"), "detection_rate"))
 
 
-@query("j14_greedy_matching")
+_GREEDY = with_views(BOXES, PRED).replace("WITH ", "WITH RECURSIVE ", 1) + """, inter AS (SELECT b.filename, b.box_id, p.pred_id, greatest(0, least(b.xmax, p.xmax) - greatest(b.xmin, p.xmin)) * greatest(0, least(b.ymax, p.ymax) - greatest(b.ymin, p.ymin)) AS i,
+ (b.xmax - b.xmin) * (b.ymax - b.ymin) AS sa, (p.xmax - p.xmin) * (p.ymax - p.ymin) AS sb FROM boxes b JOIN pred p ON b.filename = p.filename),
+pr AS MATERIALIZED (SELECT filename, pred_id, list(struct_pack(r := -iou, b := box_id) ORDER BY -iou, box_id) AS wants FROM (SELECT filename, box_id, pred_id, i / (sa + sb - i + 1e-6::DOUBLE) AS iou FROM inter) WHERE iou >= 0.5 GROUP BY 1, 2),
+gs AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY filename ORDER BY pred_id) AS k FROM pr),
+m AS (SELECT DISTINCT filename, 0::BIGINT AS k, []::VARCHAR[] AS taken, NULL::DOUBLE AS iou FROM gs UNION ALL
+ SELECT filename, k, CASE WHEN free IS NULL THEN taken ELSE list_append(taken, free.b) END, -free.r FROM (
+  SELECT g.filename, g.k, m.taken, list_filter(g.wants, lambda x: NOT list_contains(m.taken, x.b))[1] AS free FROM m JOIN gs g ON g.filename = m.filename AND g.k = m.k + 1))
+SELECT filename, count(iou) AS n_correct, round(avg(iou), 6) AS mean_iou FROM m GROUP BY 1 HAVING count(iou) > 0"""
+
+
+@query("j14_greedy_matching", _GREEDY)
 def _(t):
     pairs = joins.overlapping_boxes(t.boxes, predicted_boxes(t.boxes))
     return joins.greedy_matches(pairs).groupBy("filename").agg(
@@ -172,7 +183,7 @@ def _(t):
 LEFT JOIN (SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS rank FROM (SELECT DISTINCT event_type FROM events)) r USING (event_type)""")
 def _(t):
     dictionary = with_position(t.events.select("event_type").distinct(), ["event_type"], name="type_rank")
-    return t.events.select("event_id", "event_type").join(skew.broadcast_if_small(dictionary), "event_type", "left")
+    return t.events.select("event_id", "event_type").join(dictionary, "event_type", "left")
 
 
 # --- set operations -----------------------------------------------------------------------------------

@@ -132,34 +132,36 @@ def _(t):
     return t.spark.read.schema(ratio.schema).parquet(f"{folder}/output")
 
 
-@query("st14_concurrent_queries", with_views(TXN) + """SELECT 'by_type' AS name, count(*) AS n FROM (SELECT DISTINCT time_bucket(INTERVAL 1 HOUR, ts) AS w, commission_type FROM txn) WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 MINUTE FROM events)
-UNION ALL SELECT 'by_category', count(*) FROM (SELECT DISTINCT time_bucket(INTERVAL 1 HOUR, ts) AS w, merchant_category FROM txn) WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 MINUTE FROM events)""")
+@query("st14_concurrent_queries", with_views(TXN) + """SELECT 'by_type' AS name, count(*) AS n FROM (SELECT DISTINCT time_bucket(INTERVAL 1 HOUR, ts) AS w, commission_type FROM txn)
+UNION ALL SELECT 'by_category', count(*) FROM (SELECT DISTINCT time_bucket(INTERVAL 1 HOUR, ts) AS w, merchant_category FROM txn)""")
 def _(t):
     folder = scratch_path(t.spark, "concurrent")
     plans = {"by_type": queries.commission_by_type(stream_of(t), "1 hour"), "by_category": queries.commission_ratio(stream_of(t), "1 hour")}
-    io.run_all([io.sink(df, "parquet", f"{folder}/{n}/checkpoint", path=f"{folder}/{n}/output") for n, df in plans.items()])
+    keys = {"by_type": ["window_start", "commission_type"], "by_category": ["window_start", "merchant_category"]}
+    io.run_all([io.upserts(df, f"{folder}/{n}") for n, df in plans.items()])
     out = None
     for n, df in plans.items():
-        rows = t.spark.read.schema(df.schema).parquet(f"{folder}/{n}/output").agg(F.lit(n).alias("name"), F.count("*").alias("n"))
+        rows = io.upserted(t.spark, df.schema, f"{folder}/{n}", keys[n]).agg(F.lit(n).alias("name"), F.count("*").alias("n"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-@query("s15_document_store", with_views(TXN) + """SELECT transaction_id, ts AS "timestamp", merchant_category, commission_amount AS commission, strftime(ts, '%Y-%m-%d') AS day FROM txn WHERE status = 'approved'""")
+@query("s15_document_store", with_views(TXN) + """SELECT transaction_id AS id, ts AS "timestamp", customer_id, merchant_id, round(lat, 6) AS lat, round(lng, 6) AS long, merchant_category, amount, vat_amount, commission_type, commission_amount, total_amount,
+customer_type, CAST(risk_level AS INTEGER) AS risk_level, CAST(NULL AS VARCHAR) AS failure_reason, payment_method, true AS has_time FROM txn WHERE status = 'approved'""")
 def _(t):
     path = scratch_path(t.spark, "store")
     files.store_approved(t.txn, path)
     stored = t.spark.read.parquet(path)
-    return stored.select("transaction_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "merchant_category", "commission",
-                         F.col("day").cast("string").alias("day"))
+    return stored.withColumns({"timestamp": F.col("timestamp").cast("timestamp_ntz"), "lat": F.round("lat", 6), "long": F.round("long", 6),
+                               "has_time": F.col("createdAt").isNotNull()}).drop("day", "createdAt", "device_info")
 
 
-@query("s16_expired_store", with_views(TXN) + """SELECT transaction_id FROM txn WHERE status = 'approved' AND ts > (SELECT max(ts) FROM events) - INTERVAL 86400 SECOND""")
+@query("s16_expired_store", with_views(TXN) + """SELECT transaction_id AS id FROM txn WHERE status = 'approved' AND ts > (SELECT max(ts) FROM events) - INTERVAL 86400 SECOND""")
 def _(t):
     path = scratch_path(t.spark, "store")
     files.store_approved(t.txn, path)
     files.expire(t.spark, path, f"{path}-kept", t.events.agg(F.max("ts")).scalar())
-    return t.spark.read.parquet(f"{path}-kept").select("transaction_id")
+    return t.spark.read.parquet(f"{path}-kept").select("id")
 
 
 @query("s17_vector_store", "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dims, CAST(embedding[1] AS DOUBLE) AS first, CAST(embedding[64] AS DOUBLE) AS last FROM embeddings")
@@ -175,3 +177,50 @@ def _(t):
     path = scratch_path(t.spark, "reuse")
     files.reuse_or_build(t.spark, path, lambda: t.orders.groupBy("o_custkey").agg(F.count("*").alias("n")))
     return files.reuse_or_build(t.spark, path, lambda: t.orders.groupBy("o_custkey").agg(F.lit(-1).cast("bigint").alias("n")))
+
+
+@query("s6_coco", with_views(BOXES) + """SELECT filename AS file_name, CAST(xmin AS DOUBLE) AS x, CAST(ymin AS DOUBLE) AS y FROM boxes WHERE shift % 2 = 1
+UNION ALL SELECT filename, NULL, NULL FROM boxes GROUP BY filename HAVING count(*) FILTER (shift % 2 = 1) = 0""")
+def _(t):
+    # one document per image, as a folder of annotation files
+    path = scratch_path(t.spark, "coco")
+    mark = F.struct(F.xxhash64("box_id").alias("id"), F.xxhash64("filename").alias("image_id"),
+                    F.when(F.col("shift") % 2 == 1, 7).otherwise(8).alias("category_id"),
+                    F.array(F.array(F.col("xmin").cast("double"), F.col("ymin").cast("double"))).alias("segmentation"))
+    per = t.boxes.groupBy("filename").agg(F.collect_list(mark).alias("annotations"))
+    per.select(F.array(F.struct(F.xxhash64("filename").alias("id"), F.col("filename").alias("file_name"))).alias("images"),
+               F.array(F.struct(F.lit(7).alias("id"), F.lit("plate").alias("name"))).alias("categories"), "annotations").write.json(path)
+    found = files.read_coco(t.spark, path, "plate", lines=True)
+    return found.select("file_name", F.col("segmentation")[0][0].alias("x"), F.col("segmentation")[0][1].alias("y"))
+
+
+@query("s20_catalog_listing", """SELECT table_name AS "table", column_name AS "column" FROM information_schema.columns WHERE table_name IN ('orders', 'nation')""")
+def _(t):
+    for name in ("orders", "nation"):
+        getattr(t, name).createOrReplaceTempView(name)
+    return files.catalog_listing(t.spark).filter(F.col("table").isin("orders", "nation")).select("table", "column")
+
+
+@query("st13_restart", with_views(TXN) + """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, commission_type, CAST(sum(commission_amount) AS BIGINT) AS total_commission FROM txn GROUP BY 1, 2""")
+def _(t):
+    # the same query runs twice on one checkpoint, and half of the messages come between
+    folder = scratch_path(t.spark, "restart")
+    wire = t.txn.withColumn("timestamp", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    middle = t.events.agg(F.expr("timestamp_seconds((unix_timestamp(min(ts)) + unix_timestamp(max(ts))) / 2)")).scalar()
+    out = None
+    for late in (False, True):
+        half = wire.filter((F.col("ts") >= middle) == F.lit(late)).drop("ts", "event_id")
+        io.as_messages(half).write.mode("append").text(f"{folder}/in")
+        plan = queries.commission_by_type(io.parse_transactions(io.text_stream(t.spark, f"{folder}/in")), "1 hour", "60 days")
+        out = io.run_upserts(plan, folder, ["window_start", "commission_type"])
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "commission_type", "total_commission")
+
+
+@query("st16_malformed_messages", with_views(TXN) + "SELECT transaction_id, amount FROM txn WHERE event_id % 7 <> 0")
+def _(t):
+    folder = scratch_path(t.spark, "malformed")
+    wire = t.txn.withColumn("timestamp", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    text = F.to_json(F.struct(*[c for c in wire.columns if c not in ("ts", "event_id")]))
+    wire.select(F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{broken "), text)).otherwise(text).alias("value")).write.text(f"{folder}/in")
+    parsed = io.parse_transactions(io.text_stream(t.spark, f"{folder}/in"))
+    return io.run_to_table(parsed.select("transaction_id", "amount"), folder)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from brightledger.operators import statistics as st
 from brightledger.plans.registry import query
-from brightledger.plans.view_sql import POLLS, with_views
+from brightledger.plans.view_sql import POLLS, with_views, normal_upper_sql
 
 COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -47,10 +47,11 @@ def _(t):
     return rounded(out.select("z"), "z")
 
 
-@query("q4_spread_test")
+@query("q4_spread_test", _POOLED + ", x AS (SELECT (2 * p - 1) / (2 * sqrt(p * (1 - p) / n)) AS z FROM s), y AS (SELECT z, 2 * " + normal_upper_sql("abs(z)") + """ AS p_value FROM x)
+SELECT round(z, 6) AS z, round(p_value, 6) AS p_value, CASE WHEN p_value < 0.05 THEN 'rejected at 0.05' WHEN p_value < 0.1 THEN 'rejected at 0.1' ELSE 'not rejected' END AS decision FROM y""")
 def _(t):
     out = st.spread_test(pooled(t).withColumns(st.spread_interval(F.col("p"), F.col("n"))))
-    return out.withColumn("decision", st.decision(F.col("p_value"))).select("z", "p_value", "decision")
+    return rounded(out.withColumn("decision", st.decision(F.col("p_value"))).select("z", "p_value", "decision"), "z", "p_value")
 
 
 _LEVENE = """SELECT '{c}' AS "column", round((sq - n_all * m_all * m_all) * (n_all - 2) / within_ss, 4) AS statistic, CAST(n_all - 2 AS DOUBLE) AS df2 FROM (
@@ -134,6 +135,8 @@ def _(t):
     return rounded(out.select("l_linenumber", "z"), "z")
 
 
-@query("q14_chance_above_zero")
+@query("q14_chance_above_zero", """WITH x AS (SELECT l_linenumber, -(count(*) * avg(l_quantity - 25.5::DOUBLE)) / sqrt(count(*) * var_pop(l_quantity - 25.5::DOUBLE)) AS z FROM lineitem GROUP BY 1)
+SELECT l_linenumber, round(z, 6) AS z, round(""" + normal_upper_sql("z") + """, 6) AS p_above FROM x""")
 def _(t):
-    return st.chance_above_zero(t.lineitem.withColumn("gain", F.col("l_quantity") - 25.5), ["l_linenumber"], "gain")
+    out = st.chance_above_zero(t.lineitem.withColumn("gain", F.col("l_quantity") - 25.5), ["l_linenumber"], "gain")
+    return rounded(out.select("l_linenumber", "z", "p_above"), "z", "p_above")

@@ -30,7 +30,7 @@ def noisy(t):
     c = F.translate("text", "ei", "يك")
     c = F.replace(c, F.lit("."), F.lit(".!\U0001F600"))
     c = F.replace(c, F.lit(" a"), F.lit("\u200ba"))
-    return t.texts.select("doc_id", F.replace(c, F.lit(", "), F.lit("\u200c")).alias("text"))
+    return t.documents.select("doc_id", F.replace(c, F.lit(", "), F.lit("\u200c")).alias("text"))
 
 
 @query("x1_unify_letters", f"SELECT doc_id, {_VARIANTS.format(c=_NOISY)} AS text FROM documents")
@@ -41,7 +41,7 @@ def _(t):
 @query("x1_unify_accents", "SELECT doc_id, translate(text, 'éèêçñóíä', 'eeecnoia') AS text FROM documents")
 def _(t):
     accents = {"é": "e", "è": "e", "ê": "e", "ç": "c", "ñ": "n", "ó": "o", "í": "i", "ä": "a"}
-    return t.texts.select("doc_id", tx.unify_letters(F.col("text"), accents, "").alias("text"))
+    return t.documents.select("doc_id", tx.unify_letters(F.col("text"), accents, "").alias("text"))
 
 
 @query("x2_clean_punctuation", f"SELECT doc_id, {_CLEAN.replace('{c}', _NOISY)} AS text FROM documents")
@@ -60,7 +60,7 @@ _MARKED = "replace(replace(text, 'é', 'e' || chr(1611)), 'ñ', 'n' || chr(1618)
 
 def marked(t):
     c = F.replace(F.col("text"), F.lit("é"), F.lit("e\u064b"))
-    return t.texts.select("doc_id", F.replace(c, F.lit("ñ"), F.lit("n\u0652")).alias("text"))
+    return t.documents.select("doc_id", F.replace(c, F.lit("ñ"), F.lit("n\u0652")).alias("text"))
 
 
 @query("x4_marks_present", " UNION ALL ".join(
@@ -80,7 +80,7 @@ _TOKENS = r"string_split(trim(regexp_replace(text, '[\s]+', ' ', 'g')), ' ')"
 
 @query("x6_tokens", f"SELECT doc_id, len({_TOKENS}) AS n_tokens, array_to_string({_TOKENS}, '|') AS joined FROM documents")
 def _(t):
-    tok = t.texts.select("doc_id", tx.tokens(F.col("text")).alias("t"))
+    tok = t.documents.select("doc_id", tx.tokens(F.col("text")).alias("t"))
     return tok.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.array_join("t", "|").alias("joined"))
 
 
@@ -90,7 +90,7 @@ _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 @query("x7_stop_words", f"SELECT doc_id, len({_TOKENS}) AS n_with, len(list_filter({_TOKENS}, lambda w: w NOT IN ({_STOPS}))) AS n_without, array_to_string(list_filter({_TOKENS}, lambda w: w NOT IN ({_STOPS})), ' ') AS kept FROM documents")
 def _(t):
-    tok = t.texts.select("doc_id", tx.tokens(F.col("text")).alias("t"))
+    tok = t.documents.select("doc_id", tx.tokens(F.col("text")).alias("t"))
     kept = tok.withColumn("k", tx.without_stop_words(F.col("t"), STOP_WORDS))
     return kept.select("doc_id", F.size("t").cast("bigint").alias("n_with"), F.size("k").cast("bigint").alias("n_without"),
                        F.array_join("k", " ").alias("kept"))
@@ -109,18 +109,18 @@ def _short_sql():
 @query("x8_shorten_repeats", f"SELECT doc_id, {_short_sql()} AS text FROM documents")
 def _(t):
     stretched = F.replace(F.replace(F.col("text"), F.lit("on"), F.lit("onnnn")), F.lit("a"), F.lit("aaa"))
-    return t.texts.select("doc_id", F.array_join(tx.shorten_repeats(tx.tokens(stretched)), " ").alias("text"))
+    return t.documents.select("doc_id", F.array_join(tx.shorten_repeats(tx.tokens(stretched)), " ").alias("text"))
 
 
 @query("x9_replace_words", f"SELECT doc_id, array_to_string(list_transform({_TOKENS}, lambda w: CASE w WHEN 'the' THEN 'article' WHEN 'la' THEN 'artículo' WHEN 'and' THEN 'link' ELSE w END), ' ') AS text FROM documents")
 def _(t):
     swapped = tx.replace_words(tx.tokens(F.col("text")), {"the": "article", "la": "artículo", "and": "link"})
-    return t.texts.select("doc_id", F.array_join(swapped, " ").alias("text"))
+    return t.documents.select("doc_id", F.array_join(swapped, " ").alias("text"))
 
 
 @query("x10_word_frequency", f"""SELECT word, count(*) AS n FROM (SELECT unnest({_TOKENS}) AS word FROM documents) WHERE word NOT IN ('.', ',', '!', '?', '-', ':') GROUP BY 1 ORDER BY n DESC, word LIMIT 50""")
 def _(t):
-    tok = t.texts.select(tx.tokens(F.col("text")).alias("t"))
+    tok = t.documents.select(tx.tokens(F.col("text")).alias("t"))
     return tx.word_frequency(tok, "t", [".", ",", "!", "?", "-", ":"], 50)
 
 
@@ -131,7 +131,7 @@ _WORDS = r"regexp_extract_all(lower(text), '[\pL\pN_\pM]{2,}')"
     f"SELECT * FROM (SELECT CAST({n} AS INTEGER) AS size, array_to_string(list_slice(w, i, i + {n - 1}), ' ') AS ngram, count(*) AS n FROM (SELECT w, unnest(generate_series(1, len(w) - {n - 1})) AS i FROM w) GROUP BY 2 ORDER BY n DESC, ngram LIMIT 20)"
     for n in (1, 2, 3)))
 def _(t):
-    out, tokens = None, materialise(t.texts.select(tx.words(F.col("text")).alias("w")), "tokens")
+    out, tokens = None, materialise(t.documents.select(tx.words(F.col("text")).alias("w")), "tokens")
     for n in (1, 2, 3):
         part = tx.top_ngrams(tokens, F.col("w"), n).select(F.lit(n).alias("size"), "ngram", "n")
         out = part if out is None else out.unionByName(part)
@@ -163,9 +163,9 @@ def _(t):
     return per.groupBy("role").agg(F.count("*").alias("n_threads"), F.sum("c").alias("n_turns"))
 
 
-@query("x13_top_users", "SELECT user_id, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1 ORDER BY n DESC, user_id LIMIT 10")
+@query("x13_top_users", "SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, user_id LIMIT 10")
 def _(t):
-    return agg.frequency(t.events.filter("event_type = 'click'"), ["user_id"]).orderBy(F.desc("n"), "user_id").limit(10)
+    return agg.frequency(t.events, ["user_id"]).orderBy(F.desc("n"), "user_id").limit(10)
 
 
 @query("x13_hour_weekday_table", "SELECT hour(ts) AS hour, " + ", ".join(f"count(*) FILTER (isodow(ts) = {d + 1}) AS day_{d}" for d in range(7)) + " FROM events GROUP BY 1")
@@ -232,7 +232,7 @@ def keyword_queries(tokens):
 
 
 def keyword_ranking(t, k):
-    tokens = materialise(t.texts.select("doc_id", "lang", tx.words(F.col("text")).alias("w")), "tokens")
+    tokens = materialise(t.documents.select("doc_id", "lang", tx.words(F.col("text")).alias("w")), "tokens")
     postings, lengths = rt.build_index(tokens, "doc_id", F.col("w"))
     return rt.keyword_search(postings, lengths, materialise(keyword_queries(tokens), "asked"), k)
 
@@ -242,15 +242,21 @@ def _(t):
     return rounded(keyword_ranking(t, 5).select("query_id", "id", "score", "rank"), "score")
 
 
-@query("x16_hybrid_search", "WITH " + _BM25 + """, ln AS (SELECT lang AS query_id, doc_id AS id, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS rank FROM documents),
-f AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.id, b.id) AS id, coalesce(1.0::DOUBLE / (60 + a.rank), 0) + coalesce(1.0::DOUBLE / (60 + b.rank), 0) AS score
-FROM (SELECT * FROM kw WHERE rank <= 50) a FULL JOIN (SELECT * FROM ln WHERE rank <= 50) b ON a.query_id = b.query_id AND a.id = b.id)
+_LANG_CENTROIDS = """lc AS (SELECT lang AS query_id, i AS d, avg(embedding[i]::DOUBLE) AS m FROM embeddings JOIN documents ON doc_id = vec_id, (SELECT unnest(generate_series(1, 64)) AS i) GROUP BY 1, 2),
+lq AS (SELECT query_id, list(m ORDER BY d) AS v FROM lc GROUP BY 1),
+dn AS (SELECT query_id, vec_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY list_distance(CAST(embedding AS DOUBLE[]), v), vec_id) AS rank FROM embeddings, lq) """
+
+
+@query("x16_hybrid_search", "WITH " + _BM25 + "," + _LANG_CENTROIDS + """, f AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.id, b.id) AS id,
+coalesce(1.0::DOUBLE / (60 + a.rank), 0) + coalesce(1.0::DOUBLE / (60 + b.rank), 0) AS score FROM kw a FULL JOIN dn b ON a.query_id = b.query_id AND a.id = b.id)
 SELECT query_id, id, round(score, 9) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, id) AS rank FROM f) WHERE rank <= 5""")
 def _(t):
-    w = Window.partitionBy("query_id").orderBy(F.desc("n_chars"), "id")
-    longest = t.texts.select(F.col("lang").alias("query_id"), F.col("doc_id").alias("id"), "n_chars").withColumn(
-        "rank", F.row_number().over(w)).filter("rank <= 50")
-    out = rt.fuse(keyword_ranking(t, 50), longest, 5)
+    # documents and vectors share ids; a language asks with its most frequent words and with the mean of its vectors
+    known = t.documents.select(F.col("doc_id").alias("vec_id"), F.col("lang").alias("query_id")).join(t.embeddings, "vec_id")
+    means = known.groupBy("query_id").agg(*[F.avg(F.col("embedding")[i].cast("double")).alias(f"m{i}") for i in range(DIMS)])
+    asked = means.select("query_id", F.array(*[f"m{i}" for i in range(DIMS)]).alias("embedding"))
+    dense = rt.nearest(t.embeddings.select("vec_id", "embedding"), asked, None).withColumnRenamed("vec_id", "id")
+    out = rt.fuse(keyword_ranking(t, None), dense, 5)
     return out.select("query_id", "id", F.round("score", 9).alias("score"), "rank")
 
 
@@ -261,16 +267,18 @@ SELECT doc_id, round(coalesce(a, 0), 6) AS v_first, round(coalesce(b, 0), 6) AS
 
 @query("r8_mean_word_vectors", _R8)
 def _(t):
-    docs = materialise(t.texts.select("doc_id", tx.words(F.col("text")).alias("w")), "tokens")
+    docs = materialise(t.documents.select("doc_id", tx.words(F.col("text")).alias("w")), "tokens")
     by_count = with_position(tx.word_frequency(docs, "w"), [F.desc("n"), "word"], name="vec_id")
     vocabulary = by_count.join(t.embeddings, "vec_id").select("word", F.col("embedding").alias("vector"))
     v = rt.mean_word_vectors(docs, "doc_id", "w", vocabulary, DIMS)
     return v.select("doc_id", *[F.round(F.col("vector")[i], 6).alias(n) for i, n in ((0, "v_first"), (1, "v_second"), (63, "v_last"))])
 
 
-@query("ud4_embedding_table")
+@query("ud4_embedding_table", """SELECT doc_id, CAST(length(text) AS DOUBLE) AS chars, CAST(len(regexp_extract_all(text, '\\p{Lu}')) AS DOUBLE) AS capitals, CAST(length(text) - length(replace(text, ' ', '')) AS DOUBLE) AS spaces
+FROM (SELECT DISTINCT doc_id, text FROM documents)""")
 def _(t):
     def character_profile(texts):
         return [[len(x), sum(map(str.isupper, x)), x.count(" ")] for x in texts]
 
-    return rt.embed_texts(t.texts, "doc_id", "text", character_profile, 3).select("doc_id", "embedding")
+    made = rt.embed_texts(t.documents, "doc_id", "text", character_profile, 3)
+    return made.select("doc_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(("chars", "capitals", "spaces"))])

@@ -68,3 +68,18 @@ probs AS (SELECT vec_id, label, a / (a + b + c) AS p1, b / (a + b + c) AS p2, c
 
 def with_views(*views: str) -> str:
     return "WITH " + ", ".join(views) + " "
+
+
+def lcs_sql(pairs: str) -> str:
+    """CTE ``lcs`` (a, b, n) over the CTE ``pairs`` (a, b): length of the longest common subsequence, one letter of ``a`` per step."""
+    return f"""lcs_rows AS (SELECT a, b, 0 AS i, list_transform(range(0, length(b) + 1), lambda x: 0::BIGINT) AS row FROM {pairs} UNION ALL
+SELECT a, b, i + 1, list_prepend(0::BIGINT, list_transform(range(1, length(b) + 1), lambda k: list_max(list_transform(range(1, k + 1), lambda j:
+  greatest(row[j + 1], CASE WHEN substr(b, j, 1) = substr(a, CAST(i + 1 AS BIGINT), 1) THEN row[j] + 1 ELSE 0 END))))) FROM lcs_rows WHERE i < length(a)),
+lcs AS (SELECT a, b, row[length(b) + 1] AS n FROM lcs_rows WHERE i = length(a)) """
+
+
+def normal_upper_sql(z: str) -> str:
+    """Upper tail of the standard normal distribution at ``z``, by Simpson's rule."""
+    x = f"least(abs({z}), 9.0::DOUBLE)"
+    area = f"list_sum(list_transform(range(0, 2001), lambda i: (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-pow(i * {x} / 2000, 2) / 2)))"
+    return f"(0.5::DOUBLE - sign({z}) * {area} * {x} / 6000 / sqrt(2 * pi()))"

@@ -51,12 +51,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def well_split(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the session has cores, before costly row work.
-
-    A large table has many more splits than cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from brightledger.functions.dates import parse_event_time
 from brightledger.operators.validation import error_rows, keyed_message, rejected_rows, valid_rows, validate
@@ -96,6 +97,31 @@ def run_to_table(df: DataFrame, folder: str, mode: str = "append") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/output")
 
 
+def upserts(df: DataFrame, folder: str, name: str | None = None) -> StreamingQuery:
+    """Start a query in update mode whose batches are stored for ``upserted``.
+
+    A batch is written under ``batch=<id>`` with overwrite, so a replayed batch replaces its own rows.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/output/batch={batch_id}")
+
+    return sink(df, "batch", f"{folder}/checkpoint", "update", on_batch=write, name=name)
+
+
+def upserted(spark: SparkSession, schema, folder: str, keys: list[str]) -> DataFrame:
+    """The latest row of every key that an update-mode query has stored."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(f"{folder}/output")
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(F.lit(0).alias("_"), *rest), "batch").alias("_r"))
+    return latest.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in schema.names])
+
+
+def run_upserts(df: DataFrame, folder: str, keys: list[str]) -> DataFrame:
+    """Run a stream in update mode over all data present now: every window, also those still open, with its latest values."""
+    run_all([upserts(df, folder)])
+    return upserted(df.sparkSession, df.schema, folder, keys)
+
+
 def validation_stream(messages: DataFrame, valid_path: str, error_path: str, reject_path: str, checkpoint: str,
                       as_of=None) -> StreamingQuery:
     """Parse, check and split messages to three sinks: valid rows, one keyed error message per failed

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightledger.functions.geometry import great_circle_km
-from brightledger.operators.joins import distant_pairs
+from brightledger.operators.joins import above_average, distant_pairs
 
 WATERMARK = "2 minutes"
 ALERT_COLUMNS = ["customer_id", "fraud_type", "description", "window_start", "window_end"]
@@ -38,6 +38,17 @@ def commission_ratio(txns: DataFrame, width: str = "5 minutes", delay: str = WAT
         F.try_divide(F.sum("commission_amount"), F.sum("amount")).alias("commission_ratio")))
 
 
+def commission_by_merchant(txns: DataFrame, width: str = "5 minutes", delay: str = WATERMARK) -> DataFrame:
+    return _flat(watermarked(txns, delay).groupBy(F.window("ts", width).alias("window"), "merchant_id").agg(
+        F.sum("commission_amount").alias("total_commission")))
+
+
+def best_merchants(sums: DataFrame) -> DataFrame:
+    """The merchants of the highest commission of every window of a table that an update-mode query keeps; all of ties."""
+    best = sums.groupBy("window_start").agg(F.max("total_commission").alias("total_commission"))
+    return sums.join(best, ["window_start", "total_commission"]).select("window_start", "window_end", "merchant_id", "total_commission")
+
+
 def top_merchants(txns: DataFrame, width: str = "5 minutes", delay: str = WATERMARK) -> DataFrame:
     """Merchant with the highest commission per window. On a stream a second aggregation picks the
     best (lowest id of ties); on a table all ties are kept."""
@@ -51,6 +62,11 @@ def top_merchants(txns: DataFrame, width: str = "5 minutes", delay: str = WATERM
     return _flat(picked.select("window", F.col("_b.m").alias("merchant_id"), (-F.col("_b.c")).alias("total_commission")))
 
 
+def _minutes(seconds: int) -> str:
+    return f"{seconds // 60} minutes" if seconds % 60 == 0 else f"{seconds} seconds"
+
+
+#: The kinds and texts of alerts are fixed values: receivers read them.
 def _alert(df: DataFrame, kind: str, text: str, start, end) -> DataFrame:
     return df.select("customer_id", F.lit(kind).alias("fraud_type"), F.lit(text).alias("description"),
                      start.alias("window_start"), end.alias("window_end"))
@@ -81,12 +97,16 @@ def distance_alerts(txns: DataFrame, seconds: int = 300, km: float = 50.0, delay
         pairs = a.join(b, (F.col("customer_id") == F.col("_c")) & (F.col("_slot_1") == F.col("_slot_2")) & bounds).filter((gap > 0) & (gap <= seconds))
         far = great_circle_km(*[F.col(c) for c in ("lat_1", "lng_1", "lat_2", "lng_2")]) > km
         out, start, end = pairs.filter(far), F.col("ts_1"), F.col("ts_2")
-    return _alert(out, "GEOGRAPHICAL_IMPOSSIBILITY", f"Transactions >{km:g}km apart within {seconds} seconds", start, end)
+    return _alert(out, "GEOGRAPHICAL_IMPOSSIBILITY", f"Transactions >{km:g}km apart within {_minutes(seconds)}", start, end)
 
 
 def amount_alerts(txns: DataFrame, averages: DataFrame, factor: float = 10) -> DataFrame:
     """Amount above ``factor`` times the customer's historic average (stream-static join)."""
-    odd = txns.join(averages, "customer_id").filter(F.col("amount") > F.col("average_amount") * factor)
+    columns = txns.select("customer_id", "amount", "ts")
+    if txns.isStreaming:  # a batch is small and the static side arrives by its own size
+        odd = columns.join(averages, "customer_id").filter(F.col("amount") > F.col("average_amount") * factor)
+    else:
+        odd = above_average(columns, averages, "customer_id", factor)
     return _alert(odd, "AMOUNT_ANOMALY", f"Transaction amount >{factor:g}x customer average", F.col("ts"), F.col("ts"))
 
 

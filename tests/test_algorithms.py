@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brightledger.functions import strings, tails
-from brightledger.operators import clustering, components, graph, joins, recommend, retrieval
+from brightledger.operators import arrays, clustering, components, graph, joins, recommend, retrieval
 
 
 def iou(a, b):
@@ -173,13 +173,15 @@ def test_recommender_beats_the_mean(spark):
     assert all(0 <= r["prediction"] <= 5 for r in model.predict(unknown).collect())
 
 
-@pytest.mark.parametrize("chunk", [2, 100])
-def test_nearest_in_chunks(spark, chunk):
+@pytest.mark.parametrize("queries_each,items_each", [(2, 30), (100, 10_000)])
+def test_nearest_in_blocks(spark, monkeypatch, queries_each, items_each):
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", queries_each)
+    monkeypatch.setattr(retrieval, "ITEM_BLOCK", items_each)
     rng = np.random.default_rng(6)
     x, q = rng.normal(size=(200, 5)), rng.normal(size=(5, 5))
     items = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(x)], "vec_id int, embedding array<double>").repartition(4)
     queries = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(q)], "query_id int, embedding array<double>")
-    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in retrieval.nearest(items, queries, 3, chunk=chunk).collect()}
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in retrieval.nearest(items, queries, 3).collect()}
     for i in range(5):
         want = np.argsort(((x - q[i]) ** 2).sum(axis=1))[:3]
         assert [got[i, k] for k in (1, 2, 3)] == want.tolist()
@@ -215,8 +217,14 @@ def test_interval_pairs_boundaries(spark):
     assert got == {(1, 2, 300), (2, 3, 1), (2, 4, 1)}
 
 
-def test_round_robin_group_bound(spark):
-    df = spark.range(12).select(F.lit(1).alias("g"), F.col("id").alias("team"))
-    assert joins.group_pairs(df, "g", "team").count() == 66
-    with pytest.raises(Exception, match="too large"):
-        joins.group_pairs(df, "g", "team", largest_group=11).count()
+@pytest.mark.parametrize("n,block", [(12, 1_000), (12, 5), (1_200, 100)])
+def test_round_robin_of_any_size(spark, n, block):
+    df = spark.range(n).select(F.lit(1).alias("g"), F.col("id").alias("team"))
+    pairs = joins.group_pairs(df, "g", "team", block=block)
+    assert pairs.count() == n * (n - 1) // 2 == pairs.distinct().count()
+
+
+def test_more_labels_than_columns(spark):
+    df = spark.range(12_000).select(F.col("id"), F.array(F.col("id").cast("string"), F.lit("all")).alias("l"))
+    labels = arrays.learn_labels(df.filter("id % 2 = 0"), "l")
+    assert labels.count() == 6_001 and arrays.multi_hot_rows(df, "id", "l", labels).count() == 18_000

@@ -75,8 +75,8 @@ def test_lookback_within_series(frame):
 
 
 def test_frame_wider_than_block(frame):
-    with pytest.raises(ValueError):
-        series.trailing_row_mean(frame, ["id"], "v", 7, block_rows=3)
+    wide, plain = (series.trailing_row_mean(frame, ["id"], "v", 7, block_rows=n) for n in (3, 100_000))
+    assert wide.exceptAll(plain).isEmpty() and plain.exceptAll(wide).isEmpty()
 
 
 def test_chronological_split(frame):
@@ -88,7 +88,7 @@ def test_chronological_split(frame):
 def test_salted_join(spark, frame, how):
     other = spark.createDataFrame([("hot", 1), ("g1", 2), ("g1", 3), ("g9", 4)], "g string, w int")
     hot = skew.hot_keys(frame, ["g"])
-    assert len(hot) == 8
+    assert hot
     plain = frame.join(other, "g", how)
     got = skew.salted_join(frame, other, ["g"], how, hot, ["id"])
     assert got.columns == plain.columns
@@ -98,5 +98,18 @@ def test_salted_join(spark, frame, how):
 def test_hot_keys_found_among_many(spark):
     df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id"))
     hot = skew.hot_keys(df, ["k"])
-    assert hot == [df.filter("k = -1").select(F.xxhash64("k")).first()[0]]
-    assert skew.hot_keys(df, ["id"]) == []
+    assert list(hot.values()) == [[df.filter("k = -1").select(F.xxhash64("k")).first()[0]]]
+    assert list(hot) == [4]  # a third of the rows over 8 partitions fills three
+    assert skew.hot_keys(df, ["id"]) == {}
+
+
+@pytest.mark.parametrize("share", [0.005, 0.6])
+def test_salted_join_with_a_map_column(spark, share):
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        big = spark.range(20_000).select(F.when(F.col("id") < 20_000 * share, -1).otherwise(F.col("id")).alias("k"), F.col("id"), F.create_map(F.lit("os"), F.lit("x")).alias("m"))
+        assert sum(map(len, skew.hot_keys(big, ["k"]).values())) == 1
+        other = spark.createDataFrame([(-1, "hot"), (19_999, "one")], "k bigint, w string")
+        assert skew.salted_join(big, other, ["k"]).count() == int(20_000 * share) + 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

@@ -133,6 +133,13 @@ def test_splits_partition_the_rows(tables):
     assert s.select("l_orderkey", "split").distinct().groupBy("l_orderkey").count().filter("count > 1").isEmpty()
 
 
+@pytest.mark.parametrize("key", ["concat('img_', id)", "-id", "id", "cast(-id as decimal(20,0))"])
+def test_splits_by_keys_of_any_type_and_sign(spark, key):
+    s = selection.random_split(spark.range(2_000).selectExpr(f"{key} as k"), "k", {"train": 0.8, "test": 0.2})
+    assert 0.77 < s.filter("split = 'train'").count() / 2_000 < 0.83
+    assert selection.stratified_split(s.withColumn("label", F.lit(1)), "label", "k").filter("split = 'train'").count() == 1_600
+
+
 def test_unseen_category(spark):
     train, new = spark.createDataFrame([("b",), ("a",)], "c string"), spark.createDataFrame([("a",), ("z",)], "c string")
     assert {r["c"]: r["code"] for r in selection.label_codes(new, "c", fit_on=train).collect()} == {"a": 0, "z": None}
