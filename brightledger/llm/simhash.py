@@ -210,7 +210,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     single, repeated = ids.filter("_rows = 1"), ids.filter("_rows > 1")
 
     def of(rows, those):
-        return rows.join(those, rows["doc_id"].eqNullSafe(those["_id"]), "left_semi")
+        # the ids grow with the documents: they are merged at every size, never sent to all executors
+        return rows.join(those.hint("merge"), rows["doc_id"].eqNullSafe(those["_id"]), "left_semi")
 
     if repeated.isEmpty():
         return of(docs, single)
