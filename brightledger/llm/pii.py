@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +31,12 @@ TITLES = {"f": "Mrs Ms Miss Madam Frau Madame Mme Mlle Señora Sra Srta Госп
           "": "Dr Prof Doctor Professor".split()}
 INTRODUCTIONS = ["My name is", "my name is", "Mein Name ist", "mein Name ist", "Je m'appelle", "je m'appelle", "Me llamo", "me llamo", "Меня зовут", "меня зовут"]
 
+#: Alphabets of scripts whose blocks hold letters out of use, and what stands for characters of no class.
+ALPHABETS = ["абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"]
+MARKS = "*-_.:#%&+=?@^~!$/|"
+#: A secret of fewer letters and digits has its other characters drawn too; so have all after so many attempts, and they grow.
+LEAST_DRAWN, SAME_LENGTH = 6, 4
+
 _NAME = r"[^\W\d_a-zà-ÿß][^\W\d_]+(?:[-'][^\W\d_]+)*"
 _KINDS = [
     ("email", r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
@@ -96,6 +104,29 @@ def _digit(rnd) -> str:
     return str(next(b for b in rnd if b < 250) % 10)
 
 
+@lru_cache(10_000)
+def _class(c: str) -> str:
+    """The characters that may stand for ``c``: of its script and case, else of its block and category, else marks."""
+    for letters in ALPHABETS:
+        for each in (letters, letters.upper()):
+            if c in each:
+                return each
+    kind, block = unicodedata.category(c), ord(c) & ~0x7F
+    own = "".join(x for x in map(chr, range(block, block + 128)) if unicodedata.category(x) == kind) if kind[0] in "LMN" else ""
+    return own if len(own) > 1 else MARKS
+
+
+def _drawn(text: str, rnd, marks: bool) -> str:
+    """As ``_shaped``, and letters of every script, with ``marks`` other characters too, replaced by ones of their class."""
+    out = []
+    for c, new in zip(text, _shaped(text, rnd)):
+        if not (c.isdigit() or c.isascii() and c.isalpha()) and (marks or unicodedata.category(c)[0] in "LMN"):
+            letters = _class(c)
+            new = letters[(next(rnd) << 8 | next(rnd)) % len(letters)]
+        out.append(new)
+    return "".join(out)
+
+
 def _shaped(text: str, rnd) -> str:
     """Letters and digits replaced by ones of the same class; everything else stays."""
     hexed = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text)
@@ -124,8 +155,12 @@ def _script(name: str) -> str:
 
 
 def surrogate(kind: str, gender: str, entity: str, attempt: int, key: str = KEY) -> str:
-    """The replacement of an entity (as ``same`` gives it). Another attempt gives another one."""
+    """The replacement of an entity (as ``same`` gives it). Another attempt gives another one.
+
+    Where few of a length may exist, later attempts are longer, so one that is free is always found.
+    """
     rnd = _stream(key, kind, entity, str(attempt))
+    more = "0" * max(0, attempt - SAME_LENGTH + 1)
     if kind in ("given", "family"):
         pools = NAMES[_script(entity)]
         pool = pools["family" if kind == "family" else gender or ("f" if next(rnd) % 2 else "m")]
@@ -134,7 +169,7 @@ def surrogate(kind: str, gender: str, entity: str, attempt: int, key: str = KEY)
     if kind == "email":
         local, _, host = entity.partition("@")
         labels = host.split(".")
-        return _shaped(local, rnd) + "@" + ".".join([_shaped(x, rnd) for x in labels[:-1]] + labels[-1:])
+        return _shaped(local, rnd) + _shaped(more, rnd) + "@" + ".".join([_shaped(x, rnd) for x in labels[:-1]] + labels[-1:])
     if kind == "ip":
         octets = [str(1 + next(rnd) % 254)] + [str(next(rnd)) for _ in range(2)] + [str(1 + next(rnd) % 254)]
         return ".".join(octets)
@@ -144,25 +179,29 @@ def surrogate(kind: str, gender: str, entity: str, attempt: int, key: str = KEY)
         return new + (last if _luhn(entity) == 0 else _digit(rnd))
     if kind in ("phone", "ssn"):
         country, plus, rest = entity.rpartition("+")
+        rest += more if kind == "phone" else ""
         return country + plus + "".join(_digit(rnd) for _ in rest)
     if kind == "iban":
         return entity[:2] + _shaped(entity[2:], rnd)
     if kind == "key":
         prefix = re.match(r"AKIA|ASIA|gh[pousr]_|sk[-_](?:live[-_]|test[-_])?|xox[abprs]-", entity)[0]
-        return prefix + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[next(rnd) % 32] if c.isupper() or c.isdigit() and entity.isupper() else _shaped(c, rnd) for c in entity[len(prefix):])
-    return _shaped(entity, rnd)
+        return prefix + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[next(rnd) % 32] if c.isupper() or c.isdigit() and entity.isupper() else _shaped(c, rnd) for c in entity[len(prefix):]) + ("" if prefix in ("AKIA", "ASIA") else _shaped(more, rnd))
+    drawn = sum(c.isalnum() for c in entity)
+    return _drawn(entity, rnd, drawn < LEAST_DRAWN or bool(more)) + _shaped(more, rnd)
 
 
 def spelled(kind: str, value: str, new: str) -> str:
     """The surrogate in the format of a mention: separators, country code, capitals."""
     if kind in ("card", "phone", "ssn"):
         digits = iter(re.sub(r"\D", "", new))
-        return re.sub(r"\d", lambda _: next(digits), value)
+        return re.sub(r"\d", lambda _: next(digits), value) + "".join(digits)
     if kind == "iban":
         letters = iter(new)
         return "".join(c if c == " " else next(letters) for c in value)
     if kind == "email":
-        return "".join(n.upper() if v.isupper() else n for v, n in zip(value, new))
+        host = len(value) - value.index("@")  # the local part may have become longer
+        local = "".join(n.upper() if v.isupper() else n for v, n in zip(value, new[:-host]))
+        return local + new[len(local):-host] + "".join(n.upper() if v.isupper() else n for v, n in zip(value[-host:], new[-host:]))
     return new
 
 
