@@ -9,7 +9,7 @@ import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightledger.llm.common import map_arrow, read
@@ -58,8 +58,37 @@ HINT = f"(?=[@+=:0-9gs{''.join(sorted({t[0] for t in _PLAIN}))}])(?:[@+=:]|[0-9]
 _HINT = re.compile(HINT)
 
 
+def mentions(text: str, found: list[tuple[int, int, str, str, str]]) -> list[tuple[int, int, str, str, str]]:
+    """The other whole-word mentions of the names in ``found``, as they are or in capitals, outside of ``found``."""
+    forms: dict[str, dict[str, tuple[str, str]]] = {}  # by the first run of word characters, so one pass finds all
+    for _, _, kind, gender, value in found:
+        if kind in ("given", "family") and value[0].isupper():
+            name = same(kind, value)
+            for form in (name, name.upper()):
+                forms.setdefault(re.match(r"\w+", form)[0], {}).setdefault(form, (kind, gender))
+    taken, out, k, last = [(start, end) for start, end, *_ in found], [], 0, 0
+    for m in re.finditer(r"\w+", text) if forms else ():
+        start = m.start()
+        if start < last:
+            continue
+        fits = [f for f in forms.get(m[0], ()) if text.startswith(f, start) and not re.match(r"\w", text[start + len(f):start + len(f) + 1])]
+        if not fits:
+            continue
+        form = max(fits, key=len)
+        end = start + len(form)
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        if not (k < len(taken) and taken[k][0] < end):
+            out.append((start, end, *forms[m[0]][form], form))
+            last = end
+    return out
+
+
 def entities(text: str) -> list[tuple[int, int, str, str, str]]:
-    """(start, end, kind, gender, value) of every entity, in order and without overlap. Gender is that of a name's title."""
+    """(start, end, kind, gender, value) of every entity, in order and without overlap. Gender is that of a name's title.
+
+    A name that stands after a title or an introduction is found wherever its given or family name stands in the text.
+    """
     if not text or not _HINT.search(text):
         return []
     out = []
@@ -76,7 +105,8 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
         for k, w in enumerate(words):
             family = k == len(words) - 1 and (k > 0 or gender is not None)
             out.append((start + w.start(), start + w.end(), "family" if family else "given", "" if family else gender or "", w[0]))
-    return out
+    more = mentions(text, out) if any(e[2] in ("given", "family") for e in out) else []
+    return sorted(out + more) if more else out
 
 
 def same(kind: str, value: str) -> str:
@@ -89,6 +119,8 @@ def same(kind: str, value: str) -> str:
         return re.sub(r"\D", "", value)
     if kind == "iban":
         return value.replace(" ", "")
+    if kind in ("given", "family"):
+        return value.title() if value.isupper() else value
     return value.lower() if kind == "email" else value
 
 
@@ -202,6 +234,8 @@ def spelled(kind: str, value: str, new: str) -> str:
         host = len(value) - value.index("@")  # the local part may have become longer
         local = "".join(n.upper() if v.isupper() else n for v, n in zip(value, new[:-host]))
         return local + new[len(local):-host] + "".join(n.upper() if v.isupper() else n for v, n in zip(value[-host:], new[-host:]))
+    if kind in ("given", "family", "name"):
+        return new.upper() if value.isupper() else new
     return new
 
 
@@ -220,28 +254,36 @@ def found_entities(docs: DataFrame) -> DataFrame:
     return map_arrow(texts, work, "digest string, kind string, gender string, entity string")
 
 
+def joint(kind: str) -> Column:
+    return F.when(F.col(kind).isin("given", "family"), "name").otherwise(F.col(kind))
+
+
 def surrogates(entities_: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, entity, surrogate), one row for each distinct entity: all surrogates of a kind differ, and none is an entity.
 
+    Given and family names are of the one kind ``name``, so a word has one surrogate wherever it stands in names: a family name
+    unless more of the rows say given.
     All entities draw; those whose draw meets another's or an entity of the text draw again, until none is left. The one with
     the smallest entity keeps a contested draw, so the table is the same in any partitioning.
     """
     genders = F.max("gender").alias("gender")  # a title beats none
-    known = materialise(entities_.groupBy("kind", "entity").agg(genders), "entities")
+    part = F.when(F.sum(F.when(F.col("kind") == "given", 1).otherwise(-1)) > 0, "given").otherwise("family").alias("part")
+    known = materialise(entities_.groupBy(joint("kind").alias("_kind"), "entity").agg(genders, part).withColumnRenamed("_kind", "kind"), "entities")
 
     def draw(attempt):
         def work(batches):
             for b in batches:
-                kind, entity, gender = (b.column(b.schema.names.index(c)) for c in ("kind", "entity", "gender"))
-                new = [surrogate(k, g, e, attempt, key) for k, e, g in zip(kind.to_pylist(), entity.to_pylist(), gender.to_pylist())]
-                yield pa.RecordBatch.from_arrays([kind, entity, gender, pa.array(new, pa.string())], names=["kind", "entity", "gender", "surrogate"])
+                kind, entity, gender, part = (b.column(b.schema.names.index(c)) for c in ("kind", "entity", "gender", "part"))
+                each = zip(kind.to_pylist(), entity.to_pylist(), gender.to_pylist(), part.to_pylist())
+                new = [surrogate(p if k == "name" else k, g, e, attempt, key) for k, e, g, p in each]
+                yield pa.RecordBatch.from_arrays([kind, entity, gender, part, pa.array(new, pa.string())], names=["kind", "entity", "gender", "part", "surrogate"])
 
         return work
 
     open_, done, attempt = known, None, 0
-    schema = "kind string, entity string, gender string, surrogate string"
+    schema = "kind string, entity string, gender string, part string, surrogate string"
     while True:
-        drawn = materialise(map_arrow(open_.select("kind", "entity", "gender"), draw(attempt), schema), "draws")
+        drawn = materialise(map_arrow(open_.select("kind", "entity", "gender", "part"), draw(attempt), schema), "draws")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
         free = first.join(known.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_anti")
         if done is not None:
@@ -257,7 +299,7 @@ def surrogates(entities_: DataFrame, key: str = KEY) -> DataFrame:
 def replaced(text: str, table: dict[tuple[str, str], str]) -> tuple[str, int]:
     out, at, n = [], 0, 0
     for start, end, kind, _, value in entities(text):
-        new = table.get((kind, same(kind, value)))
+        new = table.get(("name" if kind in ("given", "family") else kind, same(kind, value)))
         if new is not None:
             out += [text[at:start], spelled(kind, value, new)]
             at, n = end, n + 1
@@ -273,7 +315,7 @@ def scrubbed(docs: DataFrame, key: str = KEY, count_as: str | None = None) -> Da
     """
     found = materialise(found_entities(docs), "found")
     table = surrogates(found, key)
-    by_text = found.select("digest", "kind", "entity").distinct().join(table, ["kind", "entity"]).groupBy("digest").agg(
+    by_text = found.select("digest", joint("kind").alias("kind"), "entity").distinct().join(table, ["kind", "entity"]).groupBy("digest").agg(
         F.collect_list(F.struct("kind", "entity", "surrogate")).alias("_table"))  # bounded by one text
     columns = docs.columns
     others = [f.name for f in docs.schema.fields if f.name != "text"]

@@ -106,5 +106,28 @@ def test_longer_draws_are_spelled_whole():
     assert pii.spelled("phone", "(12) 34-56", "7654321") == "(76) 54-321"
 
 
+NAMED = [
+    "Mrs Anna Keller came. Later Keller said (Anna's words): ANNA left, annas and Kellers stay; mail Keller@mail.example.org.",
+    "My name is Keller. Yes, Mr Keller, KELLER.", "Mr KELLER and Herr Ruiz met Señora Ñandú-Ruiz; Ruiz and Ñandú-Ruiz left.",
+    "Меня зовут Пётр Иванов. Пётр и Иванов, но не Петров.", "Keller alone stays, as no text names it.", "Меня зовут все, и все тут",
+]
+
+
+def test_later_mentions_of_names(spark):
+    assert [v for _, v in kinds(NAMED[0])] == ["Anna", "Keller", "Keller", "Anna", "ANNA", "Keller@mail.example.org"]
+    assert [v for _, v in kinds(NAMED[2])] == ["KELLER", "Ruiz", "Ñandú-Ruiz", "Ruiz", "Ñandú-Ruiz"]
+    assert kinds(NAMED[4]) == [] and [v for _, v in kinds(NAMED[5])] == ["все"]
+    docs = spark.createDataFrame(list(enumerate(NAMED)), "doc_id bigint, text string")
+    new = {r["doc_id"]: r["text"] for r in pii.scrubbed(docs).collect()}
+    m = re.fullmatch(r"Mrs (\S+) (\S+) came\. Later (\S+) said \((\S+)'s words\): (\S+) left, annas and Kellers stay; mail \S+@\S+\.", new[0])
+    anna, keller = m[1], m[2]
+    assert m.groups() == (anna, keller, keller, anna, anna.upper()) and anna != "Anna" and keller != "Keller"
+    assert new[1] == f"My name is {keller}. Yes, Mr {keller}, {keller.upper()}." and new[2].startswith(f"Mr {keller.upper()} and Herr ")
+    ruiz, both = re.fullmatch(r"Mr \S+ and Herr (\S+) met Señora (\S+); \1 and \2 left\.", new[2]).groups()
+    assert len({ruiz, both, "Ruiz", "Ñandú-Ruiz"}) == 4
+    assert re.fullmatch(r"Меня зовут (\S+) (\S+)\. \1 и \2, но не Петров\.", new[3])
+    assert new[4] == NAMED[4]
+
+
 def test_empty_table(spark):
     assert pii.scrubbed(spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")).isEmpty()
