@@ -1,7 +1,12 @@
-"""Licence scans: sparse TF-IDF cosine of header lines to templates, then inheritance from the nearest directory above."""
+"""Licence scans: sparse TF-IDF cosine of header lines and whole documents to templates, then inheritance from the nearest directory above."""
 
 from __future__ import annotations
 
+import math
+import pkgutil
+import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +15,13 @@ from brightledger.session import materialise
 
 #: Least cosine of a match.
 COSINE = 0.6
-#: A document is a licence file if its matched lines hold at least one in so many of its words.
+#: Least cosine of a whole document to a licence's full text.
+TEXT_COSINE = 0.7
+#: Licences whose full texts lie in ``license_texts``.
+TEXTS = "Apache-2.0 BSD-2-Clause BSD-3-Clause CC0-1.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 MIT MPL-2.0".split()
+#: Names of licence files.
+FILE_NAME = r"(?i)(?:^|/)(?:(?:un)?licen[cs]e|copying)[^/]*\z"
+#: A document is a licence file too if its matched lines hold at least one in so many of its words.
 FILE_SHARE = 20
 CUE = r"(?i)licen[cs]e|copyright|spdx|all rights reserved|public domain"
 TERM = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
@@ -64,6 +75,39 @@ def matched_lines(lines: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     return best.select(F.substring("unit", 2, 1 << 30).alias("line"), F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
 
 
+def full_texts() -> dict[str, str]:
+    return {n: pkgutil.get_data(__package__, f"license_texts/{n}.txt").decode() for n in TEXTS}
+
+
+def whole_terms(texts: dict[str, str]) -> tuple[dict[str, float], dict[str, dict[str, float]]]:
+    """(IDF of the terms of ``texts``, unit-length vector of each text). A term of no text has the largest weight, ``unknown``."""
+    terms = {n: set(re.findall(TERM, t.lower())) for n, t in texts.items()}
+    df = Counter(t for ts in terms.values() for t in ts)
+    idf = {t: math.log((1 + len(texts)) / (1 + k)) + 1 for t, k in df.items()}
+    norms = {n: math.sqrt(sum(idf[t] ** 2 for t in ts)) for n, ts in terms.items()}
+    return idf, {n: {t: idf[t] / norms[n] for t in ts} for n, ts in terms.items()}
+
+
+def whole_candidate(terms: Column, idf: dict[str, float], cosine: float) -> Column:
+    """Whether distinct ``terms`` can reach the cosine: its square is at most the share of terms that any text has, as others weigh most."""
+    return (F.size(terms) > 0) & (F.size(F.array_intersect(terms, F.lit(sorted(idf)))) >= cosine * cosine * F.size(terms))
+
+
+def matched_texts(units: DataFrame, idf: dict[str, float], vectors: dict[str, dict[str, float]], cosine: float = TEXT_COSINE) -> DataFrame:
+    """(unit, license, score) of the distinct documents ``units`` (unit, terms) that match a full text; ties go to the first name."""
+    spark = units.sparkSession
+    unknown = math.log(1 + len(vectors)) + 1
+    weights = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
+    known = spark.createDataFrame([(n, t, w) for n, v in sorted(vectors.items()) for t, w in sorted(v.items())], "license string, term string, tw double")
+    each = units.select("unit", F.explode("terms").alias("term"))
+    each = each.join(F.broadcast(weights), "term", "left").withColumn("w", F.coalesce("idf", F.lit(unknown)))  # bounded by the texts
+    norms = each.groupBy("unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = each.join(F.broadcast(known), "term").groupBy("unit", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    scores = dots.join(norms, "unit").select("unit", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= cosine)
+    best = scores.groupBy("unit").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("license"))).alias("b"))
+    return best.select("unit", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
+
+
 def ancestors(directory: Column) -> Column:
     """A directory and all above it, as an array; the empty path is above all."""
     parts = F.split(directory, "/")
@@ -88,22 +132,33 @@ def inherited(files: DataFrame) -> DataFrame:
 def scanned(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
     """(doc_id, path, own_license, score, license, inherited_from) for every row of ``docs`` (doc_id, path, text; others ignored).
 
-    A document's own licence is its best matching line's; without one it has that of the nearest directory above that licence
-    files declare; else none. All lines of the whole text that name a licence are headers. Null and empty texts have no own
+    A document's own licence is that of the full text that its whole text matches, else its best matching line's; without one it has that of the nearest directory above that licence
+    files declare; else none. A licence file matches a full text, or names a licence and is called so or says little else. All lines of the whole text that name a licence are headers. Null and empty texts have no own
     licence, a null path inherits nothing. Repeated rows come back as often.
     """
     lines = F.array_distinct(F.transform(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(CUE)), lambda x: F.trim(x)))
     rows = docs.select("doc_id", "path", F.when(F.instr("path", "/") > 0, F.regexp_extract("path", r"(?s)\A(.*)/[^/]*\z", 1)).otherwise(
         F.when(F.col("path").isNotNull(), "")).alias("directory"), lines.alias("lines"),
-        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).alias("n_words"))
+        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).alias("n_words"), F.col("text").alias("_text"))
+    idf, vectors = whole_terms(full_texts())
+    rows = rows.withColumn("_terms", F.array_distinct(terms_of(F.coalesce(F.col("_text"), F.lit("")))))
+    rows = rows.withColumn("_whole", whole_candidate(F.col("_terms"), idf, TEXT_COSINE))
+    rows = rows.withColumn("_unit", F.when(F.col("_whole"), F.sha2("_text", 256))).withColumn("_terms", F.when(F.col("_whole"), F.col("_terms"))).drop("_text", "_whole")
     rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "licence-rows")
     each = rows.select("_row", F.explode("lines").alias("line"))
     matches = materialise(matched_lines(each.select("line").distinct(), templates, cosine), "licence-matches")
     hits = each.join(matches, "line").select("_row", "license", "score", F.regexp_count("line", F.lit(WORD)).alias("n"))
     own = hits.groupBy("_row").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("license"))).alias("b"), F.sum("n").alias("n"))
     own = own.select("_row", F.col("b.license").alias("own_license"), (-F.col("b.s")).alias("score"), F.col("n").alias("_n"))
-    files = rows.join(own, "_row", "left").select(
-        "doc_id", "path", "directory", "own_license", "score", F.coalesce(F.col("_n") * FILE_SHARE >= F.col("n_words"), F.lit(False)).alias("is_file"))
+    candidates = rows.filter("_unit is not null")
+    units = candidates.select(F.col("_unit").alias("unit"), F.col("_terms").alias("terms")).dropDuplicates(["unit"])
+    texts = matched_texts(units, idf, vectors).select(F.col("unit").alias("_unit"), F.col("license").alias("_text_license"), F.col("score").alias("_text_score"))
+    whole = candidates.select("_row", "_unit").join(texts, "_unit").drop("_unit")
+    named = F.col("path").rlike(FILE_NAME) & F.col("own_license").isNotNull()
+    files = rows.join(own, "_row", "left").join(whole, "_row", "left").select(
+        "doc_id", "path", "directory", F.coalesce("_text_license", "own_license").alias("own_license"),
+        F.when(F.col("_text_license").isNotNull(), F.col("_text_score")).otherwise(F.col("score")).alias("score"),
+        (F.col("_text_license").isNotNull() | F.coalesce(named, F.lit(False)) | F.coalesce(F.col("_n") * FILE_SHARE >= F.col("n_words"), F.lit(False))).alias("is_file"))
     files = materialise(files, "licence-files")
     above = inherited(files.select("directory", F.col("own_license").alias("license"), "is_file")).select(
         F.col("directory").alias("_d"), F.col("license").alias("_license"), "from_directory")

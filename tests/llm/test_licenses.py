@@ -45,5 +45,37 @@ def test_scores_equal_brute_force(spark):
     assert {r["line"]: (r["license"], pytest.approx(r["score"], abs=1e-8)) for r in got} == want
 
 
+def test_full_texts_are_licence_files(spark):
+    texts = licenses.full_texts()
+    rows = [(i, f"{n}/t.txt", "Copyright (c) 2020 Somebody Else and others\n\n" + t, "") for i, (n, t) in enumerate(texts.items())]
+    rows += [(100 + i, f"{n}/src/deep/x.c", BODY, "") for i, n in enumerate(texts)]
+    mit = texts["MIT"]
+    rows += [(200, "u/COPYING", BODY + "\nLicensed under CC BY-NC 4.0.", ""), (201, "u/a.c", BODY, ""), (202, "v/a.c", " ".join(f"word{i}" for i in range(300)) + "\n" + mit, ""), (203, "v/b.c", BODY, ""),
+             (204, "w/L", mit, ""), (204, "w/L", mit, ""), (205, "w/b.c", BODY, ""), (206, "z/t", "the license of the software is a thing that you may use", ""), (207, "z/b.c", BODY, "")]
+    got = {r["doc_id"]: (r["own_license"], r["license"], r["inherited_from"]) for r in licenses.scanned(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, n in enumerate(texts):
+        assert got[i] == (n, n, None) and got[100 + i] == (None, n, n), n
+    assert got[200][0] == "CC-BY-NC-4.0" and got[201] == (None, "CC-BY-NC-4.0", "u") and got[203] == (None, None, None)
+    assert got[204] == ("MIT", "MIT", None) and got[205] == (None, "MIT", "w") and got[206] == got[207] == (None, None, None)
+
+
+def test_text_scores_equal_brute_force(spark):
+    texts = licenses.full_texts()
+    idf, vectors = licenses.whole_terms(texts)
+    docs = {n: t[:k] + " another thing" for n, t in texts.items() for k in [3000]} | {"none": "word the of"}
+    terms = {n: set(re.findall(licenses.TERM, t.lower())) for n, t in docs.items()}
+    want = {}
+    for n, ts in terms.items():
+        w = {t: idf.get(t, math.log(1 + len(texts)) + 1) for t in ts}
+        norm = math.sqrt(sum(v * v for v in w.values()))
+        best = min((-round(sum(v * vectors[m].get(t, 0) for t, v in w.items()) / norm, 9), m) for m in vectors)
+        share = sum(t in idf for t in ts) / len(ts)
+        assert share >= best[0] ** 2
+        if -best[0] >= 0.5:
+            want[n] = (best[1], pytest.approx(-best[0], abs=1e-8))
+    units = spark.createDataFrame([(n, sorted(ts)) for n, ts in terms.items()], "unit string, terms array<string>")
+    assert {r["unit"]: (r["license"], r["score"]) for r in licenses.matched_texts(units, idf, vectors, 0.5).collect()} == want and len(want) > 5
+
+
 def test_empty_table(spark):
     assert licenses.scanned(spark.createDataFrame([], SCHEMA)).isEmpty()
