@@ -28,20 +28,29 @@ REPORTING = "said says wrote writes called calls quoted sagte sagt schrieb nannt
 ADDRESS = "you your you're du dich dein sie ihr tu toi ton vous votre tú usted ustedes eres".split()
 #: What a quoted or reported term counts, and what one next to an address counts.
 QUOTED, REPORTED, ADDRESSED = 0.3, 0.6, 1.3
+#: Terms of at least so many letters are matched with two edits.
+LONG_LETTERS = 9
+#: Marks inside of a word that mask letters, and the letters that each may stand for; "" is any.
+MASKS = {"*": "", "@": "a", "$": "s", "!": "il", "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
 _WORD = re.compile(r"[^\W\d_]+")
+#: A word with digits or marks inside, and what a text with such a word holds.
+_MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[\d*@$!]++[^\W\d_]++)+")
+_INNER = re.compile(r"[\d*@$!](?=[^\W\d_])")
 #: Words a worker remembers not to match.
 MAX_WORDS = 1_000_000
 
 
 class Matcher:
-    """Words within one edit of a lexicon: the automata of all distances, intersected with the lexicon's trie, determinised as needed.
+    """Words within ``most`` edits of a lexicon: the automata of all distances, intersected with the lexicon's trie, determinised as needed.
 
     A state is a set of (trie node, edits so far, pending deletion); a word runs until the set is empty.
     """
 
-    def __init__(self, terms: dict[str, float], exact: frozenset[str] = frozenset()):
+    def __init__(self, terms: dict[str, float], exact: frozenset[str] = frozenset(), most: int = 1):
         """``exact``: terms whose near words are no misspellings but words of their own."""
-        self.terms, self.exact = terms, exact
+        self.terms, self.exact, self.most = terms, exact, most
+        long = {t: w for t, w in terms.items() if len(t) >= LONG_LETTERS and t not in exact} if most == 1 else {}
+        self.longer = Matcher(long, exact, 2) if long else None
         self.children: list[dict[str, int]] = [{}]
         self.term_at: list[str | None] = [None]
         for t in sorted(terms):
@@ -59,8 +68,11 @@ class Matcher:
         self.found: dict[str, tuple[str, int]] = {}
 
     def closed(self, pairs: set[tuple[int, int]]) -> frozenset:
-        """Add what is reached by leaving out one letter of a term."""
-        return frozenset(pairs | {(child, 1) for node, edits in pairs if not edits for child in self.children[node].values()})
+        """Add what is reached by leaving out letters of a term."""
+        out = set(pairs)
+        for _ in range(self.most):
+            out |= {(child, edits + 1) for node, edits in out if edits < self.most for child in self.children[node].values()}
+        return frozenset(out)
 
     def step(self, state: int, char: str) -> int:
         out = set()
@@ -68,9 +80,9 @@ class Matcher:
             child = self.children[node].get(char)
             if child is not None:
                 out.add((child, edits))
-            if not edits:
-                out.add((node, 1))  # a letter too many
-                out.update((other, 1) for c, other in self.children[node].items() if c != char)
+            if edits < self.most:
+                out.add((node, edits + 1))  # a letter too many
+                out.update((other, edits + 1) for c, other in self.children[node].items() if c != char)
         new = self.closed(out)
         if not new:
             target = -1
@@ -83,7 +95,7 @@ class Matcher:
         return target
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """(term, edits): an exact term, else the first term within one edit that is long enough for it."""
+        """(term, edits): an exact term, else the first term within the edits that is long enough for it."""
         state = 0
         for c in word:
             state = self.arcs[state].get(c, 0) or self.step(state, c)
@@ -93,11 +105,52 @@ class Matcher:
         hits = [(e, t) for e, t in hits if not e or len(t) >= FUZZY_LETTERS and t not in self.exact]
         return (min(hits)[1], min(hits)[0]) if hits else None
 
+    def masked(self, word: str) -> tuple[str, int] | None:
+        """The first term of as many letters, some of which marks stand for: one, or a third of the term's."""
+        nodes, marks = {0}, 0
+        for c in word:
+            may = MASKS.get(c)
+            marks += may is not None
+            nodes = {child for n in nodes for x, child in self.children[n].items() if (x == c if may is None else not may or x in may)}
+            if not nodes:
+                return None
+        hits = [t for t in (self.term_at[n] for n in nodes) if t and t not in self.exact and len(t) > 2 and marks <= max(1, len(t) // 3)]
+        return (min(hits), marks) if marks and hits else None
+
+    def swapped(self, word: str) -> tuple[str, int] | None:
+        """The first long enough term that two neighbouring letters changed places in."""
+        hits = [t for i in range(len(word) - 1) if (t := word[:i] + word[i + 1] + word[i] + word[i + 2:]) in self.terms and t not in self.exact]
+        return (min(hits), 1) if hits else None
+
+    def near(self, word: str) -> tuple[str, int] | None:
+        """A match of any kind, that with the fewest changes first."""
+        found = self.match(word) or (None if word.isalpha() else self.masked(word))
+        if found is None and len(word) >= FUZZY_LETTERS:
+            found = self.swapped(word)
+        if found is None and self.longer and len(word) >= LONG_LETTERS - 2:
+            found = self.longer.match(word)
+        return found
+
+    def words(self, text: str) -> list[tuple[int, int, str]]:
+        """(start, end, word) of every word: a run of letters, or one with digits and marks inside if that is a term as a whole."""
+        if not _INNER.search(text):
+            return [(*m.span(), m[0]) for m in _WORD.finditer(text)]
+        whole = [m for m in _MASKED.finditer(text) if self.of_text([m[0]])]
+        out, k = [], 0
+        for m in _WORD.finditer(text):
+            while k < len(whole) and whole[k].end() <= m.start():
+                k += 1
+            if k == len(whole) or m.end() <= whole[k].start():
+                out.append((*m.span(), m[0]))
+            elif m.start() == whole[k].start():
+                out.append((*whole[k].span(), whole[k][0]))
+        return out
+
     def of_text(self, words: list[str]) -> dict[str, tuple[str, int]]:
         """Matches by word."""
         each = set(words)
         for w in each.difference(self.plain, self.found):
-            m = self.match(w)
+            m = self.near(w)
             if m:
                 self.found[w] = m
             else:
@@ -124,18 +177,18 @@ def context_weight(text: str, start: int, end: int, before: list[str], after: li
 def features(text: str, matcher: Matcher) -> list[float]:
     """[terms weighted by likelihood and context, log of distinct terms, matches per hundred words] of a text."""
     low = text.lower()
-    words = _WORD.findall(low)
+    places = matcher.words(low)
+    words = [w for _, _, w in places]
     hits = matcher.of_text(words)
     if not hits:
         return [0.0, 0.0, 0.0]
     best: dict[str, float] = {}
     n = 0
-    places = list(_WORD.finditer(low))
-    for i, m in enumerate(places):
-        if m[0] in hits:
+    for i, (start, end, word) in enumerate(places):
+        if word in hits:
             n += 1
-            term, edits = hits[m[0]]
-            near = context_weight(low, m.start(), m.end(), words[max(0, i - WINDOW):i], words[i + 1:i + 1 + WINDOW])
+            term, edits = hits[word]
+            near = context_weight(low, start, end, words[max(0, i - WINDOW):i], words[i + 1:i + 1 + WINDOW])
             best[term] = max(best.get(term, 0.0), near * (FUZZY_WEIGHT if edits else 1.0))
     return [sum(w * matcher.terms[t] for t, w in best.items()), math.log1p(len(best)), min(10.0, 100.0 * n / len(words))]
 
@@ -198,7 +251,7 @@ def exact_terms(rows: DataFrame, lexicon: dict[str, float]) -> frozenset[str]:
         matcher = Matcher(lexicon)
         for b in batches:
             found = [(t, y) for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                     for t in {t for t, e in matcher.of_text(_WORD.findall(text.lower())).values() if e}]
+                     for t in {t for t, e in matcher.of_text([w for _, _, w in matcher.words(text.lower())]).values() if e}]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int32())], names=["term", "toxic"])
 
     n = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()

@@ -38,6 +38,28 @@ def test_context():
     assert toxicity.features("", m) == [0.0, 0.0, 0.0]
 
 
+def test_each_misspelling_alone():
+    m = toxicity.Matcher({"stupid": 1.0, "moron": 1.0, "idiot": 1.0, "scum": 1.0, "imbecilic": 1.0})
+    for w in ("stup1d", "id1ot", "mor0n", "st*pid", "st*p*d", "idoit", "sc*m", "5tupid", "stupiid", "imbbecillic", "imebcilic", "STUP!D", "m@ron"):
+        assert toxicity.features(f"he is a {w} thing", m)[0] == pytest.approx(toxicity.FUZZY_WEIGHT), w
+    for w in ("skum", "smuc", "s**m", "sc9m", "ab1cd", "st1p2d3x", "idyllic", "m0use", "ratio"):
+        assert toxicity.features(f"he is a {w} thing", m) == [0.0, 0.0, 0.0], w
+    exact = toxicity.Matcher(dict(m.terms), frozenset(m.terms))
+    assert not any(exact.near(w) for w in ("stup1d", "st*p*d", "idoit", "sc*m", "imbbecillic"))
+    # words that a mark only joins stay words of their own
+    assert toxicity.features("he!moron!it and a@stupid.org", m)[1:] == pytest.approx(toxicity.features("he moron it and a stupid org", m)[1:])
+
+
+def test_two_edits_equal_edit_distance():
+    r = random.Random(3)
+    terms = {"".join(r.choices("abc", k=r.randint(9, 11))): 1.0 for _ in range(15)}
+    m = toxicity.Matcher(terms, most=2)
+    for t in sorted(terms) * 20:
+        w = "".join(c for c in t if r.random() > 0.12) + r.choice(["", "", "a"])
+        near = min((edits(w, t), t) for t in terms)
+        assert m.match(w) == ((near[1], near[0]) if near[0] <= 2 else None), w
+
+
 def ranked(y, s):
     order = np.argsort(np.argsort(s)) + 1
     return (order[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
