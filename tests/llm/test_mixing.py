@@ -98,3 +98,16 @@ def test_stage_keeps_columns_and_repeats_nothing(spark, folder):
     share = got.selectExpr(f"sum({words})").first()[0] / docs.selectExpr(f"sum({words})").first()[0]
     assert 0.58 < share < 0.85  # a leaf ends with a whole document, and leaves are small here
     assert mixing.stage(spark, docs.limit(0), folder).isEmpty() and mixing.mixed(docs.limit(0)).isEmpty()
+
+
+def test_stage_meets_each_leafs_budget_of_one_epoch(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = mixing.with_tokens(docs)
+    budget = {tuple(r[c] for c in mixing.LEVELS): (r["budget"], r["tokens"]) for r in mixing.budgets(rows, mixing.SHARE, mixing.WEIGHTS, 1).collect()}
+    largest, taken = defaultdict(int), defaultdict(int)
+    for r in rows.collect():
+        largest[tuple(r[c] for c in mixing.LEVELS)] = max(largest[tuple(r[c] for c in mixing.LEVELS)], r["n_tokens"])
+    for r in mixing.with_tokens(mixing.stage(spark, docs, folder)).collect():
+        taken[tuple(r[c] for c in mixing.LEVELS)] += r["n_tokens"]
+    for leaf, (most, tokens) in budget.items():
+        assert most <= tokens and most <= taken[leaf] < most + max(1, largest[leaf]), leaf
