@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brightledger.llm import licenses, mixing, packing, pii, quality, resampling, simhash, tokens, toxicity, urls, variants, vectors
+from brightledger.llm import languages, licenses, mixing, packing, pii, quality, resampling, simhash, tokens, toxicity, urls, variants, vectors
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_pii": pii.op9_pii,
     "op10_vectors": vectors.op10_vectors,
+    "op11_languages": languages.op11_languages,
     "op12_variants": variants.op12_variants,
     "op13_resampling": resampling.op13_resampling,
 }
