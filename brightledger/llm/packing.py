@@ -7,10 +7,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brightledger.llm.common import map_arrow, read
+from brightledger.llm.words import listed, split
 
 LENGTH = 2048
 END = 1
@@ -18,14 +20,14 @@ END = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 #: Tokens that are packed together, about; what a task holds.
 LOT = 1 << 20
-#: Words whose ids a worker keeps.
-MAX_WORDS = 1_000_000
+#: Bytes of words and ids that a worker keeps, with about ENTRY_BYTES for each word; words of more than LONG_WORD letters aren't kept.
+KEPT_BYTES, ENTRY_BYTES, LONG_WORD = 256 << 20, 200, 1_000
 #: New words that are encoded in one call, parted by a character that is a token of its own between spaces.
 JOINED, PARTING = 256, "\x01"
 
 
 class WordIds(dict):
-    """Ids of a text as bytes, word by word: white space parts tokens in this tokenizer and leaves none of its own.
+    """Ids of words as bytes: white space parts tokens in this tokenizer and leaves none of its own.
 
     Texts are split at ASCII white space only; other white space stays inside a word and is left to the tokenizer.
     """
@@ -33,38 +35,55 @@ class WordIds(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.kept = Tokenizer.from_file(path), 0
         self.parting = self.tokenizer.encode(PARTING, add_special_tokens=False).ids
         if len(self.parting) != 1:
             raise ValueError("the parting character is not one token")
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return ids
-
-    def learn(self, words: list[str]) -> None:
-        """Words that hold the parting character are left to ``__missing__``."""
-        words = [w for w in words if PARTING not in w]
+    def encoded(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words, encoded together; words that hold the parting character or are long alone."""
+        alone = [w for w in words if PARTING in w or len(w) > LONG_WORD]
+        out = {w: np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in alone}
+        words = [w for w in words if w not in out]
         parts = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
         texts = [f" {PARTING} ".join(p) for p in parts]
         for part, e in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids, at = np.array(e.ids, "<u4"), 0
             raw, ends = ids.tobytes(), [*np.flatnonzero(ids == self.parting[0]).tolist(), len(ids)]
             for word, end in zip(part, ends, strict=True):
-                self[word] = raw[4 * at:4 * end]
+                out[word] = raw[4 * at:4 * end]
                 at = end + 1
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for gap in "\t\n\r\x0b\x0c":
-            texts = [t.replace(gap, " ") for t in texts]
-        split = [t.split(" ") for t in texts]
-        every = set().union(*split)
-        new = every.difference(self)
-        if len(self) + len(new) > MAX_WORDS:
+        ids, size = self.encode_batch(pa.array(texts, pa.large_string()))
+        ends = np.cumsum(size)
+        return [ids[end - n:end].tobytes() for n, end in zip(size, ends)]
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has. Every distinct word of the batch is looked up once."""
+        words, rows = split(pc.fill_null(texts.cast(pa.large_string()), ""))
+        coded = words.dictionary_encode()
+        distinct = listed(coded.dictionary)
+        each = list(map(self.get, distinct))
+        new = self.encoded([w for w, ids in zip(distinct, each) if ids is None])
+        if new:
+            each = [new[w] if ids is None else ids for w, ids in zip(distinct, each)]
+        fresh = {w: ids for w, ids in new.items() if len(w) <= LONG_WORD}
+        more = sum(4 * len(w) + len(ids) + ENTRY_BYTES for w, ids in fresh.items())
+        if self.kept + more > KEPT_BYTES:
             self.clear()
-            new = every
-        self.learn(list(new))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+            self.kept = 0
+        if more <= KEPT_BYTES:
+            self.update(fresh)
+            self.kept += more
+        flat, size = np.frombuffer(b"".join(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)) // 4
+        index = coded.indices.to_numpy()
+        length = size[index]
+        behind = np.cumsum(length)
+        start = (np.cumsum(size) - size)[index] - (behind - length)
+        ids = flat[np.repeat(start, length) + np.arange(int(length.sum()))]
+        return ids, np.bincount(rows, length, len(texts)).astype(np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -158,10 +177,12 @@ def packed(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH,
 
         for b in batches:
             id_type = b.column(0).type
-            for doc, found in zip(b.column(0).to_pylist(), words.encode([t or "" for t in b.column(1).to_pylist()])):
+            found, size = words.encode_batch(b.column(1))
+            raw, ends = found.tobytes(), np.cumsum(size) * 4
+            for doc, n, behind in zip(b.column(0).to_pylist(), size.tolist(), ends.tolist()):
                 held.append(doc)
-                ids.append(found + stop)
-                tokens += len(found) // 4 + 1
+                ids.append(raw[behind - 4 * n:behind] + stop)
+                tokens += n + 1
                 if tokens >= lot:
                     yield emit()
         if held:

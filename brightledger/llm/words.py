@@ -32,8 +32,13 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(there), rows[there.to_numpy(zero_copy_only=False)]
 
 
+def listed(words: pa.Array) -> list[str]:
+    """``words``, which hold no line feed and aren't empty, as Python strings, made by one split."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words.cast(pa.string())), "\n")[0].as_py().split("\n") if len(words) else []
+
+
 def crc32_of(words: pa.Array) -> np.ndarray:
     """Unsigned crc32 of the UTF-8 bytes of each word; distinct words are hashed once."""
     coded = words.dictionary_encode()
-    each = np.fromiter(map(zlib.crc32, coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint32, len(coded.dictionary))
+    each = np.fromiter(map(zlib.crc32, map(str.encode, listed(coded.dictionary))), np.uint32, len(coded.dictionary))
     return each[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.uint32)
