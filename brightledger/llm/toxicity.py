@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -14,16 +15,16 @@ from brightledger.llm.common import map_arrow, read
 from brightledger.session import materialise
 
 THRESHOLD = 0.3
-#: Bounds of the fit: labelled training rows of either label (by hash order) and terms of the lexicon.
-FIT_ROWS, TERMS = 10_000, 2_000
+#: Bound of the fit: labelled training rows of either label (by hash order).
+FIT_ROWS = 10_000
 #: A term must be in so many toxic training texts, in so many different surroundings, and that much likelier there.
 LEAST_TEXTS, LEAST_PLACES, LEAST_LIFT = 4, 4, 30.0
 #: Terms of at least so many letters are matched with one edit; what an inexact match counts.
 FUZZY_LETTERS, FUZZY_WEIGHT = 5, 0.6
 #: Words on either side of a term that are its context.
 WINDOW = 4
-#: Marks that open or close a quotation, words that report speech, and words that address somebody.
-QUOTES = "\"“”„«»‹›"
+#: Marks of a quotation by family, words that report speech, and words that address somebody.
+QUOTES = {'"': '"', "“": "“", "”": "“", "„": "“", "«": "«", "»": "«", "‹": "‹", "›": "‹"}
 REPORTING = "said says wrote writes called calls quoted sagte sagt schrieb nannte dit disait écrit appelle dijo dice escribió llamó".split()
 ADDRESS = "you your you're du dich dein sie ihr tu toi ton vous votre tú usted ustedes eres".split()
 #: What a quoted or reported term counts, and what one next to an address counts.
@@ -36,8 +37,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: A word with digits or marks inside, and what a text with such a word holds.
 _MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[\d*@$!]++[^\W\d_]++)+")
 _INNER = re.compile(r"[\d*@$!](?=[^\W\d_])")
-#: Words a worker remembers not to match.
-MAX_WORDS = 1_000_000
+#: Letters of words that a worker remembers, about, and parts of automaton states that it keeps; beyond, it begins anew.
+KEPT_LETTERS, KEPT_PARTS = 16 << 20, 4 << 20
 
 
 class Matcher:
@@ -62,10 +63,15 @@ class Matcher:
                     self.term_at.append(None)
                 node = self.children[node][c]
             self.term_at[node] = t
-        start = self.closed({(0, 0)})
-        self.ids, self.states, self.arcs = {start: 0}, [start], [{}]
+        self.forget()
         self.plain: set[str] = set()
         self.found: dict[str, tuple[str, int]] = {}
+        self.letters = 0
+
+    def forget(self) -> None:
+        """Begin the automaton anew; its states are made as words need them."""
+        start = self.closed({(0, 0)})
+        self.ids, self.states, self.arcs, self.parts = {start: 0}, [start], [{}], len(start)
 
     def closed(self, pairs: set[tuple[int, int]]) -> frozenset:
         """Add what is reached by leaving out letters of a term."""
@@ -91,11 +97,14 @@ class Matcher:
             if target == len(self.states):
                 self.states.append(new)
                 self.arcs.append({})
+                self.parts += len(new)
         self.arcs[state][char] = target
         return target
 
     def match(self, word: str) -> tuple[str, int] | None:
         """(term, edits): an exact term, else the first term within the edits that is long enough for it."""
+        if self.parts > KEPT_PARTS:
+            self.forget()
         state = 0
         for c in word:
             state = self.arcs[state].get(c, 0) or self.step(state, c)
@@ -151,22 +160,50 @@ class Matcher:
         each = set(words)
         for w in each.difference(self.plain, self.found):
             m = self.near(w)
+            self.letters += len(w)
             if m:
                 self.found[w] = m
             else:
                 self.plain.add(w)
-        if len(self.plain) > MAX_WORDS:
+        hits = {w: self.found[w] for w in each.intersection(self.found)}
+        if self.letters > KEPT_LETTERS:
             self.plain.clear()
-        return {w: self.found[w] for w in each.intersection(self.found)}
+            self.found.clear()
+            self.letters = 0
+        return hits
+
 
+_QUOTE = re.compile(f"[{''.join(QUOTES)}]|\\n[^\\S\\n]*\\n")
 
-def context_weight(text: str, start: int, end: int, before: list[str], after: list[str]) -> float:
+
+def quoted_spans(text: str) -> list[tuple[int, int]]:
+    """Quotations of a text, whatever their length, in the order of their ends: an opening mark to the next closing one of its family.
+
+    A mark opens before a character other than a space, and not behind a letter or digit; it closes the other way round. One that may
+    do either closes what is open. An empty line ends an open quotation without one.
+    """
+    spans, open_ = [], {}
+    for m in _QUOTE.finditer(text):
+        if len(m[0]) > 1:
+            open_.clear()
+            continue
+        family, i = QUOTES[m[0]], m.start()
+        before, after = text[i - 1:i], text[i + 1:i + 2]
+        if family in open_ and before and not before.isspace() and not after.isalnum():
+            spans.append((open_.pop(family), i))
+        elif after and not after.isspace() and not before.isalnum():
+            open_[family] = i
+    return spans
+
+
+def within(spans: list[tuple[int, int]], start: int, end: int, at: int = 0) -> bool:
+    """Whether one of ``spans`` holds the term from ``start`` to ``end``; those before ``at`` end earlier."""
+    return any(a < start and end <= b for a, b in spans[at:at + 2 * len(QUOTES)])
+
+
+def context_weight(quoted: bool, before: list[str], after: list[str]) -> float:
     """Below 1 for a term in quotation marks or reported, above for one that addresses somebody."""
-    weight = 1.0
-    line_start, line_end = text.rfind("\n", 0, start) + 1, text.find("\n", end)
-    left, right = text[max(line_start, start - 80):start], text[end:min(line_end if line_end >= 0 else len(text), end + 80)]
-    if any(q in left for q in QUOTES) and any(q in right for q in QUOTES):
-        weight *= QUOTED
+    weight = QUOTED if quoted else 1.0
     if any(w in REPORTING for w in before):
         weight *= REPORTED
     if any(w in ADDRESS for w in before + after):
@@ -183,12 +220,14 @@ def features(text: str, matcher: Matcher) -> list[float]:
     if not hits:
         return [0.0, 0.0, 0.0]
     best: dict[str, float] = {}
-    n = 0
+    n, spans = 0, quoted_spans(low)
+    ends = [b for _, b in spans]
     for i, (start, end, word) in enumerate(places):
         if word in hits:
             n += 1
             term, edits = hits[word]
-            near = context_weight(low, start, end, words[max(0, i - WINDOW):i], words[i + 1:i + 1 + WINDOW])
+            quoted = within(spans, start, end, bisect_left(ends, end))
+            near = context_weight(quoted, words[max(0, i - WINDOW):i], words[i + 1:i + 1 + WINDOW])
             best[term] = max(best.get(term, 0.0), near * (FUZZY_WEIGHT if edits else 1.0))
     return [sum(w * matcher.terms[t] for t, w in best.items()), math.log1p(len(best)), min(10.0, 100.0 * n / len(words))]
 
@@ -221,10 +260,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> D
     return materialise(texts.groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("toxic", (F.col("toxic") > 0).cast("int")), "fit")
 
 
-def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
-    """Terms that mark toxic texts, with the log of how much likelier they are there (at most ``terms``).
+def learn_lexicon(rows: DataFrame) -> dict[str, float]:
+    """Terms that mark toxic texts, with the log of how much likelier they are there.
 
-    Copies of one text share their surroundings, so a term must be found between different neighbours.
+    Copies of one text share their surroundings, so a term must be found between different neighbours. Evidence alone decides: a
+    term is in at least ``LEAST_TEXTS`` of the toxic rows of the fit, which bounds how many there can be.
     """
     counts = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
     toxic, clean = counts["t"], counts["n"] - counts["t"]
@@ -235,14 +275,14 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
         F.sum("toxic").alias("a"), (F.count("*") - F.sum("toxic")).alias("b"))
     lift = ((F.col("a") + 0.5) / (toxic + 1)) / ((F.col("b") + 0.5) / (clean + 1))
     likely = each.filter(F.col("a") >= LEAST_TEXTS).withColumn("lift", lift).filter(F.col("lift") >= LEAST_LIFT)
-    likely = materialise(likely.orderBy(F.desc("lift"), "term").limit(20 * terms).select("term", "lift"), "terms")
+    likely = materialise(likely.select("term", "lift"), "terms")
     placed = rows.filter("toxic = 1").withColumn("w", words).select(
         F.explode(F.transform("w", lambda x, i: F.struct(x.alias("term"), F.coalesce(F.get("w", i - 1), F.lit("")).alias("p"),
                                                          F.coalesce(F.get("w", i + 1), F.lit("")).alias("q")))).alias("s")).select("s.*")
-    near = placed.join(F.broadcast(likely), "term").groupBy("term", "p", "q").agg(F.first("lift").alias("lift"))  # bounded by ``terms``
+    near = placed.join(likely, "term").groupBy("term", "p", "q").agg(F.first("lift").alias("lift"))
     wide = near.groupBy("term").agg(F.max("lift").alias("lift"), F.count_distinct("p").alias("np"), F.count_distinct("q").alias("nq"))
     good = wide.filter((F.col("np") >= LEAST_PLACES) & (F.col("nq") >= LEAST_PLACES) & (F.length("term") > 1))
-    return {r["term"]: math.log(r["lift"]) / math.log(LEAST_LIFT) for r in good.orderBy(F.desc("lift"), "term").limit(terms).collect()}
+    return {r["term"]: math.log(r["lift"]) / math.log(LEAST_LIFT) for r in good.collect()}
 
 
 def exact_terms(rows: DataFrame, lexicon: dict[str, float]) -> frozenset[str]:
@@ -283,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Matcher, np.ndarray]:
 def scored(docs: DataFrame, known: Matcher, weights: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs`` (doc_id, text; others are ignored).
 
-    Null and empty texts score as texts without a term. Rows repeated come back as often; a null doc_id isn't held out.
+    Null and empty texts score as texts without a term; very long ones are read whole. Rows repeated come back as often; a null doc_id isn't held out.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     terms, exact = known.terms, known.exact

@@ -94,3 +94,72 @@ def test_edges(spark):
     rows = toxicity.scored(docs, *toxicity.fit(docs, labels)).collect()
     assert len(rows) == 5 and all(0 <= r["score"] < toxicity.THRESHOLD and r["predicted"] == 0 for r in rows)
     assert toxicity.scored(docs.limit(0), toxicity.Matcher({}), np.zeros(4)).isEmpty()
+
+
+def plain_spans(text):
+    """Quotations by their definition, mark by mark."""
+    out, open_ = [], {}
+    for i, c in enumerate(text):
+        if c == "\n" and text[:i].rfind("\n") >= 0 and text[text[:i].rfind("\n"):i].strip() == "":
+            open_ = {}
+        family = next((f for f in ('"', "“”„", "«»", "‹›") if c in f), None)
+        if family is None:
+            continue
+        left, right = text[max(0, i - 1):i], text[i + 1:i + 2]
+        if family in open_ and left and not left.isspace() and not right.isalnum():
+            out.append((open_.pop(family), i))
+        elif right and not right.isspace() and not left.isalnum():
+            open_[family] = i
+    return out
+
+
+def test_contexts_equal_brute_force():
+    r = random.Random(11)
+    terms = {"stupid": 2.0, "moron": 1.5, "scum": 1.0}
+    m = toxicity.Matcher(terms)
+    parts = ["stupid", "moron", "scum", "plain", "said", "you", '"', "“", "”", "„", "«", "»", " ", " ", " ", "\n", "\n \n", ".", "x"]
+    for _ in range(2000):
+        text = "".join(r.choices(parts, k=r.randint(1, 60)))
+        places, best, n = m.words(text), {}, 0
+        words = [w for _, _, w in places]
+        for i, (start, end, w) in enumerate(places):
+            hit = m.near(w)
+            if hit is None:
+                continue
+            n += 1
+            weight = toxicity.FUZZY_WEIGHT if hit[1] else 1.0
+            if any(a < start and end <= b for a, b in plain_spans(text)):
+                weight *= toxicity.QUOTED
+            if any(x in toxicity.REPORTING for x in words[max(0, i - 4):i]):
+                weight *= toxicity.REPORTED
+            if any(x in toxicity.ADDRESS for x in words[max(0, i - 4):i] + words[i + 1:i + 5]):
+                weight *= toxicity.ADDRESSED
+            best[hit[0]] = max(best.get(hit[0], 0), weight)
+        got = toxicity.features(text, m)
+        assert got[0] == pytest.approx(sum(terms[t] * w for t, w in best.items())), text
+        if best:
+            assert got[1:] == pytest.approx([np.log1p(len(best)), min(10.0, 100 * n / len(words))])
+
+
+def test_quotations_of_any_length_and_abuse_between_two():
+    m = toxicity.Matcher({"stupid": 1.0})
+    far = "some words before it " * 300
+    for opening, closing in ('""', "“”", "„“", "«»", "»«", "‹›", "””"):
+        assert toxicity.features(f"he {opening}{far}stupid {far}end{closing} then", m)[0] == pytest.approx(toxicity.QUOTED), opening
+        assert toxicity.features(f"{opening}a{closing} you stupid man {opening}b{closing}", m)[0] == pytest.approx(toxicity.ADDRESSED), opening
+    assert toxicity.features('a 5" pipe, stupid thing, 6" long', m)[0] == pytest.approx(1.0)
+    assert toxicity.features('"left open stupid\n\nother" paragraph', m)[0] == pytest.approx(1.0)
+
+
+def test_the_automaton_begins_anew(monkeypatch):
+    r = random.Random(5)
+    terms = {"".join(r.choices("abc", k=7)): 1.0 for _ in range(60)}
+    words = ["".join(r.choices("abcd", k=r.randint(5, 9))) for _ in range(2000)]
+    want = toxicity.Matcher(terms).of_text(words)
+    monkeypatch.setattr(toxicity, "KEPT_PARTS", 50)
+    monkeypatch.setattr(toxicity, "KEPT_LETTERS", 100)
+    small = toxicity.Matcher(terms)
+    got = {}
+    for w in words:
+        got |= small.of_text([w])
+    assert got == want and small.parts < 2000
