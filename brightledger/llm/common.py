@@ -27,6 +27,11 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def named(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names hold."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with batches bounded in rows and bytes."""
     spark = df.sparkSession

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import map_arrow, read
+from brightledger.llm.common import map_arrow, named, read
 from brightledger.session import materialise
 
 KEY = "surrogates-1"
@@ -54,8 +54,13 @@ _ALL = re.compile("|".join(f"(?P<k{i}>{p})" for i, (_, p) in enumerate(_KINDS)))
 #: Every entity holds one of these (also as Java reads it): a text without them has none.
 _PLAIN = ["AKIA", "ASIA", "xox", *(t for ts in TITLES.values() for t in ts), *INTRODUCTIONS]
 #: The class of first characters comes first, so that most positions of a text cost one look.
-HINT = f"(?=[@+=:0-9gs{''.join(sorted({t[0] for t in _PLAIN}))}])(?:[@+=:]|[0-9]{{2}}|gh[pousr]_|sk[-_]|{'|'.join(_PLAIN)})"
-_HINT = re.compile(HINT)
+def _hint(digit: str) -> str:
+    return f"(?=[@+=:{digit}gs{''.join(sorted({t[0] for t in _PLAIN}))}])(?:[@+=:]|{digit}[.]?{digit}|gh[pousr]_|sk[-_]|{'|'.join(_PLAIN)})"
+
+
+#: For Spark, whose digits are those of every script only by that name, and for Python.
+HINT = _hint(r"\p{Nd}")
+_HINT = re.compile(_hint(r"\d"))
 
 
 def mentions(text: str, found: list[tuple[int, int, str, str, str]]) -> list[tuple[int, int, str, str, str]]:
@@ -214,7 +219,9 @@ def surrogate(kind: str, gender: str, entity: str, attempt: int, key: str = KEY)
         rest += more if kind == "phone" else ""
         return country + plus + "".join(_digit(rnd) for _ in rest)
     if kind == "iban":
-        return entity[:2] + _shaped(entity[2:], rnd)
+        rest = _shaped(entity[4:], rnd)
+        check = f"{98 - _rest97(rest + entity[:2] + '00'):02d}" if _rest97(entity[4:] + entity[:4]) == 1 else _shaped(entity[2:4], rnd)
+        return entity[:2] + check + rest
     if kind == "key":
         prefix = re.match(r"AKIA|ASIA|gh[pousr]_|sk[-_](?:live[-_]|test[-_])?|xox[abprs]-", entity)[0]
         return prefix + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[next(rnd) % 32] if c.isupper() or c.isdigit() and entity.isupper() else _shaped(c, rnd) for c in entity[len(prefix):]) + ("" if prefix in ("AKIA", "ASIA") else _shaped(more, rnd))
@@ -239,6 +246,11 @@ def spelled(kind: str, value: str, new: str) -> str:
     return new
 
 
+def _rest97(number: str) -> int:
+    """Remainder of an account number read with A = 10 to Z = 35: 1 if its check digits, moved to its end, are right."""
+    return int("".join(str(int(c, 36)) for c in number)) % 97
+
+
 def found_entities(docs: DataFrame) -> DataFrame:
     """(digest, kind, gender, entity): the distinct entities of every text of ``docs`` that has any."""
 
@@ -310,42 +322,48 @@ def scrubbed(docs: DataFrame, key: str = KEY, count_as: str | None = None) -> Da
     """The rows of ``docs`` with every entity of ``text`` replaced; other columns stay (``n_chars``, if there, is counted anew).
 
     One entity has one surrogate in all texts, two entities never share one. Null and empty texts and texts without entities
-    stay as they are. Only texts that have entities meet the table of surrogates, by their digest. ``count_as`` names a column
+    stay as they are; very long ones are read whole, rows repeated come back as often. Only texts that have entities meet the table of surrogates, by their digest. ``count_as`` names a column
     to add, of the number of replacements.
     """
     found = materialise(found_entities(docs), "found")
     table = surrogates(found, key)
     by_text = found.select("digest", joint("kind").alias("kind"), "entity").distinct().join(table, ["kind", "entity"]).groupBy("digest").agg(
         F.collect_list(F.struct("kind", "entity", "surrogate")).alias("_table"))  # bounded by one text
-    columns = docs.columns
-    others = [f.name for f in docs.schema.fields if f.name != "text"]
+    packed = F.struct(*named(docs)).alias("row")  # one column, whatever the names in it
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
-    keyed = docs.filter(hinted).select(F.struct(*columns).alias("_row"), F.sha2("text", 256).alias("digest"))
-    joined = keyed.join(by_text, "digest", "left").select("_row", "_table")
-    plain = docs.filter(~hinted).withColumn("_n", F.lit(0).cast("bigint"))
+    keyed = docs.filter(hinted).select("text", packed, F.sha2("text", 256).alias("digest"))
+    joined = keyed.join(by_text.hint("merge"), "digest", "left").select("text", "_table", "row")
+    plain = docs.filter(~hinted).select(packed, "text", F.lit(0).cast("bigint").alias("n"))
 
     def work(batches):
         for b in batches:
             texts, tables = b.column(0).to_pylist(), b.column(1).to_pylist()
             new = [(t, 0) if not e else replaced(t, {(x["kind"], x["entity"]): x["surrogate"] for x in e}) for t, e in zip(texts, tables)]
-            names = [*b.schema.names[2:], "_text", "_n"]
-            yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array([x[0] for x in new], pa.string()), pa.array([x[1] for x in new], pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(2), pa.array([x[0] for x in new], pa.string()), pa.array([x[1] for x in new], pa.int64())], names=["row", "text", "n"])
+
+    out = map_arrow(joined, work, plain.schema).unionByName(plain)
+
+    def column(name):
+        old = F.col("row").getField(name)
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.when(F.col("n") > 0, F.length("text")).otherwise(old).cast(docs.schema[name].dataType).alias(name)
+        return old.alias(name)
+
+    return out.select(*map(column, docs.columns), *([F.col("n").alias(count_as)] if count_as else []))
+
 
-    flat = joined.select(F.col("_row")["text"].alias("_old"), "_table", *[F.col("_row")[c].alias(c) for c in others])
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema.fields[2:]] + ["_text string", "_n bigint"])
-    changed = map_arrow(flat, work, schema)
-    if "_text" in others:
-        raise ValueError("the column _text is taken")
-    out = changed.withColumnRenamed("_text", "text").unionByName(plain)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns, *([F.col("_n").alias(count_as)] if count_as else []))
+def run_key(spark) -> str:
+    """The key of a run's surrogates, from the session's ``brightledger.surrogates.key``; without it surrogates can be recomputed by anybody."""
+    return spark.conf.get("brightledger.surrogates.key", KEY)
 
 
 def op9_pii(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
-    return scrubbed(docs, count_as="n_replaced")
+    return scrubbed(docs, run_key(spark), count_as="n_replaced")
 
 
 def stage(spark, docs, folder):
-    return scrubbed(docs)
+    """All documents with personal data replaced; nulls, empty and very long texts and repeated rows as in ``scrubbed``."""
+    return scrubbed(docs, run_key(spark))

@@ -9,8 +9,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from brightledger.llm.common import batch, map_arrow, read
+from brightledger.llm.common import batch, map_arrow, named, read
 from brightledger.llm.components import connected_components
 from brightledger.session import materialise
 
@@ -216,17 +217,20 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     if repeated.isEmpty():
         return of(docs, single)
 
+    kind = docs.schema["doc_id"].dataType
+    packed = of(docs, repeated).select("doc_id", "text", F.struct(*named(docs)).alias("row"))  # one column, whatever the names in it
+
     def add(batches):
         for b in batches:
-            fps = pa.array([fingerprint(t, shingle) for t in b.column(b.schema.names.index("text")).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns, fps], names=[*b.schema.names, "_fp"])
+            fps = pa.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), fps], names=["doc_id", "row", "fp"])
 
-    marked = map_arrow(of(docs, repeated), add, docs.select("*", F.lit(0).cast("bigint").alias("_fp")).schema)
+    marked = map_arrow(packed, add, StructType([StructField("doc_id", kind), StructField("row", packed.schema["row"].dataType), StructField("fp", LongType())]))
     stay = of(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))), repeated).select(
         F.col("doc_id").alias("_id"), F.col("fp").alias("_own")).distinct()
-    those = marked.join(stay, marked["doc_id"].eqNullSafe(stay["_id"]) & (marked["_fp"] == stay["_own"]), "left_semi")
-    first = those.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
-    return of(docs, single).unionByName(first.select("_row.*"))
+    those = marked.join(stay, marked["doc_id"].eqNullSafe(stay["_id"]) & (marked["fp"] == stay["_own"]), "left_semi")
+    first = those.groupBy("doc_id").agg(F.min_by("row", F.xxhash64(*[F.col("row").getField(c) for c in docs.columns])).alias("row"))
+    return of(docs, single).unionByName(first.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
 
 
 def op2_simhash(spark, folder):
@@ -234,4 +238,5 @@ def op2_simhash(spark, folder):
 
 
 def stage(spark, docs, folder):
+    """One document of each near-duplicate group; nulls, empty and very long texts and repeated rows as in ``one_of_each``."""
     return one_of_each(docs)

@@ -131,3 +131,55 @@ def test_later_mentions_of_names(spark):
 
 def test_empty_table(spark):
     assert pii.scrubbed(spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")).isEmpty()
+
+
+def test_no_pattern_escapes_the_hint():
+    """Texts drawn from every pattern, digits of other scripts included, are looked at in Python and in Spark alike."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @given(st.sampled_from(pii._KINDS).flatmap(lambda k: st.from_regex(re.compile(k[1]))))
+    @settings(max_examples=400, deadline=None)
+    def check(text):
+        if any(re.search(p, text) for _, p in pii._KINDS):
+            assert pii._HINT.search(text), text
+
+    check()
+
+
+def test_hint_in_spark(spark):
+    texts = ["call ٠١٢-٣٤٥-٦٧٨٩ now", "at 8.8.8.8 there", "ask Mrs Keller", "no data here", "one 1 digit"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    assert [r[0] for r in df.orderBy("doc_id").selectExpr("doc_id").collect()] == [0, 1, 2, 3, 4]
+    got = {r["doc_id"]: r["h"] for r in df.select("doc_id", df["text"].rlike(pii.HINT).alias("h")).collect()}
+    assert got == {0: True, 1: True, 2: True, 3: False, 4: False}
+    new = {r["doc_id"]: r["text"] for r in pii.scrubbed(df).collect()}
+    assert "٠١٢" not in new[0] and "8.8.8.8" not in new[1] and new[3:] == [] if isinstance(new, list) else new[3] == texts[3]
+
+
+def test_account_numbers_keep_right_check_digits():
+    valid = "DE89370400440532013000"
+    for attempt in range(3):
+        new = pii.surrogate("iban", "", valid, attempt)
+        assert new != valid and new[:2] == "DE" and len(new) == len(valid) and pii._rest97(new[4:] + new[:4]) == 1
+
+
+def test_any_column_names(spark):
+    names = ["_n", "_text", "_row", "_table", "_old", "digest", "row", "n", "n_chars", "a.b"]
+    columns = ", ".join(f"`{c}` bigint" for c in names)
+    rows = [(1, "mail anna.keller@example.org", *range(len(names))), (2, None, *range(len(names))), (3, "nothing", *range(len(names)))]
+    df = spark.createDataFrame(rows, f"doc_id bigint, text string, {columns}")
+    out = pii.scrubbed(df)
+    assert out.columns == df.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    for d, text, *rest in rows:
+        keep = [i for i, c in enumerate(names) if c != "n_chars"]
+        assert [got[d][names[i]] for i in keep] == [rest[i] for i in keep]
+    assert got[2]["text"] is None and got[3]["text"] == "nothing" and "anna.keller" not in got[1]["text"]
+    assert got[1]["n_chars"] == len(got[1]["text"]) and got[3]["n_chars"] == names.index("n_chars")
+
+
+def test_key_of_the_run(spark):
+    df = spark.createDataFrame([(1, "mail anna.keller@example.org")], "doc_id bigint, text string")
+    first = pii.scrubbed(df, "one").first()["text"]
+    assert first == pii.scrubbed(df, "one").first()["text"] != pii.scrubbed(df, "two").first()["text"]

@@ -106,3 +106,13 @@ def test_masks_catch_every_close_pair():
     for _ in range(500):
         x = sum(1 << b for b in r.sample(range(64), 4))
         assert any(not x & m for m in masks)
+
+
+def test_one_of_each_with_any_column_names(spark):
+    names = ["_fp", "_id", "_rows", "_kept", "row", "fp", "_own", "a.b"]
+    rows = [(1, "a b c d e f g", 1), (1, "other words are here now", 2), (2, "a b c d e f g", 3), (3, "h i j k l m n o p", 4), (3, "h i j k l m n o p", 4), (None, None, 5)]
+    df = spark.createDataFrame([(d, t, *[k] * len(names)) for d, t, k in rows], "doc_id bigint, text string, " + ", ".join(f"`{c}` int" for c in names))
+    out = simhash.one_of_each(df)
+    assert out.columns == df.columns
+    got = sorted(((r["doc_id"], r["_fp"]) for r in out.collect()), key=str)
+    assert [d for d, _ in got] == [1, 3, None] and got[1:] == [(3, 4), (None, 5)]
