@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from brightledger.operators import models as m
 from brightledger.operators import selection as sel
 from brightledger.operators import text as tx
+from brightledger.operators import tuning
 from brightledger.operators.evaluation import classification_summary
 from brightledger.plans.registry import query
 from brightledger.plans.view_sql import GAPS, with_views
@@ -126,6 +127,17 @@ def _(t):
     return m.search_table(t.spark, m.random_search(LogisticRegression(), space, 10, m.accuracy_evaluator("label"), 5).fit(train))
 
 
+SEARCHED = {"regParam": tuning.Interval(1e-4, 1.0, log=True), "elasticNetParam": tuning.Interval(0.0, 1.0), "maxIter": tuning.Choice((5, 10, 20))}
+
+
+@query("l14_adaptive_search")
+def _(t):
+    """The history of an adaptive search: each trial's setting and loss, and the best so far."""
+    train, _ = m.split_parts(class_vectors(t), "vec_id")
+    losses = tuning.cross_validated_losses(train, LogisticRegression(), m.accuracy_evaluator("label"), 3)
+    return tuning.adaptive_search(t.spark, SEARCHED, losses, scratch_path(t.spark, "trials"), trials=15, batch=5, startup=5)
+
+
 @query("l15_model_comparison")
 def _(t):
     train, test = m.split_parts(labelled_vectors(t), "doc_id")
