@@ -4,6 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from brightledger.operators import clustering as cl
+from brightledger.operators import density
 from brightledger.operators import images as im
 from brightledger.operators import models as m
 from brightledger.operators.aggregates import frequency, histogram
@@ -43,6 +44,30 @@ def _(t):
     return cl.cluster_counts(cl.density_clusters(points, 0.3, 8))
 
 
+# customers by balance, nation, number of orders and mean order price, scaled to comparable spreads
+_SPACE = ["f0", "f1", "f2", "f3"]
+_RADIUS, _LEAST = 0.35, 4
+
+
+@query("k3_feature_clusters", f"""WITH RECURSIVE f AS MATERIALIZED (SELECT c_custkey AS id, round(c_acctbal / 3000::DOUBLE, 6) AS f0, c_nationkey / 8::DOUBLE AS f1,
+    coalesce(n, 0) / 5::DOUBLE AS f2, round(coalesce(p, 0) / 50000, 6) AS f3
+  FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, round(avg(o_totalprice), 2)::DOUBLE AS p FROM orders GROUP BY 1) ON o_custkey = c_custkey),
+e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM f a JOIN f b ON {" + ".join(f"(a.{x} - b.{x}) * (a.{x} - b.{x})" for x in _SPACE)} <= {_RADIUS}::DOUBLE * {_RADIUS}::DOUBLE),
+core AS MATERIALIZED (SELECT a AS id FROM e GROUP BY a HAVING count(*) >= {_LEAST}),
+ce AS MATERIALIZED (SELECT a, b FROM e WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+l AS (SELECT 0 AS k, id, id AS label FROM core UNION ALL SELECT k + 1, a, min(label) FROM l JOIN ce ON b = l.id WHERE k < 80 GROUP BY k, a),
+r AS MATERIALIZED (SELECT id, dense_rank() OVER (ORDER BY label) - 1 AS label FROM l WHERE k = 80),
+o AS (SELECT a AS id, min(label) AS label FROM e JOIN r ON r.id = b GROUP BY a)
+SELECT f.id AS c_custkey, coalesce(r.label, o.label, -1)::INTEGER AS label FROM f LEFT JOIN r USING (id) LEFT JOIN o USING (id)""")
+def _(t):
+    """Density clusters of feature vectors, in more dimensions than the plane."""
+    orders = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("p"))
+    rows = t.customer.join(orders, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        "c_custkey", F.round(F.col("c_acctbal") / 3000.0, 6).alias("f0"), (F.col("c_nationkey") / 8.0).alias("f1"),
+        (F.coalesce("n", F.lit(0)) / 5.0).alias("f2"), F.round(F.coalesce("p", F.lit(0.0)) / 50000.0, 6).alias("f3"))
+    return density.density_clusters(rows, _SPACE, _RADIUS, _LEAST, key="c_custkey")
+
+
 _LABELS = """l AS (SELECT vec_id, CASE WHEN label = 9 THEN -1 WHEN vec_id % 3 = 0 THEN 0 ELSE label END AS label FROM embeddings),
 b AS (SELECT vec_id, CASE WHEN label = -1 THEN (SELECT max(label) FROM l) + 1 ELSE label END AS label FROM l)"""
 
