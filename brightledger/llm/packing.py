@@ -196,4 +196,5 @@ def op6_packing(spark, folder):
 
 
 def stage(spark, docs, folder):
+    """The pieces of all documents; nulls, empty and very long texts and repeated rows as in ``packed``."""
     return packed(docs)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightledger.llm.common import GAP, WORD, read
+from brightledger.llm.common import GAP, WORD, named, read
 from brightledger.session import materialise
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -165,16 +165,18 @@ def judged(docs: DataFrame) -> DataFrame:
 def passing(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns.
 
-    The verdict depends on text, language and source only, so it is taken for each row where it is: thresholds, a table of
-    one row for a group, join the documents directly.
+    Every text is measured once: rows that pass the base rules are written with their measures, which give the thresholds and
+    then the verdict. Nulls, empty and very long texts and groups without thresholds as in ``judged``; rows repeated stay repeated.
     """
-    rows = materialise(metrics(measured(docs)), "quality")
+    own = metrics(measured(docs.withColumn("doc_id", F.struct(*named(docs)))))
+    # a generated row: the filter isn't moved below it, where it would measure again
+    once = own.select(F.inline(F.array(F.struct(*own.columns))))
+    rows = materialise(once.filter("not base_failed"), "quality")
     limits = materialise(thresholds(sketches(rows)).withColumnsRenamed({"lang": "_lang", "source": "_source"}), "thresholds")
-    bad = F.col("base_failed")
+    joined = rows.join(limits, rows["lang"].eqNullSafe(limits["_lang"]) & rows["source"].eqNullSafe(limits["_source"]), "left")
+    bad = F.lit(False)
     for k in SPREADS:
         bad = bad | F.coalesce(F.col(f"m_{k}") > F.col(f"t_{k}"), F.lit(False))
-    own = metrics(measured(docs.withColumn("doc_id", F.struct(*docs.columns))))
-    joined = own.join(limits, own["lang"].eqNullSafe(limits["_lang"]) & own["source"].eqNullSafe(limits["_source"]), "left")
     return joined.filter(~bad).select("doc_id.*")
 
 
@@ -186,6 +188,7 @@ def op3_quality(spark, folder):
 
 
 def stage(spark, docs, folder):
+    """The documents that pass; nulls, empty and very long texts and repeated rows as in ``passing``."""
     return passing(docs)
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from brightledger.llm import quality
 
@@ -66,3 +67,15 @@ def test_sketches_merge(docs):
     one, other = quality.sketches(rows.filter("doc_id % 2 = 0")), quality.sketches(rows.filter("doc_id % 2 = 1 or doc_id is null"))
     merged = one.unionByName(other).groupBy("lang", "source", "metric", "bucket").agg({"n": "sum"}).collect()
     assert sorted(map(str, (tuple(r) for r in merged))) == sorted(map(str, (tuple(r) for r in quality.sketches(rows).collect())))
+
+
+def test_the_stage_measures_every_text_once(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    own = quality.metrics(quality.measured(docs.withColumn("doc_id", F.struct(*docs.columns))))
+    once = own.select(F.inline(F.array(F.struct(*own.columns)))).filter("not base_failed")
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    # nothing but the verdict on generated rows stands in the only filter
+    first, second, *rest = plan.splitlines()
+    assert "NOT base_failed" in first and "Generate inline" in second and not any("Filter" in line for line in rest)
+    kept = {r["doc_id"] for r in quality.judged(docs).filter("kept").collect()}
+    assert {r["doc_id"] for r in quality.passing(docs).collect()} == kept
