@@ -9,6 +9,7 @@ from brightledger.functions.geometry import dot, norm
 from brightledger.operators import aggregates as agg
 from brightledger.operators import evaluation as ev
 from brightledger.operators import retrieval as rt
+from brightledger.operators import vector_index as vi
 from brightledger.operators import text as tx
 from brightledger.operators.ordering import with_position
 from brightledger.plans.registry import query
@@ -194,6 +195,28 @@ def _(t):
     return rounded(rt.nearest(t.embeddings, centroids(t), 5), "distance")
 
 
+def indexed(t):
+    """An index of all vectors, and as queries every vector whose id is divisible by 50."""
+    index = vi.build(t.embeddings, n_lists=128)
+    return index, t.embeddings.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query("x14_indexed_search")
+def _(t):
+    index, asked = indexed(t)
+    return rounded(vi.search(index, asked, 5, probes=64), "distance")
+
+
+@query("x14_index_recall")
+def _(t):
+    """Recall of the indexed search against the exact one, and the share of vectors it compares by code."""
+    index, asked = indexed(t)
+    asked = materialise(asked, "asked")
+    found, truth = vi.search(index, asked, 5, probes=64), rt.nearest(t.embeddings, asked, 5)
+    share = vi.compared(index, asked, probes=64).select(F.round(F.col("compared") / F.col("of"), 4)).scalar()
+    return vi.recall(found, truth).withColumn("share_compared", share)
+
+
 @query("x17_rerank", "WITH " + _CENTROIDS + "SELECT query_id, vec_id, round(cosine, 6) AS rerank_score, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) AS new_rank FROM ranked WHERE rank <= 10")
 def _(t):
     found = rt.nearest(t.embeddings, centroids(t), 10)
