@@ -194,13 +194,6 @@ def _(t):
     return found.select("file_name", F.col("segmentation")[0][0].alias("x"), F.col("segmentation")[0][1].alias("y"))
 
 
-@query("s20_catalog_listing", """SELECT table_name AS "table", column_name AS "column" FROM information_schema.columns WHERE table_name IN ('orders', 'nation')""")
-def _(t):
-    for name in ("orders", "nation"):
-        getattr(t, name).createOrReplaceTempView(name)
-    return files.catalog_listing(t.spark).filter(F.col("table").isin("orders", "nation")).select("table", "column")
-
-
 @query("st13_restart", with_views(TXN) + """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, commission_type, CAST(sum(commission_amount) AS BIGINT) AS total_commission FROM txn GROUP BY 1, 2""")
 def _(t):
     # the same query runs twice on one checkpoint, and half of the messages come between
