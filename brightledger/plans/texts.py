@@ -254,15 +254,16 @@ def keyword_queries(tokens):
     return counted.withColumn("r", F.row_number().over(w)).filter("r <= 3").select("query_id", "term")
 
 
-def keyword_ranking(t, k):
+def asked_index(t):
+    """Stored postings and lengths of the documents, and the terms asked for."""
     tokens = materialise(t.documents.select("doc_id", "lang", tx.words(F.col("text")).alias("w")), "tokens")
     postings, lengths = rt.build_index(tokens, "doc_id", F.col("w"))
-    return rt.keyword_search(postings, lengths, materialise(keyword_queries(tokens), "asked"), k)
+    return postings, lengths, materialise(keyword_queries(tokens), "asked")
 
 
 @query("x15_keyword_search", "WITH " + _BM25 + "SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM kw WHERE rank <= 5")
 def _(t):
-    return rounded(keyword_ranking(t, 5).select("query_id", "id", "score", "rank"), "score")
+    return rounded(rt.keyword_search(*asked_index(t), 5).select("query_id", "id", "score", "rank"), "score")
 
 
 _LANG_CENTROIDS = """lc AS (SELECT lang AS query_id, i AS d, avg(embedding[i]::DOUBLE) AS m FROM embeddings JOIN documents ON doc_id = vec_id, (SELECT unnest(generate_series(1, 64)) AS i) GROUP BY 1, 2),
@@ -278,8 +279,7 @@ def _(t):
     known = t.documents.select(F.col("doc_id").alias("vec_id"), F.col("lang").alias("query_id")).join(t.embeddings, "vec_id")
     means = known.groupBy("query_id").agg(*[F.avg(F.col("embedding")[i].cast("double")).alias(f"m{i}") for i in range(DIMS)])
     asked = means.select("query_id", F.array(*[f"m{i}" for i in range(DIMS)]).alias("embedding"))
-    dense = rt.nearest(t.embeddings.select("vec_id", "embedding"), asked, None).withColumnRenamed("vec_id", "id")
-    out = rt.fuse(keyword_ranking(t, None), dense, 5)
+    out = rt.hybrid_search(rt.keyword_scores(*asked_index(t)), t.embeddings.select("vec_id", "embedding"), asked, 5)
     return out.select("query_id", "id", F.round("score", 9).alias("score"), "rank")
 
 
