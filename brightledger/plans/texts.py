@@ -204,7 +204,7 @@ def indexed(t):
 @query("x14_indexed_search")
 def _(t):
     index, asked = indexed(t)
-    return rounded(vi.search(index, asked, 5, probes=64), "distance")
+    return rounded(vi.search(index, asked, 5, probes=48), "distance")
 
 
 @query("x14_index_recall")
@@ -212,8 +212,8 @@ def _(t):
     """Recall of the indexed search against the exact one, and the share of vectors it compares by code."""
     index, asked = indexed(t)
     asked = materialise(asked, "asked")
-    found, truth = vi.search(index, asked, 5, probes=64), rt.nearest(t.embeddings, asked, 5)
-    share = vi.compared(index, asked, probes=64).select(F.round(F.col("compared") / F.col("of"), 4)).scalar()
+    found, truth = vi.search(index, asked, 5, probes=48), rt.nearest(t.embeddings, asked, 5)
+    share = vi.compared(index, asked, probes=48).select(F.round(F.col("compared") / F.col("of"), 4)).scalar()
     return vi.recall(found, truth).withColumn("share_compared", share)
 
 
