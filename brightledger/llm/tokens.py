@@ -5,13 +5,18 @@ token of every prefix follows from the last tokens of a few shorter prefixes: th
 the state; a character leads to the next state and changes the count by a number fixed for that transition. States and
 transitions are compiled as texts need them and kept for the worker's life, up to a bound.
 
-No piece runs across the end of a word (a mark after something else), so the state returns to the start there. A chunk of
-a text therefore maps any entry state to an exit state through its open head, a count, and its open tail; such maps compose
-associatively, and a long text's chunks are mapped in different tasks.
+No piece runs across the end of a word (a mark after something else), so the state returns to the start there.
+
+A chunk of a long text does not know the state it is entered with, so it is mapped for all that its left context allows: a state
+is a position near the chunk's start where a token may end, and that token. Each is run on from there; a position that no
+tokens lead to from the entry is a hole. Entries soon come to the same state and go on as one. The chunk's map takes each entry to its exits
+(the positions near the chunk's end that tokens lead to) with the count between them. Two tokens enclose one encoding only, so
+such maps compose like relations, in any grouping, and a text's chunks are mapped and composed in tasks of bounded size.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache, reduce
 
@@ -23,10 +28,18 @@ from brightledger.llm.common import batch, map_arrow, read
 
 OVER = 4096
 CHUNK = 1 << 16
-#: Bounds of what a worker keeps: transducer states, and counts of whole words (paths from start to start).
-MAX_STATES, MAX_WORDS = 400_000, 600_000
+#: Bounds of what a worker keeps: entries of the transducer (states, transitions, tokens that may follow, each no longer than a
+#: few pieces), looked at every ``BLOCK`` characters, and bytes of whole words with their counts (paths from start to start).
+MAX_ENTRIES, MAX_WORD_BYTES, BLOCK = 2_000_000, 128 << 20, 256
+#: Characters of the text before a chunk that it is mapped with: at least twice the longest piece.
+CONTEXT = 256
+#: States that are always there: the start of a word, and the one that no token leads to.
+START, DEAD = 0, 1
+#: Stands for the last token at a position that no tokens lead to.
+HOLE = ""
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_SEGMENT_START = re.compile(f"(?<=[^{MARK}]){MARK}")
 
 
 class Transducer(dict):
@@ -41,16 +54,41 @@ class Transducer(dict):
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.score):
             raise ValueError("a piece runs across the end of a word")
         self.begun = {p[:k] for p in self.score for k in range(len(p))}
+        self.longest = max(map(len, self.score))
+        if 2 * self.longest > CONTEXT:
+            raise ValueError("a piece is longer than half the context")
+        self.clear_words()
         self.clear_states()
 
+    def clear_words(self) -> None:
+        self.clear()
+        self.word_bytes = 0
+
     def clear_states(self) -> None:
         # a state: the text that may still become part of a token, and for each position in it the last token so far and
-        # the number of tokens there, less the number at its end
-        self.ids = {("", ((None, 0),)): 0}
-        self.states = [("", ((None, 0),))]
-        self.arcs: list[dict[str, tuple[int, int]]] = [{}]
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.clear()
+        # the number of tokens there, less the number at the last position that is no hole
+        self.ids: dict[tuple, int] = {}
+        self.states: list[tuple] = []
+        self.arcs: list[dict[str, tuple[int, int]]] = []
+        self.fits: dict[tuple[str | None, str], bool] = {}
+        self.n_arcs = 0
+        self.state_of(("", ((None, 0),)))
+        self.state_of(("", ()))
+
+    def state_of(self, key: tuple) -> int:
+        found = self.ids.setdefault(key, len(self.states))
+        if found == len(self.states):
+            self.states.append(key)
+            self.arcs.append({})
+        return found
+
+    def within_bounds(self, states: list[int]) -> list[int]:
+        """The given states, after all others are forgotten if too much is kept."""
+        if len(self.states) + self.n_arcs + len(self.fits) <= MAX_ENTRIES:
+            return states
+        keys = [self.states[s] for s in states]
+        self.clear_states()
+        return [self.state_of(k) for k in keys]
 
     def merged(self, text: str) -> list[str]:
         """The encoding of a short text by its definition: the best-scored neighbours join first, leftmost of equals."""
@@ -77,39 +115,49 @@ class Transducer(dict):
         """Compile a transition: the next state and the change of the count."""
         open_text, last = self.states[state]
         text = open_text + char
-        for at in range(len(text)):
-            token = text[at:]
-            if (token in self.score or at == len(text) - 1) and self.may_follow(last[at][0], token):
+        token, change = HOLE, 0
+        for at, (before, n) in enumerate(last):
+            part = text[at:]
+            if before != HOLE and (part in self.score or len(part) == 1) and self.may_follow(before, part):
+                token, change = part, n + self.weight(part)
                 break
-        change = last[at][1] + self.weight(token)
         keep = next((k for k in range(len(text)) if text[k:] in self.begun), len(text))
-        window = (*((t, n - change) for t, n in last[keep:]), (token, 0))
-        if keep == len(text) and token not in self.score:
+        window = (*((t, 0 if t == HOLE else n - change) for t, n in last[keep:]), (token, 0))
+        if keep == len(text) and token not in self.score and token != HOLE:
             window = ((None, 0),)  # nothing joins an uncovered character
-        key = (text[keep:], window)
-        if key not in self.ids:
-            self.ids[key] = len(self.states)
-            self.states.append(key)
-            self.arcs.append({})
-        found = self.arcs[state][char] = (self.ids[key], change)
+        holes = next((k for k, (t, _) in enumerate(window) if t != HOLE), None)
+        key = ("", ()) if holes is None or not last else (text[keep + holes:], window[holes:])
+        found = self.arcs[state][char] = (self.state_of(key), change)
+        self.n_arcs += 1
         return found
 
-    def segment(self, text: str) -> int:
-        """Tokens of one segment (marks, then other characters), from the start state."""
-        if len(self.states) > MAX_STATES:
-            self.clear_states()
-        state = total = 0
+    def run(self, state: int, text: str) -> tuple[int, int]:
+        total = 0
         for c in text:
             step = self.arcs[state].get(c) or self.arc(state, c)
             state = step[0]
             total += step[1]
-        return total
+        return state, total
+
+    def run_within_bounds(self, state: int, text: str) -> tuple[int, int]:
+        total = 0
+        for i in range(0, len(text), BLOCK):
+            [state] = self.within_bounds([state])
+            state, n = self.run(state, text[i:i + BLOCK])
+            total += n
+        return state, total
+
+    def segment(self, text: str) -> int:
+        """Tokens of one segment (marks, then other characters), from the start state."""
+        return self.run_within_bounds(START, text)[1]
 
     def __missing__(self, word: str) -> int:
         n = self.segment(MARK + word)
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        self[word] = n
+        self.word_bytes += 200 + 4 * len(word)  # the key at its widest, its count and its place in the table
+        if self.word_bytes > MAX_WORD_BYTES:
+            self.clear_words()
+        else:
+            self[word] = n
         return n
 
     def count(self, marked: str) -> int:
@@ -120,35 +168,90 @@ class Transducer(dict):
         head = self.segment(words[0]) if words[0] else 0
         return head + sum(map(self.__getitem__, words[1:]))
 
-    def map_of(self, marked: str) -> tuple[int | None, str, str]:
-        """State map of a chunk: its count between its first and last segment start, its head before and its tail from there.
+    def entries(self, context: str) -> list[tuple[int, str | None]]:
+        """Where a text may be after ``context``: characters back to a position that a token may begin at, and the last token there.
 
-        The count is None where no segment surely starts inside; then all of it is head.
+        A context shorter than ``CONTEXT`` is the text from its beginning. Starts of segments know no last token.
         """
-        first = re.search(f"(?<=[^{MARK}]){MARK}", marked)
+        found: list[tuple[int, str | None]] = []
+        for back in range(min(self.longest, len(context) + 1)):
+            at = len(context) - back
+            if context[at:] not in self.begun:
+                continue
+            if at == 0 or back and context[at] == MARK != context[at - 1]:
+                found.append((back, None))
+                continue
+            tokens = [context[at - k:at] for k in range(1, min(self.longest, at) + 1)]
+            found += [(back, t) for t in tokens if t in self.score and self.may_follow(None, t)]
+            if tokens[0] not in self.score:
+                found += [(back, None), (back, tokens[0])]
+        return found
+
+    def exits(self, state: int, count: int) -> list[tuple[int, str | None, int]]:
+        open_text, last = self.states[state]
+        return [(len(open_text) - i, t, count + n) for i, (t, n) in enumerate(last) if t != HOLE]
+
+    def map_of(self, context: str, text: str) -> StateMap:
+        """State map of a chunk after its left context: for each entry a class and a count, and the exits of each class."""
+        whole, at = context + text, len(context)
+        first = _SEGMENT_START.search(whole, at)
+        end = first.start() if first else len(whole)
+        open_: dict[tuple, tuple[int, int]] = {}
+        for back, t in self.entries(context):
+            [state] = self.within_bounds([self.state_of(("", ((t, 0),)))])
+            open_[back, t] = self.states[state], 0, at - back  # as a key: later entries may make this one's number invalid
+        moved = {}
+        for entry, (key, n, begin) in open_.items():
+            state, more = self.run(self.state_of(key), whole[begin:at])
+            moved[entry] = self.states[state], n + more
+        for i in range(at, end, BLOCK):
+            self.within_bounds([])
+            block, steps = whole[i:min(i + BLOCK, end)], {}
+            for key in {key for key, _ in moved.values()}:
+                state, more = self.run(self.state_of(key), block)
+                steps[key] = self.states[state], more
+            moved = {e: (steps[key][0], n + steps[key][1]) for e, (key, n) in moved.items()}
+        moved = {e: (key, n) for e, (key, n) in moved.items() if key[1]}
         if first is None:
-            return None, marked, ""
-        last = max((m.start() for m in re.finditer(f"(?<=[^{MARK}]){MARK}", marked)))
-        middle = marked[first.start():last]
-        return self.count(middle) if middle else 0, marked[:first.start()], marked[last:]
-
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        """The map of chunk ``a`` followed by chunk ``b``. Associative."""
-        if a[0] is None and b[0] is None:
-            joined = self.map_of(a[1] + b[1])
-            return joined
-        if a[0] is None:
-            inner = self.map_of(a[1] + b[1])
-            return (b[0], inner[1], b[2]) if inner[0] is None else (inner[0] + self.count(inner[2]) + b[0], inner[1], b[2])
-        inner = self.map_of(a[2] + b[1])
-        if b[0] is None:
-            return (a[0], a[1], inner[1]) if inner[0] is None else (a[0] + self.count(inner[1]) + inner[0], a[1], inner[2])
-        return a[0] + self.count(a[2] + b[1]) + b[0], a[1], b[2]
-
-    def applied(self, whole: tuple) -> int:
-        """The count of a whole text's map from the start state."""
-        count, head, tail = whole
-        return (count or 0) + (self.count(head) if head else 0) + (self.count(tail) if tail else 0)
+            keys = list(dict.fromkeys(key for key, _ in moved.values()))
+            return {e: (keys.index(key), n) for e, (key, n) in moved.items()}, [self.exits(self.state_of(key), 0) for key in keys]
+        # a word ends here: whatever is no hole at its end goes on from the start state
+        tail = max(m.start() for m in _SEGMENT_START.finditer(whole, end))
+        middle = self.count(whole[end:tail]) if tail > end else 0
+        state, n = self.run_within_bounds(START, whole[tail:])
+        return {e: (0, k) for e, (key, k) in moved.items() if key[1][-1][0] != HOLE}, [self.exits(state, middle + n)]
+
+
+StateMap = tuple[dict[tuple[int, str | None], tuple[int, int]], list[list[tuple[int, str | None, int]]]]
+
+
+def compose(a: StateMap, b: StateMap) -> StateMap:
+    """The map of a chunk with map ``a`` followed by one with map ``b``. Associative."""
+    classes = []
+    for exits in a[1]:
+        reached = {}
+        for back, t, n in exits:
+            if (back, t) in b[0]:
+                k, more = b[0][back, t]
+                reached.update({(back_, t_): n + more + n_ for back_, t_, n_ in b[1][k]})
+        classes.append([(*e, n) for e, n in reached.items()])
+    return {e: (k, n) for e, (k, n) in a[0].items() if classes[k]}, classes
+
+
+def applied(whole: StateMap) -> int:
+    """The count of a whole text: from its beginning to the token that ends with it."""
+    k, n = whole[0][0, None]
+    [count] = [n_ for back, _, n_ in whole[1][k] if back == 0]
+    return n + count
+
+
+def packed(one: StateMap) -> str:
+    return json.dumps([[(*e, *v) for e, v in one[0].items()], one[1]], ensure_ascii=False)
+
+
+def unpacked(text: str) -> StateMap:
+    entries, classes = json.loads(text)
+    return {(back, t): (k, n) for back, t, k, n in entries}, classes
 
 
 @lru_cache(maxsize=2)
@@ -170,14 +273,14 @@ def counted(docs: DataFrame, model: str | None = None, over: int = OVER, chunk:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of ``docs`` (doc_id, text; others are ignored).
 
     A null or empty text has no bytes and no tokens. Texts up to ``chunk`` characters are counted where they are read. Longer
-    ones are cut and dealt out; their chunks' maps are composed in runs of 256, then whole. Rows repeated come back as often.
+    ones, with or without spaces, are cut and dealt out; their chunks' maps (a few KB each) are composed in runs of 256, then whole. Rows repeated come back as often.
     ``model`` must be there on every executor.
     """
     model = model or default_model()
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counts = f"doc_id {kind}, n_bytes bigint, n_tokens bigint"
-    maps = pa.schema([("row", pa.int64()), ("part", pa.int64()), ("bytes", pa.int64()), ("count", pa.int64()), ("head", pa.string()), ("tail", pa.string())])
+    maps = pa.schema([("row", pa.int64()), ("part", pa.int64()), ("bytes", pa.int64()), ("map", pa.string())])
 
     def whole(batches):
         machine = compiled(model)
@@ -190,33 +293,34 @@ def counted(docs: DataFrame, model: str | None = None, over: int = OVER, chunk:
     def parts(batches):
         machine = compiled(model)
         for b in batches:
-            row, part, texts = (b.column(i).to_pylist() for i in range(3))
-            found = [machine.map_of(marked(t, p == 0)) for t, p in zip(texts, part)]
-            yield batch(maps, row, part, [len(t.encode()) for t in texts], *zip(*found)) if found else batch(maps, *[[]] * 6)
+            found = []
+            row, part, before, texts = (b.column(i).to_pylist() for i in range(4))
+            for p, k, t in zip(part, before, texts):
+                context = marked(t[:k], 0 < k < CONTEXT)
+                found.append((len(t[k:].encode()), packed(machine.map_of(context, marked(t[k:], p == 0)))))
+            yield batch(maps, row, part, *zip(*found)) if found else batch(maps, *[[]] * 4)
 
     def composed(frame):
         import pandas as pd
 
-        machine = compiled(model)
         frame = frame.sort_values("part")
-        each = [(None if pd.isna(c) else int(c), h, t) for c, h, t in zip(frame["count"], frame["head"], frame["tail"])]
-        count, head, tail = reduce(machine.compose, each)
+        whole = reduce(compose, map(unpacked, frame["map"]))
         return pd.DataFrame({"row": frame["row"].iloc[:1], "part": [frame["part"].iloc[0] // 256], "bytes": [frame["bytes"].sum()],
-                             "count": pd.array([count], "Int64"), "head": [head], "tail": [tail]})
+                             "map": [packed(whole)]})
 
     def finished(frame):
         import pandas as pd
 
         last = composed(frame)
-        c = last["count"].iloc[0]
-        return pd.DataFrame({"row": last["row"], "n_bytes": last["bytes"], "n_tokens": [
-            compiled(model).applied((None if pd.isna(c) else int(c), last["head"].iloc[0], last["tail"].iloc[0]))]})
+        return pd.DataFrame({"row": last["row"], "n_bytes": last["bytes"], "n_tokens": [applied(unpacked(last["map"].iloc[0]))]})
 
     short = map_arrow(rows.filter(F.length("text") <= chunk), whole, counts)
     long = rows.filter(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id())
+    begin = F.col("part") * chunk
+    before = F.least(begin, F.lit(CONTEXT))
     cut = long.select("row", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(length(text) - 1) div {chunk}"))).alias("part"), "text").select(
-        "row", "part", F.substring(F.col("text"), (F.col("part") * chunk + 1).cast("int"), F.lit(chunk)).alias("text"))
-    schema = "row bigint, part bigint, bytes bigint, count bigint, head string, tail string"
+        "row", "part", before.alias("before"), F.substring(F.col("text"), (begin - before + 1).cast("int"), (before + chunk).cast("int")).alias("text"))
+    schema = "row bigint, part bigint, bytes bigint, map string"
     mapped = map_arrow(cut.repartition("row", "part"), parts, schema)
     runs = mapped.groupBy("row", F.expr("part div 256").alias("run")).applyInPandas(composed, schema)
     totals = runs.groupBy("row").applyInPandas(finished, "row bigint, n_bytes bigint, n_tokens bigint")
