@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightledger.operators.arrays import column_range
-from brightledger.operators.ordering import exact_quantiles
+from brightledger.operators.ordering import exact_quantiles, selected_quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -46,13 +46,16 @@ def spread_of_counts(df: DataFrame, key: str) -> DataFrame:
         F.avg("n").alias("mean_count"), F.var_samp("n").alias("var_count"))
 
 
+_MOMENTS = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, min, exact quartiles and max; one row per column."""
-    long = to_long(df, columns)
-    basic = long.groupBy("column").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    return basic.join(exact_quantiles(long, "value", QUARTILES, ["column"]), "column", "left")
+    """Count, mean, sample deviation, min, exact quartiles and max; one row per column, by passes that neither sort nor shuffle it."""
+    v = {c: F.col(c).cast("double") for c in columns}
+    one = df.agg(*[fn(v[c]).alias(f"{name}{i}") for i, c in enumerate(columns) for name, fn in _MOMENTS.items()])
+    basic = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{name}{i}").alias(name) for name in _MOMENTS])
+                                          for i, c in enumerate(columns)])))
+    return basic.join(selected_quantiles(df, columns, QUARTILES), "column", "left")
 
 
 def to_long(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:

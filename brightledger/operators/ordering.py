@@ -8,6 +8,7 @@ group) are ever combined, so no group, however large, meets in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -147,6 +148,68 @@ def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float], by: Seq
     return out.select(*by, *picks)
 
 
+def selected_quantiles(df: DataFrame, columns: Sequence[str], probs: dict[str, float], accuracy: int = 10_000) -> DataFrame:
+    """Exact linearly interpolated quantiles ``{name: p}`` of listed columns by selection: (column, names), nulls are ignored.
+
+    Each wanted rank is enclosed by two values of a mergeable sketch; a pass counts the rows below, at and between them; the
+    range between (about 4 / ``accuracy`` of the rows) is enclosed anew until the rank falls on an end. Columns are neither put in
+    order nor shuffled; a few passes do for any size. A column of which a sketch misses a rank is ranked in full.
+    Only a few numbers for each listed column and quantile pass the driver.
+    """
+    columns, names = list(columns), list(probs)
+    value = {c: F.col(c).cast("double") for c in columns}
+    size = dict(zip(columns, df.agg(*[F.count(value[c]) for c in columns]).first()))
+    place = {(c, n): (size[c] - 1) * float(probs[n]) for c in columns if size[c] for n in names}
+    # a rank's range, open at both ends: its ends, rows up to its lower end, rows inside
+    open_ = {(c, r): (None, None, 0, size[c]) for (c, _), h in place.items() for r in (math.floor(h), math.ceil(h))}
+    found, missed = {}, set()
+    while open_:
+        asked: dict[tuple, list[float]] = {}
+        for (c, r), (lo, hi, below, held) in open_.items():
+            reach = 2 / accuracy if 4 * held > accuracy else 0.25 / held
+            middle = (r - below + 1) / held
+            asked.setdefault((c, lo, hi), []).extend((max(0.0, middle - reach), min(1.0, middle + reach)))
+        drawn = df.agg(*[F.percentile_approx(F.when(_between(value[c], lo, hi), value[c]), ps, accuracy) for (c, lo, hi), ps in asked.items()]).first()
+        ends = {k: iter(v) for k, v in zip(asked, drawn)}
+        closer = {(c, r): (next(ends[c, lo, hi]), next(ends[c, lo, hi])) for (c, r), (lo, hi, _, _) in open_.items()}
+        parts = []
+        for (c, r), (a, b) in closer.items():
+            v, within = value[c], _between(value[c], *open_[c, r][:2])
+            parts += [F.count_if(k & within) for k in (v < a, v == a, (v > a) & (v < b), (v == b) & F.lit(a != b))]
+        counts = iter(df.agg(*parts).first())
+        left = {}
+        for (c, r), (a, b) in closer.items():
+            below = open_[c, r][2]
+            under, at_a, inside, at_b = (next(counts) for _ in range(4))
+            k = r - below - under
+            if k < 0 or k >= at_a + inside + at_b:
+                missed.add(c)
+            elif k < at_a:
+                found[c, r] = a
+            elif k < at_a + inside:
+                left[c, r] = (a, b, below + under + at_a, inside)
+            else:
+                found[c, r] = b
+        open_ = {(c, r): v for (c, r), v in left.items() if c not in missed}
+
+    def between(c: str, h: float) -> float:
+        low, high = found[c, math.floor(h)], found[c, math.ceil(h)]
+        return low + (h - math.floor(h)) * (high - low) if low != high else low
+
+    rows = [(c, *[float(between(c, place[c, n])) for n in names]) for c in columns if size[c] and c not in missed]
+    out = df.sparkSession.createDataFrame(rows, ", ".join(["column string", *[f"`{n}` double" for n in names]]))
+    if not missed:
+        return out
+    whole = [F.struct(F.lit(c).alias("column"), value[c].alias("value")) for c in columns if c in missed]
+    return out.unionByName(exact_quantiles(df.select(F.inline(F.array(*whole))), "value", probs, ["column"]))
+
+
+def _between(v: Column, low: float | None, high: float | None) -> Column:
+    out = v.isNotNull()
+    out = out if low is None else out & (v > low)
+    return out if high is None else out & (v < high)
+
+
 def top_fraction(df: DataFrame, score: Column, fraction: float, tie_break: Sequence[str]) -> DataFrame:
     """Rows among the ``max(1, int(fraction * n))`` highest scores; a null score is the lowest.
 

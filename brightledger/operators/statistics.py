@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brightledger.functions import tails
 from brightledger.operators.aggregates import to_long
-from brightledger.operators.ordering import exact_quantiles
+from brightledger.operators.ordering import exact_quantiles, selected_quantiles
 from brightledger.operators.rows import clip
 
 Z95 = 1.96  # fixed value: two-sided 95 % normal quantile
@@ -120,7 +120,7 @@ def mean_and_covariance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def outlier_fences(df: DataFrame, columns: Sequence[str], factor: float = 3.0) -> DataFrame:
     """Lower and upper fence per column: quartiles widened by ``factor`` times their distance."""
-    q = exact_quantiles(to_long(df, columns), "value", {"q1": 0.25, "q3": 0.75}, ["column"])
+    q = selected_quantiles(df, columns, {"q1": 0.25, "q3": 0.75})
     reach = factor * (F.col("q3") - F.col("q1"))
     return q.select("column", (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper"))
 

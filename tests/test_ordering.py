@@ -1,6 +1,7 @@
 """Positions, running sums, frames and quantiles against plain Python."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,42 @@ def test_salted_join_with_a_map_column(spark, share):
         assert skew.salted_join(big, other, ["k"]).count() == int(20_000 * share) + 1
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_selected_quantiles_equal_numpy(spark):
+    n, draw = 30_000, np.random.default_rng(3)
+    data = {"flat": draw.random(n), "tied": draw.integers(0, 4, n).astype(float), "wide": np.exp(draw.normal(0, 40, n)),
+            "hot": np.where(draw.random(n) < 0.4, 7.0, draw.normal(7, 1e-9, n)), "same": np.full(n, 2.5)}
+    frame = spark.createDataFrame(pd.DataFrame(data)).repartition(7).withColumns({
+        "holes": F.when(F.col("flat") < 0.3, F.col("wide")), "none": F.lit(None).cast("double"),
+        "nan": F.when(F.col("flat") < 0.001, F.lit(float("nan"))).otherwise(F.col("flat"))})
+    probs = {"low": 0.0, "q1": 0.25, "mid": 0.5, "p999": 0.999, "top": 1.0}
+    got = {r["column"]: r for r in o.selected_quantiles(frame, frame.columns, probs).collect()}
+    assert set(got) == set(frame.columns) - {"none"}
+    data["holes"] = data["wide"][data["flat"] < 0.3]
+    for c, values in data.items():
+        for name, p in probs.items():
+            assert got[c][name] == pytest.approx(np.quantile(values, p), rel=1e-12), (c, name)
+    assert got["nan"]["mid"] == pytest.approx(np.quantile(np.where(data["flat"] < 0.001, np.inf, data["flat"]), 0.5))
+    few = frame.limit(3).persist()
+    want = np.quantile([r["flat"] for r in few.collect()], 0.5)
+    assert o.selected_quantiles(few, ["flat"], {"mid": 0.5}).first()["mid"] == pytest.approx(want)
+    assert o.selected_quantiles(frame.limit(0), ["flat"], {"mid": 0.5}).isEmpty()
+
+
+def test_a_missed_rank_is_ranked_in_full(spark, monkeypatch):
+    frame = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    monkeypatch.setattr(o.F, "percentile_approx", lambda *a: F.array(*[F.lit(1.0 + i % 2) for i in range(len(a[1]))]))
+    assert o.selected_quantiles(frame, ["v"], {"mid": 0.5}).first()["mid"] == 499.5
+
+
+def test_selection_refines_and_never_ranks_in_full(spark, monkeypatch):
+    frame = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"), (F.col("id") % 3).cast("double").alias("w"))
+    frame = frame.withColumn("edge", F.when(F.col("v") > 0, 7.0).otherwise(F.col("v")))  # half of the rows are one value
+    monkeypatch.setattr(o, "exact_quantiles", None)
+    probs = {"q1": 0.25, "mid": 0.5, "q3": 0.75}
+    got = {r["column"]: r for r in o.selected_quantiles(frame, frame.columns, probs, accuracy=100).collect()}
+    data = frame.toPandas()
+    for c in data:
+        for n, p in probs.items():
+            assert got[c][n] == pytest.approx(np.quantile(data[c], p), rel=1e-12)
