@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from brightledger.operators.components import connected_components
 from brightledger.operators.ordering import with_position
+from brightledger.operators.rows import portable_hash
 from brightledger.operators.skew import hot_keys, salted_join
 from brightledger.session import materialise
 
@@ -42,6 +46,88 @@ def silhouette_by_k(df: DataFrame, ks: range = range(2, 11), column: str = "feat
     return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
+#: Rows whose silhouettes are averaged at most, and numbers (rows x coordinates) that this sample may hold.
+SAMPLE_ROWS, SAMPLE_NUMBERS = 10_000, 1 << 24
+#: Sampled rows that one step compares with an Arrow batch.
+SAMPLE_BLOCK = 1_000
+
+
+def silhouettes(df: DataFrame, labels: Sequence[str], key: str = "id", vector: str = "vector", sample: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
+    """(labelling, key, cluster, own, nearest, silhouette) in plain Euclidean distance for a seeded sample of rows, against all rows.
+
+    ``vector`` is an array of doubles, ``labels`` name columns of whole-numbered cluster labels: one pass serves all labellings. The
+    sample (at most ``sample`` rows, the smallest seeded hashes of the key) is sent to every task; a task adds up the distances of its
+    rows to each sampled row by labelling and cluster, as matrix products, and passes on these sums alone. ``own`` is the mean distance to
+    the other rows of the row's cluster, ``nearest`` the smallest mean distance to another cluster; a row alone in its cluster has 0.
+    Rows without a vector or label are left out of that labelling.
+    """
+    labels = list(labels)
+    rows = df.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"), *[F.col(c).cast("bigint").alias(c) for c in labels]).filter("_v is not null")
+    chosen = rows.withColumn("_h", portable_hash(F.col("_id"), seed)).orderBy("_h", "_id").limit(sample).drop("_h")
+    held = chosen.collect()
+    if sum(len(r["_v"]) for r in held) > SAMPLE_NUMBERS:
+        raise ValueError("the sample holds too many numbers: ask for fewer rows")
+    points = df.sparkSession.sparkContext.broadcast(np.array([r["_v"] for r in held], np.float64))
+    ids = [r["_id"] for r in held]
+    same = df.sparkSession.sparkContext.broadcast({k: i for i, k in enumerate(ids)})
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[tuple[int, int], np.ndarray] = {}
+        at = points.value
+        squares = (at * at).sum(axis=1)
+        for b in batches:
+            x = np.stack(b["_v"].to_numpy())
+            own = np.array([same.value.get(k, -1) for k in b["_id"]])
+            marks = []
+            for i, c in enumerate(labels):
+                known = b[c].notna().to_numpy()
+                values, index = np.unique(b[c][known].to_numpy(np.int64), return_inverse=True)
+                one = np.zeros((len(values), len(b)))
+                one[index, np.flatnonzero(known)] = 1
+                marks += [((i, int(v)), row) for v, row in zip(values, one)]
+            if not marks:
+                continue
+            each = np.stack([row for _, row in marks])
+            for start in range(0, len(at), SAMPLE_BLOCK):
+                part = slice(start, start + SAMPLE_BLOCK)
+                d = (x * x).sum(axis=1)[:, None] - 2 * x @ at[part].T
+                d += squares[part]
+                d = np.sqrt(np.maximum(d, 0))
+                mine = np.flatnonzero((own >= start) & (own < start + SAMPLE_BLOCK))
+                d[mine, own[mine] - start] = 0  # a row's distance to itself, free of rounding
+                for (mark, _), found in zip(marks, each @ d):
+                    total.setdefault(mark, np.zeros(len(at)))[part] += found
+        for (i, v), found in total.items():
+            yield pd.DataFrame({"_l": i, "_c": v, "_s": np.arange(len(found)), "_d": found})
+
+    parts = rows.mapInPandas(sums, "_l int, _c bigint, _s int, _d double")
+    added = parts.groupBy("_l", "_c", "_s").agg(F.sum("_d").alias("_d"))
+    marks = F.array(*[F.struct(F.lit(i).alias("_l"), F.lit(c).alias("labelling"), F.col(c).alias("_c")) for i, c in enumerate(labels)])
+    sizes = rows.select(F.inline(marks)).filter("_c is not null").groupBy("_l", "_c").agg(F.count("*").alias("_n"))
+    kind = rows.schema["_id"].dataType.simpleString()
+    order = {k: i for i, k in enumerate(ids)}
+    of = df.sparkSession.createDataFrame([(i, k) for k, i in order.items()], f"_s int, _id {kind}")
+    asked = chosen.join(of, "_id").select("_s", "_id", F.inline(marks)).withColumnRenamed("_c", "cluster").filter("cluster is not null")
+    met = asked.join(added, ["_l", "_s"]).join(sizes, ["_l", "_c"])
+    inside = F.col("_c") == F.col("cluster")
+    out = met.groupBy("labelling", F.col("_id").alias(key), "cluster").agg(
+        F.max(F.when(inside & (F.col("_n") > 1), F.col("_d") / (F.col("_n") - 1))).alias("own"),
+        F.min(F.when(~inside, F.col("_d") / F.col("_n"))).alias("nearest"))
+    return out.withColumn("silhouette", F.when(F.col("own").isNull(), 0.0).otherwise(
+        F.coalesce(F.try_divide(F.col("nearest") - F.col("own"), F.greatest("own", "nearest")), F.lit(0.0))))
+
+
+def plain_silhouette_by_k(df: DataFrame, ks: range = range(2, 11), key: str = "id", column: str = "features", sample: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
+    """Mean silhouette in plain Euclidean distance of each k-means clustering, over a seeded sample of rows against all rows."""
+    labelled = df.select(key, column)
+    for k in ks:
+        model = KMeans(k=k, seed=seed, featuresCol=column, predictionCol=f"k{k}").fit(df)
+        labelled = model.transform(labelled)
+    stage = materialise(labelled.withColumn("vector", vector_to_array(column)).drop(column), "labelled")
+    found = silhouettes(stage, [f"k{k}" for k in ks], key, "vector", sample, seed)
+    return found.groupBy(F.substring("labelling", 2, 9).cast("int").alias("k")).agg(F.avg("silhouette").alias("silhouette"))
+
+
 def _distance2(a: str, b: str) -> Column:
     dx, dy = F.col(f"{a}x") - F.col(f"{b}x"), F.col(f"{a}y") - F.col(f"{b}y")
     return dx * dx + dy * dy

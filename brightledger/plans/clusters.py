@@ -28,6 +28,22 @@ def _(t):
     return cl.silhouette_by_k(vectors(t), range(2, 11))
 
 
+@query("k2_plain_silhouette_by_k")
+def _(t):
+    return cl.plain_silhouette_by_k(vectors(t), range(2, 11), "vec_id")
+
+
+@query("k2_label_silhouettes", """WITH v AS MATERIALIZED (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+s AS MATERIALIZED (SELECT * FROM v ORDER BY substr(md5('42:' || vec_id), 1, 8), vec_id LIMIT 10000),
+d AS (SELECT s.vec_id, s.label AS cluster, v.label, sum(CASE WHEN s.vec_id = v.vec_id THEN 0 ELSE list_distance(s.e, v.e) END) AS d, count(*) AS n FROM s, v GROUP BY 1, 2, 3),
+m AS (SELECT vec_id, cluster, max(d / (n - 1)) FILTER (label = cluster AND n > 1) AS own, min(d / n) FILTER (label <> cluster) AS nearest FROM d GROUP BY 1, 2)
+SELECT vec_id, cluster::BIGINT AS cluster, round(own, 5) AS own, round(nearest, 5) AS nearest FROM m""")
+def _(t):
+    """Mean distances inside the given cluster and to the nearest other one, whose difference makes the silhouette."""
+    found = cl.silhouettes(t.embeddings, ["label"], "vec_id", "embedding")
+    return rounded(found.select("vec_id", "cluster", "own", "nearest"), "own", "nearest", digits=5)
+
+
 @query("k3_density_clusters")
 def _(t):
     frame, _ = m.principal_components(vectors(t), 2)
