@@ -7,7 +7,7 @@ from brightledger.plans.registry import query
 from brightledger.plans.streams import stream_of
 from brightledger.plans.view_sql import BOXES, QA, TXN, with_views
 from brightledger.session import scratch_path
-from brightledger.sources import files
+from brightledger.sources import files, partitions
 from brightledger.streaming import io, queries
 
 
@@ -72,6 +72,33 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
+@query("s9_partition_overwrite", "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END AS o_totalprice FROM orders")
+def _(t):
+    path = scratch_path(t.spark, "table")
+    stored = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    stored.write.partitionBy("o_orderstatus").parquet(path)
+    partitions.overwrite_partitions(stored.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.lit(0.0)), path, "o_orderstatus")
+    return t.spark.read.parquet(path)
+
+
+@query("p25_update_in_place", """WITH c AS (SELECT l_orderkey, max(l_extendedprice) AS m FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-06-01' GROUP BY 1)
+SELECT o_orderkey, coalesce(m, o_totalprice) AS o_totalprice, year(o_orderdate)::INTEGER AS o_year FROM orders LEFT JOIN c ON l_orderkey = o_orderkey""")
+def _(t):
+    path = scratch_path(t.spark, "table")
+    t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("o_year")).write.partitionBy("o_year").parquet(path)
+    changes = t.lineitem.filter("l_shipdate >= timestamp'1997-06-01'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("o_totalprice"))
+    partitions.update_in_place(t.spark, path, changes, ["o_orderkey"], ["o_totalprice"], "o_year")
+    return t.spark.read.parquet(path)
+
+
+@query("s16_expired_in_place", "SELECT event_id, user_id FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 86400 SECOND")
+def _(t):
+    path = scratch_path(t.spark, "table")
+    t.events.select("event_id", "user_id", "ts", F.to_date("ts").alias("day")).hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    partitions.expire_in_place(t.spark, path, t.events.agg(F.max("ts")).scalar(), time="ts")
+    return t.spark.read.parquet(path).select("event_id", "user_id")
+
+
 @query("s11_stream_json_append", with_views(TXN) + "SELECT transaction_id, customer_id, amount FROM txn WHERE status = 'approved'")
 def _(t):
     folder = scratch_path(t.spark, "append")
