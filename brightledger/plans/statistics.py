@@ -90,6 +90,27 @@ def _(t):
     return a.unionByName(b).withColumn("decision", st.decision(F.col("p_value")))
 
 
+def _critical(level_z):
+    """Two-sided critical value of Student's distribution by its expansion in 1 / df, exact to six digits from df = 100 on."""
+    z, d = level_z, "df"
+    return f"({z}::DOUBLE + {z ** 3 + z} / (4 * {d}) + {5 * z ** 5 + 16 * z ** 3 + 3 * z} / (96 * {d} * {d}))"
+
+
+# fixed values: normal quantiles at 0.975 and 0.95
+_REJECTED = {"rejected at 0.05": 1.959963984540054, "rejected at 0.1": 1.6448536269514722}
+_TESTED = ("l_quantity", "l_extendedprice", "l_discount")
+
+
+@query("q7_decisions", f"""WITH s AS (SELECT "column", 'means' AS test, abs(t) AS t, df FROM ({" UNION ALL ".join(_T.format(c=c, **_T_POOLED) for c in _TESTED)})
+UNION ALL SELECT "column", 'variances', sqrt(greatest(statistic, 0)), df2 FROM ({" UNION ALL ".join(_LEVENE.format(c=c) for c in _TESTED)}))
+SELECT "column", test, CASE {" ".join(f"WHEN t > {_critical(z)} THEN '{name}'" for name, z in _REJECTED.items())} ELSE 'not rejected' END AS decision FROM s""")
+def _(t):
+    """Decisions alone: they follow from critical values as well."""
+    means = st.t_test(t.lineitem, "l_returnflag", "A", "R", _TESTED).select("column", F.lit("means").alias("test"), "p_value")
+    variances = st.levene(t.lineitem, "l_returnflag", "A", "R", _TESTED).select("column", F.lit("variances").alias("test"), "p_value")
+    return means.unionByName(variances).select("column", "test", st.decision(F.col("p_value")).alias("decision"))
+
+
 @query("q8_yes_no_mean", "SELECT o_orderpriority, round(avg(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END), 6) AS rate FROM orders GROUP BY 1")
 def _(t):
     return t.orders.groupBy("o_orderpriority").agg(F.round(F.avg(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)), 6).alias("rate"))
