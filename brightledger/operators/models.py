@@ -293,21 +293,6 @@ def word_vectors(documents: DataFrame, token_list: str, dims: int = 100, window:
 
 
 def principal_components(df: DataFrame, k: int, column: str = "features", name: str = "components"):
-    """(projected frame, fitted model); ``1 - sum(explainedVariance)`` is the variance lost."""
+    """(projected frame, fitted model) from the square matrix of all dimensions; see ``principal`` for long vectors and shares."""
     model = PCA(k=k, inputCol=column, outputCol=name).fit(df)
     return model.transform(df), model
-
-
-def components_for_variance(df: DataFrame, share: float = 0.95, column: str = "features", name: str = "components"):
-    """Smallest number of components keeping ``share`` of the variance."""
-    size = df.select(column).first()[0].size
-    ratios = PCA(k=size, inputCol=column, outputCol=name).fit(df).explainedVariance.toArray()
-    total, k = 0.0, size
-    for i, v in enumerate(ratios, 1):
-        total += float(v)
-        if total >= share - 1e-12:
-            k = i
-            break
-    return principal_components(df, k, column, name)
-
-

@@ -11,6 +11,7 @@ from brightledger.operators import selection as sel
 from brightledger.operators import text as tx
 from brightledger.operators import tuning
 from brightledger.operators.evaluation import classification_summary
+from brightledger.operators.principal import principal_components
 from brightledger.plans.registry import query
 from brightledger.plans.view_sql import GAPS, with_views
 from brightledger.session import materialise, scratch_path
@@ -236,15 +237,32 @@ def _(t):
     return materialise(model.transform(docs).select("doc_id", "text", vector_to_array("vector", "float32").alias("embedding")), "vectors")
 
 
-@query("l26_principal_components")
+# the power of a symmetric matrix, squared 18 times, is the outer product of its first component; the second is that of what it leaves
+_POWER = """SELECT k, list_transform(a, lambda x: list_transform(x, lambda y: y / list_sum(list_transform(range(1, 65), lambda i: a[i][i])))) AS a"""
+_FIRST = """SELECT list_transform(r, lambda y: y / sqrt(list_dot_product(r, r))) AS v FROM (SELECT unnest(a) AS r FROM {0} WHERE k = 18) ORDER BY list_dot_product(r, r) DESC LIMIT 1"""
+_VALUE = "list_dot_product(v, list_transform(a, lambda x: list_dot_product(x, v)))"
+_SQUARED = _POWER + """ FROM (SELECT k + 1 AS k, list_transform(a, lambda x: list_transform(a, lambda y: list_dot_product(x, y))) AS a FROM {0} WHERE k < 18)"""
+_SIGNED = "CASE WHEN list_max(v) >= -list_min(v) THEN 1 ELSE -1 END"
+_COMPONENTS = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), d AS (SELECT unnest(range(1, 65)) AS i),
+c AS MATERIALIZED (SELECT d.i, f.i AS j, covar_samp(e[d.i], e[f.i]) AS c FROM e, d, d AS f GROUP BY 1, 2), r AS (SELECT i, list(c ORDER BY j) AS r FROM c GROUP BY 1),
+m AS MATERIALIZED (SELECT list(r ORDER BY i) AS a FROM r), mean AS MATERIALIZED (SELECT list(m ORDER BY i) AS m FROM (SELECT i, avg(e[i]) AS m FROM e, d GROUP BY 1)),
+p AS ({_POWER} FROM (SELECT 0 AS k, a FROM m) UNION ALL {_SQUARED.format("p")}), v1 AS MATERIALIZED ({_FIRST.format("p")}),
+l1 AS MATERIALIZED (SELECT v, {_VALUE} AS l FROM v1, m), m2 AS MATERIALIZED (SELECT list_transform(a, lambda x, i: list_transform(x, lambda y, j: y - l * v[i] * v[j])) AS a FROM m, l1),
+q AS ({_POWER} FROM (SELECT 0 AS k, a FROM m2) UNION ALL {_SQUARED.format("q")}), v2 AS MATERIALIZED ({_FIRST.format("q")}), l2 AS MATERIALIZED (SELECT v, {_VALUE} AS l FROM v2, m),
+s1 AS (SELECT list_transform(v, lambda y: y * {_SIGNED}) AS v, l FROM l1), s2 AS (SELECT list_transform(v, lambda y: y * {_SIGNED}) AS v, l FROM l2)
+SELECT vec_id, round(list_dot_product(e, s1.v) - list_dot_product(m, s1.v), 5) AS x, round(list_dot_product(e, s2.v) - list_dot_product(m, s2.v), 5) AS y,
+round(1 - (s1.l + s2.l) / list_sum(list_transform(range(1, 65), lambda i: a[i][i])), 6) AS lost_variance FROM e, mean, m, s1, s2"""
+
+
+@query("l26_principal_components", _COMPONENTS)
 def _(t):
-    frame, model = m.principal_components(class_vectors(t), 2)
-    v = vector_to_array("components")
-    lost = 1 - float(model.explainedVariance.toArray().sum())
-    return frame.select("vec_id", v[0].alias("x"), v[1].alias("y"), F.lit(lost).alias("lost_variance"))
+    found = principal_components(t.embeddings, "embedding", k=2)
+    v = F.col("components")
+    return found.project(t.embeddings.select("vec_id", "embedding"), "embedding").select(
+        "vec_id", F.round(v[0], 5).alias("x"), F.round(v[1], 5).alias("y"), F.round(F.lit(found.lost), 6).alias("lost_variance"))
 
 
 @query("l26_variance_share")
 def _(t):
-    frame, model = m.components_for_variance(class_vectors(t), 0.95)
-    return frame.select("vec_id", F.size(vector_to_array("components")).alias("k"))
+    found = principal_components(t.embeddings, "embedding", share=0.95)
+    return found.project(t.embeddings.select("vec_id", "embedding"), "embedding").select("vec_id", F.size("components").alias("k"))
