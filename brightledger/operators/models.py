@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
-    PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, Word2Vec)
+    PCA, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -285,13 +285,6 @@ def active_learning_regression(labelled: DataFrame, pool: DataFrame, answers: Da
 
 # --- representation -----------------------------------------------------------------------------------
 
-def word_vectors(documents: DataFrame, token_list: str, dims: int = 100, window: int = 5, min_count: int = 1,
-                 partitions: int = 1, max_iter: int = 1):
-    """Word vectors of a corpus; more ``partitions`` train in parallel on large corpora."""
-    return Word2Vec(vectorSize=dims, windowSize=window, minCount=min_count, numPartitions=partitions, maxIter=max_iter,
-                    inputCol=token_list, outputCol="vector", seed=SEED).fit(documents)
-
-
 def principal_components(df: DataFrame, k: int, column: str = "features", name: str = "components"):
     """(projected frame, fitted model) from the square matrix of all dimensions; see ``principal`` for long vectors and shares."""
     model = PCA(k=k, inputCol=column, outputCol=name).fit(df)

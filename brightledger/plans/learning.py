@@ -10,10 +10,12 @@ from brightledger.operators import models as m
 from brightledger.operators import selection as sel
 from brightledger.operators import text as tx
 from brightledger.operators import tuning
+from brightledger.operators import word_space as ws
 from brightledger.operators.evaluation import classification_summary
 from brightledger.operators.principal import principal_components
+from brightledger.operators.retrieval import mean_word_vectors
 from brightledger.plans.registry import query
-from brightledger.plans.view_sql import GAPS, with_views
+from brightledger.plans.view_sql import GAPS, WORDS, with_views
 from brightledger.session import materialise, scratch_path
 
 DIMS = 64
@@ -222,19 +224,39 @@ def _(t):
     return m.active_learning_regression(labelled, pool, pool, test, "key", "label", 50, 5)
 
 
+_INFORMATION = f"""WITH w AS MATERIALIZED (SELECT doc_id, {WORDS} AS w FROM documents), k AS (SELECT unnest(range(1, 6)) AS k),
+p AS (SELECT w[i] AS a, w[i + k] AS b FROM (SELECT w, k, unnest(range(1, len(w) - k + 1)) AS i FROM w, k WHERE len(w) > k)),
+d AS MATERIALIZED (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM p UNION ALL SELECT b, a FROM p) GROUP BY 1, 2), t AS MATERIALIZED (SELECT a, sum(n)::DOUBLE AS t FROM d GROUP BY 1),
+m AS (SELECT d.a, d.b, ln(n) + ln((SELECT sum(t ** 0.75) FROM t)) - 0.875 * (ln(x.t) + ln(y.t)) AS m FROM d JOIN t AS x ON d.a = x.a JOIN t AS y ON d.b = y.a)
+SELECT a AS word, count(*) AS contexts, round(sum(m), 6) AS total, round(max(m), 6) AS best FROM m WHERE m > 1e-9 GROUP BY 1"""
+
+
+def word_lists(t):
+    return materialise(t.documents.select("doc_id", "text", tx.words(F.col("text")).alias("w")), "tokens")
+
+
+@query("l25_word_information", _INFORMATION)
+def _(t):
+    """The matrix behind the word vectors: contexts a word prefers, and how strongly."""
+    docs = word_lists(t)
+    vocabulary = ws.vocabulary_of(docs, "w")
+    names = vocabulary.select(F.col("id").alias("i"), "word")
+    found = ws.information(ws.word_pairs(docs, "w", 5), vocabulary.select("word", "id")).filter("m > 1e-9").groupBy("i").agg(
+        F.count("*").alias("contexts"), F.round(F.sum("m"), 6).alias("total"), F.round(F.max("m"), 6).alias("best"))
+    return found.join(names, "i").select("word", "contexts", "total", "best")
+
+
 @query("l25_word_vectors")
 def _(t):
-    docs = t.documents.select("doc_id", tx.words(F.col("text")).alias("w"))
-    model = m.word_vectors(docs, "w", dims=100, window=5, min_count=1, partitions=t.spark.sparkContext.defaultParallelism)
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    return ws.word_vectors(word_lists(t), "w", dims=100, window=5, min_count=1).select("word", "vector")
 
 
 @query("x18_embedding_table")
 def _(t):
-    docs = t.documents.select("doc_id", "text").dropDuplicates(["doc_id", "text"]).withColumn("w", tx.words(F.col("text")))
-    docs = materialise(docs, "tokens")
-    model = m.word_vectors(docs, "w", dims=32, window=5, min_count=1, partitions=t.spark.sparkContext.defaultParallelism)
-    return materialise(model.transform(docs).select("doc_id", "text", vector_to_array("vector", "float32").alias("embedding")), "vectors")
+    docs = word_lists(t).dropDuplicates(["doc_id", "text"]).withColumn("row", F.struct("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256)))
+    docs = materialise(docs, "texts")
+    vectors = mean_word_vectors(docs, "row", "w", ws.word_vectors(docs, "w", dims=32, window=5, min_count=1), 32)
+    return materialise(docs.join(vectors, "row").select("doc_id", "text", F.col("vector").cast("array<float>").alias("embedding")), "vectors")
 
 
 # the power of a symmetric matrix, squared 18 times, is the outer product of its first component; the second is that of what it leaves

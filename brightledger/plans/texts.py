@@ -14,7 +14,7 @@ from brightledger.operators import text as tx
 from brightledger.operators.ordering import with_position
 from brightledger.plans.registry import query
 from brightledger.plans.statistics import rounded
-from brightledger.plans.view_sql import QA, with_views
+from brightledger.plans.view_sql import QA, WORDS, with_views
 from brightledger.session import materialise
 
 _VARIANTS = "translate({c}, 'يكةۀؤإأآ' || chr(8204) || chr(8203), 'یکههوااا ')"
@@ -125,7 +125,7 @@ def _(t):
     return tx.word_frequency(tok, "t", [".", ",", "!", "?", "-", ":"], 50)
 
 
-_WORDS = r"regexp_extract_all(lower(text), '[\pL\pN_\pM]{2,}')"
+_WORDS = WORDS
 
 
 @query("x11_top_ngrams", f"WITH w AS (SELECT {_WORDS} AS w FROM documents) " + " UNION ALL ".join(

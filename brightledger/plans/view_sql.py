@@ -1,5 +1,6 @@
 """SQL text of the derived views, for the SQL twins."""
 
+WORDS = r"regexp_extract_all(lower(text), '[\pL\pN_\pM]{2,}')"
 TXN0 = """txn0 AS (
   SELECT event_id, CAST(event_id AS VARCHAR) AS transaction_id, ts, user_id,
     'cust_' || CAST(user_id AS VARCHAR) AS customer_id,
