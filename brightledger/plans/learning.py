@@ -227,7 +227,7 @@ def _(t):
 _INFORMATION = f"""WITH w AS MATERIALIZED (SELECT doc_id, {WORDS} AS w FROM documents), k AS (SELECT unnest(range(1, 6)) AS k),
 p AS (SELECT w[i] AS a, w[i + k] AS b FROM (SELECT w, k, unnest(range(1, len(w) - k + 1)) AS i FROM w, k WHERE len(w) > k)),
 d AS MATERIALIZED (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM p UNION ALL SELECT b, a FROM p) GROUP BY 1, 2), t AS MATERIALIZED (SELECT a, sum(n)::DOUBLE AS t FROM d GROUP BY 1),
-m AS (SELECT d.a, d.b, ln(n) + ln((SELECT sum(t ** 0.75) FROM t)) - 0.875 * (ln(x.t) + ln(y.t)) AS m FROM d JOIN t AS x ON d.a = x.a JOIN t AS y ON d.b = y.a)
+m AS (SELECT d.a, d.b, ln(n) + ln((SELECT sum(CAST(t ** 0.75 AS DECIMAL(28, 6)))::DOUBLE FROM t)) - 0.875 * (ln(x.t) + ln(y.t)) AS m FROM d JOIN t AS x ON d.a = x.a JOIN t AS y ON d.b = y.a)
 SELECT a AS word, count(*) AS contexts, round(sum(m), 6) AS total, round(max(m), 6) AS best FROM m WHERE m > 1e-9 GROUP BY 1"""
 
 
