@@ -25,22 +25,22 @@ def register_sql_functions(spark) -> None:
             + cos(radians(a)) * cos(radians(c)) * power(sin(radians(d - b) / 2), 2))))""")
 
 
-def _side(prefix: str, name: str) -> Column:
-    return F.col(prefix + name)
+def _side(box: str | Column, name: str) -> Column:
+    return F.col(box + name) if isinstance(box, str) else box[name]
 
 
-def intersection_area(a: str, b: str) -> Column:
+def intersection_area(a: str | Column, b: str | Column) -> Column:
     w = F.least(_side(a, "xmax"), _side(b, "xmax")) - F.greatest(_side(a, "xmin"), _side(b, "xmin"))
     h = F.least(_side(a, "ymax"), _side(b, "ymax")) - F.greatest(_side(a, "ymin"), _side(b, "ymin"))
     return F.greatest(w, F.lit(0)) * F.greatest(h, F.lit(0))
 
 
-def box_area(p: str = "") -> Column:
+def box_area(p: str | Column = "") -> Column:
     return (_side(p, "xmax") - _side(p, "xmin")) * (_side(p, "ymax") - _side(p, "ymin"))
 
 
-def box_overlap_ratio(a: str, b: str) -> Column:
-    """Intersection over union of the boxes with column prefixes ``a`` and ``b``."""
+def box_overlap_ratio(a: str | Column, b: str | Column) -> Column:
+    """Intersection over union of the boxes with column prefixes ``a`` and ``b``; either may be a struct instead."""
     inter = intersection_area(a, b)
     return inter / (box_area(a) + box_area(b) - inter + F.lit(1e-6))
 
