@@ -6,6 +6,7 @@ from brightledger.operators import joins, skew
 from brightledger.operators.ordering import with_position
 from brightledger.plans.registry import query
 from brightledger.plans.view_sql import BOXES, EDGES, GAPS, OHLCV, PRED, RATINGS, TXN, with_views
+from brightledger.session import materialise
 from brightledger.sources.views import predicted_boxes
 
 
@@ -113,11 +114,12 @@ ii AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS item_idx FROM
 @query("j11_dense_id_mapping", _IDS + """SELECT user_idx, item_idx, round(label, 6) AS label FROM ratings
 JOIN ui USING (user_id) JOIN ii USING (item_id)""")
 def _(t):
-    users = t.ratings.select("user_id").union(t.edges.select("src")).union(t.edges.select("dst")).distinct()
-    items = t.ratings.select("item_id").distinct()
-    by_user = skew.salted_join(t.ratings, with_position(users, ["user_id"], name="user_idx"), ["user_id"], spread_by=["item_id"])
+    ratings = materialise(t.ratings, "ratings")
+    users = ratings.select("user_id").union(t.edges.select("src")).union(t.edges.select("dst")).distinct()
+    items = ratings.select("item_id").distinct()
+    by_user = skew.salted_join(ratings, with_position(users, ["user_id"], name="user_idx"), ["user_id"], spread_by=["item_id"])
     return (skew.salted_join(by_user, with_position(items, ["item_id"], name="item_idx"), ["item_id"],
-                             hot=skew.hot_keys(t.ratings, ["item_id"]), spread_by=["user_id"])
+                             hot=skew.hot_keys(ratings, ["item_id"]), spread_by=["user_id"])
             .select("user_idx", "item_idx", r6("label", "label")))
 
 

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from brightledger.operators import joins
+from brightledger.plans.catalog import all_queries
 
 
 def plan(df):
@@ -57,3 +58,7 @@ def test_matching_in_one_list_and_in_rounds_is_the_same(spark, boxes, monkeypatc
     labels = kept_labels(monkeypatch, joins)
     joins.greedy_matches(pairs.filter("filename is not null and box_id is not null and pred_id is not null")).collect()
     assert labels == ["pairs", "crowded"]  # no round was written
+
+
+def test_dense_ids_read_the_lines_once(spark, folder):
+    assert "lineitem" not in plan(all_queries()["j11_dense_id_mapping"](spark, folder))
