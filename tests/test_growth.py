@@ -6,6 +6,7 @@ import pytest
 
 from brightledger.operators import joins
 from brightledger.plans.catalog import all_queries
+from brightledger.sources import files
 
 
 def plan(df):
@@ -62,3 +63,10 @@ def test_matching_in_one_list_and_in_rounds_is_the_same(spark, boxes, monkeypatc
 
 def test_dense_ids_read_the_lines_once(spark, folder):
     assert "lineitem" not in plan(all_queries()["j11_dense_id_mapping"](spark, folder))
+
+
+def test_annotation_files_hold_a_bounded_number_of_documents(spark, tmp_path):
+    documents = spark.range(25).coalesce(1).selectExpr("'f' AS folder", "concat('img_', id) AS filename", "struct(1 AS width, 2 AS height) AS size")
+    files.write_annotations(documents, str(tmp_path / "xml"), per_file=10)
+    assert len(list((tmp_path / "xml").glob("part-*"))) == 3
+    assert files.read_annotation_documents(spark, str(tmp_path / "xml")).count() == 25
