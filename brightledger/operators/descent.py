@@ -79,62 +79,111 @@ def descend(u, i, label, bu, bi, fu, fi, mean: float, rate: float, reg: float, t
 
 STATE = "kind int, id bigint, b double, f array<double>"
 _STATE = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("b", pa.float64()), ("f", pa.list_(pa.float64()))])
+#: Rows of one packed row. Packed rows pass between Spark and Python by the thousand rows instead of one by one.
+CHUNK = 4_096
+# users (kind 0), items (1) and ratings (2) as bytes: id, other end, bias or label, factors; home is the block of a user or an item, a rating's is its users'
+PACKED = "kind int, stratum int, home int, chunk int, id binary, other binary, b binary, f binary"
+_PACKED = pa.schema([*[(c, pa.int32()) for c in ("kind", "stratum", "home", "chunk")], *[(c, pa.binary()) for c in ("id", "other", "b", "f")]])
+
+
+def _packed(kind: int, stratum: int, home: int, ids: np.ndarray, other: np.ndarray, b: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for n, lo in enumerate(range(0, len(ids), CHUNK)):
+        parts = [np.ascontiguousarray(x[lo:lo + CHUNK]).tobytes() for x in (ids, other, b, f)]
+        yield pa.RecordBatch.from_arrays([*[pa.array([int(v)], pa.int32()) for v in (kind, stratum, home, n)], *[pa.array([v], pa.binary()) for v in parts]], schema=_PACKED)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], rank: int) -> Iterator[pa.RecordBatch]:
+    """Rows (kind, stratum, home, id, other, b, f) sorted by the first three, packed; chunks of one kind, stratum and home are numbered in order."""
+    last, n = None, 0
+    for x in batches:
+        keys = np.stack([x.column(c).to_numpy() for c in range(3)])
+        change = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)][:x.num_rows])
+        for lo, hi in zip(change, [*change[1:], x.num_rows]):
+            key, piece = tuple(keys[:, lo].tolist()), x.slice(lo, hi - lo)
+            n = n if key == last else 0
+            last = key
+            f = np.zeros((hi - lo, 0)) if key[0] == 2 else piece.column(6).flatten().to_numpy().reshape(-1, rank)
+            for row in _packed(*key, *[piece.column(c).to_numpy(zero_copy_only=False) for c in (3, 4, 5)], f):
+                yield row.set_column(3, _PACKED.field(3), pa.array([n], pa.int32()))
+                n += 1
+
+
+def packed_strata(ratings: DataFrame) -> DataFrame:
+    """The rows of ``strata`` packed in their order, stored by stratum; done once for all epochs."""
+    rows = ratings.select(F.lit(2).alias("kind"), F.col("stratum").cast("int").alias("stratum"), F.col("block").alias("home"), F.col("u").cast("bigint").alias("id"),
+                          F.col("i").cast("bigint").alias("other"), F.col("label").alias("b"), "place")
+    rows = rows.repartition("stratum", "home").sortWithinPartitions("stratum", "home", "place", "id", "other").drop("place")
+    packed = rows.mapInArrow(lambda b: _numbered(b, 0), PACKED)
+    path = scratch_path(ratings.sparkSession, "strata")
+    packed.write.partitionBy("stratum").parquet(path)
+    return ratings.sparkSession.read.schema(PACKED).parquet(path).select(*_PACKED.names)
+
+
+def packed_state(state: DataFrame, blocks: int, rank: int) -> DataFrame:
+    homes = [F.pmod(F.xxhash64(F.lit(c), F.col("id").cast("int")), F.lit(blocks)).cast("int") for c in ("u", "i")]
+    rows = state.select("kind", F.lit(0).alias("stratum"), F.when(F.col("kind") == 0, homes[0]).otherwise(homes[1]).alias("home"), "id",
+                        F.lit(0).cast("bigint").alias("other"), "b", "f")
+    rows = rows.repartition("kind", "home").sortWithinPartitions("kind", "home", "id")
+    return materialise(rows.mapInArrow(lambda b: _numbered(b, rank), PACKED), "state")
+
+
+def unpacked_state(state: DataFrame, rank: int) -> DataFrame:
+    """(kind, id, b, f) of a packed state."""
+    def run(batches):
+        for x in batches:
+            for kind, ids, b, f in zip(*[x.column(c).to_pylist() for c in (0, 4, 6, 7)]):
+                ids = np.frombuffer(ids, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind), pa.int32()), pa.array(ids), pa.array(np.frombuffer(b, np.float64)),
+                                                  pa.ListArray.from_arrays(np.arange(0, len(ids) * rank + 1, rank, dtype=np.int32), pa.array(np.frombuffer(f, np.float64)))], schema=_STATE)
+
+    return materialise(state.mapInArrow(run, STATE), "state")
 
 
 def _trained(batches: Iterator[pa.RecordBatch], mean: float, rate: float, reg: float, rank: int):
-    """Rows (block, kind, id, other, b, f) sorted by block and kind: users, then items, then ratings, which go by as they come.
+    """Packed rows after their block, sorted by block and kind: users, then items, then ratings, which go by as they come.
 
     A task holds the factors of one block of users and one of items.
     """
-    block, parts = None, None
+    block, parts, homes = None, None, None
 
     def closed():
         for kind in (0, 1):
-            ids, b, f = parts[kind]
-            if len(ids):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind), pa.int32()), pa.array(ids), pa.array(b),
-                                                  pa.ListArray.from_arrays(np.arange(0, len(ids) * rank + 1, rank, dtype=np.int32), pa.array(f.reshape(-1)))], schema=_STATE)
-
-    def fresh():
-        return [[np.zeros(0, np.int64), np.zeros(0), np.zeros((0, rank))] for _ in range(2)]
+            if parts[kind]:
+                yield from _packed(kind, 0, homes[kind], parts[kind][0], np.zeros(len(parts[kind][0]), np.int64), *parts[kind][1:])
 
     for x in batches:
-        of = x.column(0).to_numpy()
-        for lo, hi in zip(starts := np.flatnonzero(np.r_[True, of[1:] != of[:-1]][:len(of)]), [*starts[1:], len(of)]):
-            if of[lo] != block:
+        for of, kind, home, ids, other, b, f in zip(*[x.column(c).to_pylist() for c in (0, 1, 3, 5, 6, 7, 8)]):
+            if of != block:
                 if parts is not None:
                     yield from closed()
-                block, parts = of[lo], fresh()
-            piece = x.slice(lo, hi - lo)
-            kinds = piece.column(1).to_numpy()
-            for kind in (0, 1):
-                rows = piece.filter(pa.array(kinds == kind))
-                if rows.num_rows:
-                    f = rows.column(5).flatten().to_numpy().reshape(-1, rank)
-                    old = parts[kind]
-                    parts[kind] = [np.concatenate([old[0], rows.column(2).to_numpy()]), np.concatenate([old[1], rows.column(4).to_numpy()]), np.concatenate([old[2], f])]
-            rows = piece.filter(pa.array(kinds == 2))
-            if rows.num_rows:
+                block, parts, homes = of, [[], []], [0, 0]
+            ids, b = np.frombuffer(ids, np.int64), np.frombuffer(b, np.float64)
+            if kind < 2:
+                own = [ids, b, np.frombuffer(f, np.float64).reshape(-1, rank)]
+                parts[kind] = [np.concatenate(p) for p in zip(parts[kind], own)] if parts[kind] else [p.copy() for p in own]
+                homes[kind] = home
+            else:
                 (users, bu, fu), (items, bi, fi) = parts
-                u, i = np.searchsorted(users, rows.column(2).to_numpy()), np.searchsorted(items, rows.column(3).to_numpy())
-                descend(u, i, rows.column(4).to_numpy(), bu, bi, fu, fi, mean, rate, reg)
+                u, i = np.searchsorted(users, ids), np.searchsorted(items, np.frombuffer(other, np.int64))
+                descend(u, i, b, bu, bi, fu, fi, mean, rate, reg)
     if parts is not None:
         yield from closed()
 
 
-def train_stratum(state: DataFrame, ratings: DataFrame, stratum: int, blocks: int, mean: float, rate: float, reg: float, rank: int) -> DataFrame:
-    """The state after one stratum; every block is trained in a task of its own."""
-    def side(kind, column, block):
-        rows = state.filter(F.col("kind") == kind).withColumn(column, F.col("id"))
-        return rows.select(block.alias("block"), "kind", "id", F.lit(None).cast("bigint").alias("other"), "b", "f", F.col("id").alias("place"))
+def train_packed(state: DataFrame, ratings: DataFrame, stratum: int, blocks: int, mean: float, rate: float, reg: float, rank: int) -> DataFrame:
+    """The packed state after one stratum; every block is trained in a task of its own."""
+    own = ratings.filter(F.col("stratum") == stratum).select(F.col("home").alias("block"), *_PACKED.names)
+    block = F.when(F.col("kind") == 0, F.col("home")).otherwise(F.pmod(F.col("home") - stratum, F.lit(blocks))).cast("int")
+    rows = state.select(block.alias("block"), *_PACKED.names).unionByName(own)
+    # a hash of the block would put several blocks into one task and none into others
+    rows = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind", "chunk")
+    return materialise(rows.mapInArrow(lambda b: _trained(b, mean, rate, reg, rank), PACKED), "state")
 
-    own = ratings.filter(F.col("stratum") == stratum).select(
-        "block", F.lit(2).alias("kind"), F.col("u").cast("bigint").alias("id"), F.col("i").cast("bigint").alias("other"), F.col("label").alias("b"),
-        F.lit(None).cast("array<double>").alias("f"), "place")
-    users = side(0, "u", F.pmod(F.xxhash64(F.lit("u"), F.col("u").cast("int")), F.lit(blocks)).cast("int"))
-    items = side(1, "i", F.pmod(F.pmod(F.xxhash64(F.lit("i"), F.col("i").cast("int")), F.lit(blocks)) - stratum, F.lit(blocks)).cast("int"))
-    rows = users.unionByName(items).unionByName(own).repartition(blocks, "block").sortWithinPartitions("block", "kind", "place", "id", "other")
-    return materialise(rows.drop("place").mapInArrow(lambda b: _trained(b, mean, rate, reg, rank), STATE), "state")
+
+def train_stratum(state: DataFrame, ratings: DataFrame, stratum: int, blocks: int, mean: float, rate: float, reg: float, rank: int) -> DataFrame:
+    """The state after one stratum, from plain rows of ``first_state`` and ``strata``."""
+    rows = packed_strata(ratings.filter(F.col("stratum") == stratum))
+    return unpacked_state(train_packed(packed_state(state, blocks, rank), rows, stratum, blocks, mean, rate, reg, rank), rank)
 
 
 def fit_by_epochs(ratings: DataFrame, edges: DataFrame | None = None, ranks: DataFrame | None = None, rank: int = 20, epochs: int = 10,
@@ -151,14 +200,16 @@ def fit_by_epochs(ratings: DataFrame, edges: DataFrame | None = None, ranks: Dat
     first = mean_table.first()
     blocks = blocks or block_count(first["n"])
     dense = materialise(dense_ratings(ratings), "dense")
-    rows = strata(dense, blocks, seed)
+    rows = packed_strata(strata(dense, blocks, seed))
     ids = [materialise(dense.select(F.col(c).cast("bigint").alias("id"), k).distinct(), "ids") for c, k in (("u", "user_id"), ("i", "item_id"))]
     trust = materialise(neighbour_weights(edges, ranks), "trust") if edges is not None and ranks is not None else None
     state = materialise(first_state(dense, rank, seed), "state")
     history, model = None, None
     for epoch in range(1, epochs + 1):
+        packed = packed_state(state, blocks, rank)
         for stratum in range(blocks):
-            state = train_stratum(state, rows, stratum, blocks, first["mu"], rate, reg, rank)
+            packed = train_packed(packed, rows, stratum, blocks, first["mu"], rate, reg, rank)
+        state = unpacked_state(packed, rank)
         users, items = (state.filter(F.col("kind") == k).join(ids[k], "id") for k in (0, 1))
         if trust is not None:
             pulled = social_smoothing(users.select("user_id", "f"), trust, rank, rate, strength)

@@ -70,3 +70,18 @@ def test_annotation_files_hold_a_bounded_number_of_documents(spark, tmp_path):
     files.write_annotations(documents, str(tmp_path / "xml"), per_file=10)
     assert len(list((tmp_path / "xml").glob("part-*"))) == 3
     assert files.read_annotation_documents(spark, str(tmp_path / "xml")).count() == 25
+
+
+def test_every_block_of_a_stratum_has_its_own_task(spark):
+    from pyspark.sql import functions as F
+
+    from brightledger.operators import descent
+
+    dense = spark.range(4000).select((F.col("id") % 97).cast("int").alias("u"), (F.col("id") % 89).cast("int").alias("i"), (F.col("id") % 5).alias("label"))
+    rows = descent.strata(dense, 8, 1)
+    ratings = descent.packed_strata(rows)
+    assert ratings.count() <= 64  # bytes of a block and stratum, not a row for every rating
+    state = descent.packed_state(descent.first_state(dense, 3, 1), 8, 3)
+    out = descent.train_packed(state, ratings, 0, 8, 2.0, 0.02, 0.02, 3)
+    files = out.filter("kind = 0").select("home", F.input_file_name().alias("file")).distinct()
+    assert files.count() == files.select("file").distinct().count() == 8
