@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brightledger.functions.strings import word_count
 from brightledger.operators.aggregates import exact_quantiles
+from brightledger.session import materialise
 
 # Letter variants with the form they are unified to; the two zero-width marks
 # become a space and nothing.
@@ -24,6 +25,8 @@ INFORMAL_WORDS = {
     "خخخ": "خنده", "عه": "تعجب", "عهه": "تعجب", "عههه": "تعجب", "عهههه": "تعجب", "اووف": "ناراحتی",
     "اوووف": "ناراحتی", "وای": "تعجب", "ایشالا": "ان\u200cشاءالله", "انشالا": "ان\u200cشاءالله", "الهییی": "دلسوزی",
 }
+#: Hash buckets that runs of words are counted in, and how many of them are looked into first.
+NGRAM_BUCKETS, FIRST_BUCKETS = 1 << 20, 4_096
 WORD = r"(?U)\b\w\w+\b"
 
 
@@ -98,9 +101,33 @@ def ngrams(c: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(c, i, n), " "))
 
 
-def top_ngrams(df: DataFrame, word_list: Column, n: int = 1, k: int = 20) -> DataFrame:
-    """Top-k runs of ``n`` words; ``word_list`` is usually ``words(text)``."""
-    grams = df.select(word_list.alias("w")).select(F.explode(ngrams(F.col("w"), n)).alias("ngram"))
+def top_ngrams(df: DataFrame, word_list: Column, n: int = 1, k: int = 20, buckets: int = NGRAM_BUCKETS, first: int = FIRST_BUCKETS) -> DataFrame:
+    """Top-k runs of ``n`` words; ``word_list`` is usually ``words(text)``.
+
+    Runs of several words are mostly different, so they are counted by hash bucket first, which combines map-side whatever the text
+    holds. Runs of the fullest ``first`` buckets are counted one by one; if the k-th of them isn't ahead of the next bucket as a whole,
+    so are those of every bucket that holds as many. What lies in other buckets can't be among the first k.
+    """
+    lists = df.select(word_list.alias("w"))
+    if n == 1:
+        return _most_frequent(lists.select(F.explode("w").alias("ngram")), k)
+    # as ``ngrams``, but joined place by place after the explode, in compiled code
+    places = lists.filter(F.size("w") >= n).select("w", F.explode(F.sequence(F.lit(0), F.size("w") - n)).alias("i"))
+    grams = places.select(F.concat_ws(" ", *[F.get("w", F.col("i") + j) for j in range(n)]).alias("ngram"))
+    keyed = grams.withColumn("bucket", F.pmod(F.xxhash64("ngram"), F.lit(buckets)))
+    sizes = materialise(keyed.groupBy("bucket").agg(F.count("*").alias("size")), "buckets")
+    fullest = sizes.orderBy(F.desc("size"), "bucket").limit(first + 1).collect()
+    chosen = df.sparkSession.createDataFrame([(r["bucket"],) for r in fullest[:first]], "bucket bigint")
+    top = materialise(_most_frequent(keyed.join(F.broadcast(chosen), "bucket", "left_semi"), k), "ngrams")
+    if len(fullest) > first:
+        counts = [r["n"] for r in top.collect()]
+        least = min(counts) if len(counts) == k else 0
+        if least <= fullest[first]["size"]:
+            top = _most_frequent(keyed.join(sizes.filter(F.col("size") >= least), "bucket", "left_semi"), k)
+    return top.orderBy(F.desc("n"), "ngram")
+
+
+def _most_frequent(grams: DataFrame, k: int) -> DataFrame:
     return grams.groupBy("ngram").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ngram").limit(k)
 
 

@@ -85,3 +85,21 @@ def test_every_block_of_a_stratum_has_its_own_task(spark):
     out = descent.train_packed(state, ratings, 0, 8, 2.0, 0.02, 0.02, 3)
     files = out.filter("kind = 0").select("home", F.input_file_name().alias("file")).distinct()
     assert files.count() == files.select("file").distinct().count() == 8
+
+
+def test_runs_of_words_are_counted_by_bucket_first(spark, monkeypatch):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from brightledger.operators import text
+
+    rnd = random.Random(11)
+    lists = [[rnd.choice("abcdefgh") for _ in range(rnd.randrange(0, 40))] for _ in range(60)]
+    df = spark.createDataFrame([(x,) for x in lists], "w array<string>")
+    labels = kept_labels(monkeypatch, text)
+    for n, buckets, first in ((2, 1 << 20, 4096), (2, 16, 3), (3, 64, 20), (3, 1 << 20, 1), (9, 8, 2)):
+        counts = Counter(" ".join(x[i:i + n]) for x in lists for i in range(len(x) - n + 1))
+        want = sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:20]
+        assert [(r["ngram"], r["n"]) for r in text.top_ngrams(df, F.col("w"), n, 20, buckets, first).collect()] == want
+    assert "buckets" in labels
