@@ -87,6 +87,26 @@ def test_every_block_of_a_stratum_has_its_own_task(spark):
     assert files.count() == files.select("file").distinct().count() == 8
 
 
+def test_settings_that_share_factors_are_measured_in_one_pass(spark, monkeypatch):
+    from brightledger.operators import recommend
+
+    rnd = random.Random(5)
+    rows = [(u, i, float(rnd.randrange(1, 6))) for u in range(30) for i in range(12) if rnd.random() < 0.5]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item_id bigint, label double")
+    edges = spark.createDataFrame([(u, (u * 7 + 1) % 30, 1.0) for u in range(0, 30, 2)], "src bigint, dst bigint, weight double")
+    ranks = spark.createDataFrame([(u, 0.1 + u) for u in range(30)], "node bigint, rank double")
+    prepared, grid = recommend.prepare(ratings, edges, ranks), {"rank": [2], "strength": [0.4, 0.8], "rate": [0.5, 1.0], "iterations": [2]}
+    test = ratings.limit(60)
+    passes, made = [], recommend._HotRatings
+    monkeypatch.setattr(recommend, "_HotRatings", lambda df: passes.append(1) or made(df))
+    got = {(r["rate"], r["strength"]): r for r in recommend.grid_search(prepared, test, grid).collect()}
+    assert len(got) == 4 and len(passes) == 1
+    known = recommend.factors(prepared, rank=2, iterations=2)
+    for (rate, strength), r in got.items():
+        want = recommend.fit_quality(recommend.fit(prepared, rank=2, iterations=2, rate=rate, strength=strength, known=known), test).first()
+        assert all(r[c] == pytest.approx(want[c], abs=1e-12) for c in ("mae", "rmse", "mse", "r2"))
+
+
 def test_runs_of_words_are_counted_by_bucket_first(spark, monkeypatch):
     from collections import Counter
 
