@@ -123,3 +123,27 @@ def test_runs_of_words_are_counted_by_bucket_first(spark, monkeypatch):
         want = sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:20]
         assert [(r["ngram"], r["n"]) for r in text.top_ngrams(df, F.col("w"), n, 20, buckets, first).collect()] == want
     assert "buckets" in labels
+
+
+def test_pairs_of_words_are_counted_once(spark, folder, monkeypatch):
+    from brightledger.operators import word_space as ws
+
+    texts = [[rnd.choice(["the", "of", *"abcdefghij"]) for _ in range(40)] for rnd in [random.Random(3)] for _ in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts], "w array<string>")
+    vocabulary = ws.vocabulary_of(docs, "w")
+    lists, keyed = ws.coded(docs, "w", vocabulary)
+    assert keyed.schema["word"].dataType.simpleString() == "bigint"
+    labels = kept_labels(monkeypatch, ws)
+    found = ws.information(ws.word_pairs(lists, "w", 5), keyed)
+    assert labels.count("pairs") == 1 and "slice" not in plan(found)  # joins read the written counts, not the texts
+    plain = ws.information(ws.word_pairs(docs, "w", 5), vocabulary.select("word", "id"))
+    assert found.count() and values(found) == values(plain)
+
+
+def test_words_that_share_a_hash_are_counted_as_they_are(spark):
+    from brightledger.operators import word_space as ws
+
+    docs = spark.createDataFrame([(["a", "b", "a"],)], "w array<string>")
+    twice = spark.createDataFrame([("a", 0), ("a", 1)], "word string, id bigint")
+    lists, keyed = ws.coded(docs, "w", twice)
+    assert lists.first()["w"] == ["a", "b", "a"] and keyed.schema["word"].dataType.simpleString() == "string"
