@@ -147,3 +147,28 @@ def test_words_that_share_a_hash_are_counted_as_they_are(spark):
     twice = spark.createDataFrame([("a", 0), ("a", 1)], "word string, id bigint")
     lists, keyed = ws.coded(docs, "w", twice)
     assert lists.first()["w"] == ["a", "b", "a"] and keyed.schema["word"].dataType.simpleString() == "string"
+
+
+def test_word_vectors_go_to_blocks_of_lists(spark, monkeypatch):
+    from brightledger.operators import retrieval as rt
+
+    rnd = random.Random(2)
+    words = {f"w{k}": [[rnd.random() if rnd.random() < 0.9 else None for _ in range(3)] for _ in range(2 if k == 5 else 1)] for k in range(30)}
+    words["w7"] = [None]
+    lists = [(k % 50, None if k % 9 == 0 else [rnd.choice([*words, "other", None]) for _ in range(rnd.randrange(0, 7))]) for k in range(70)]
+    docs = spark.createDataFrame([((d, "x"), w) for d, w in lists], "row struct<a: bigint, b: string>, w array<string>")
+    vocabulary = spark.createDataFrame([(w, v) for w, vs in words.items() for v in vs] + [(None, [1.0] * 3)], "word string, vector array<float>")
+    want = {}
+    for d in range(50):
+        met = [v or [None] * 3 for k, w in lists if k == d for x in w or [] for v in words.get(x, [])]
+        parts = [[float(v[i]) for v in met if v[i] is not None] for i in range(3)]
+        want[d] = [sum(p) / len(met) if p else None for p in parts] if met else [0.0] * 3
+    for held, cell in ((65_536, 4_000_000), (7, 20)):
+        monkeypatch.setattr(rt, "HELD_WORDS", held)
+        monkeypatch.setattr(rt, "CELL_TOKENS", cell)
+        out = rt.mean_word_vectors(docs, "row", "w", vocabulary, 3)
+        assert "_sums_by_list" in plan(out) or "MapInArrow" in plan(out)
+        got = out.collect()
+        assert len(got) == 70
+        for r in got:
+            assert [v if v is None else pytest.approx(v, abs=1e-6) for v in want[r["row"]["a"]]] == r["vector"]
