@@ -29,6 +29,14 @@ def with_features(df: DataFrame, array_column: str, name: str = "features") -> D
     return df.withColumn(name, array_to_vector(F.col(array_column).cast("array<double>")))
 
 
+def for_rounds(df: DataFrame) -> DataFrame:
+    """Rows for training in many rounds: in as many partitions as the cluster has cores, at most.
+
+    Every task of a round sends a gradient and its counters to the driver, so what is sent follows the cores and the rounds, not the input.
+    """
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def split_parts(df: DataFrame, key: str, train_ratio: float = 0.8, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     s = random_split(df, key, {"train": train_ratio, "test": 1 - train_ratio}, seed)
     return tuple(s.filter(F.col("split") == p).drop("split") for p in ("train", "test"))

@@ -58,12 +58,12 @@ def _(t):
 def labelled_vectors(t):
     """Vectors of documents that carry a quality label."""
     j = t.embeddings.select(F.col("vec_id").alias("doc_id"), "embedding").join(t.labels, "doc_id")
-    return materialise(m.with_features(j, "embedding").select("doc_id", "features", F.col("quality").alias("label")), "labelled")
+    return m.for_rounds(materialise(m.with_features(j, "embedding").select("doc_id", "features", F.col("quality").alias("label")), "labelled"))
 
 
 def class_vectors(t):
     v = m.with_features(t.embeddings, "embedding").select("vec_id", "features", (F.col("label") % 3).alias("label"))
-    return materialise(v, "vectors")
+    return m.for_rounds(materialise(v, "vectors"))
 
 
 def price_rows(t):

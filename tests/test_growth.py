@@ -172,3 +172,16 @@ def test_word_vectors_go_to_blocks_of_lists(spark, monkeypatch):
         assert len(got) == 70
         for r in got:
             assert [v if v is None else pytest.approx(v, abs=1e-6) for v in want[r["row"]["a"]]] == r["vector"]
+
+
+def test_rounds_of_training_have_no_more_tasks_than_cores(spark, folder):
+    from brightledger.operators import models
+    from brightledger.plans import learning
+    from brightledger.sources.tables import Tables
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 1000, 1, 5 * cores)
+    assert models.for_rounds(rows).rdd.getNumPartitions() == cores and models.for_rounds(rows).count() == 1000
+    assert models.for_rounds(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 1
+    for made in (learning.labelled_vectors, learning.class_vectors):
+        assert "Coalesce" in plan(made(Tables(spark, folder)))
