@@ -185,3 +185,24 @@ def test_rounds_of_training_have_no_more_tasks_than_cores(spark, folder):
     assert models.for_rounds(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 1
     for made in (learning.labelled_vectors, learning.class_vectors):
         assert "Coalesce" in plan(made(Tables(spark, folder)))
+
+
+def test_hot_ratings_are_known_from_the_biases_counts(spark, monkeypatch):
+    from brightledger.operators import recommend
+
+    rnd = random.Random(9)
+    rows = [(u if rnd.random() < 0.5 else 1, i, float(rnd.randrange(1, 6))) for u in range(30) for i in range(12)]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item_id bigint, label double")
+    searched, search = [], recommend.hot_keys
+    monkeypatch.setattr(recommend, "hot_keys", lambda df, keys: searched.append(keys) or search(df, keys))
+    hot = recommend._HotRatings(ratings)
+    recommend.bias_baseline(ratings, hot=hot)
+    assert not searched
+    assert {k: hot._hot(k) for k in ("user_id", "item_id")} == {k: search(ratings, [k]) for k in ("user_id", "item_id")}
+
+
+def test_lines_meet_orders_and_are_summed_once(spark, folder):
+    from brightledger.sources.tables import Tables
+
+    text = Tables(spark, folder).ratings._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Aggregate") == 1
