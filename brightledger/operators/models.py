@@ -37,8 +37,11 @@ def for_rounds(df: DataFrame) -> DataFrame:
     return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def split_parts(df: DataFrame, key: str, train_ratio: float = 0.8, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def split_parts(df: DataFrame, key: str, train_ratio: float = 0.8, seed: int = SEED, stored: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows. With ``stored``, rows are written with their part first, so keys are hashed once and not in every pass of every fit."""
     s = random_split(df, key, {"train": train_ratio, "test": 1 - train_ratio}, seed)
+    if stored:
+        s = materialise(s, stored)
     return tuple(s.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
 
 

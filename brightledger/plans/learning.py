@@ -66,11 +66,15 @@ def class_vectors(t):
     return m.for_rounds(materialise(v, "vectors"))
 
 
-def price_rows(t):
+def price_vectors(t):
     cols = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
     rows = t.lineitem.withColumn("key", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), F.lit(2 ** 31)))
     v = VectorAssembler(inputCols=cols, outputCol="features").transform(rows)
-    return materialise(v.select("key", "features", F.col("l_extendedprice").alias("label")), "prices")
+    return v.select("key", "features", F.col("l_extendedprice").alias("label"))
+
+
+def price_rows(t):
+    return materialise(price_vectors(t), "prices")
 
 
 @query("l8_logistic_regression_cv")
@@ -98,7 +102,7 @@ def _(t):
 
 @query("l11_regressors")
 def _(t):
-    train, test = m.split_parts(price_rows(t), "key")
+    train, test = m.split_parts(price_vectors(t), "key", stored="prices")
     return m.compare(m.regressors(), train, test, "label", "regression")
 
 
@@ -169,7 +173,7 @@ def _(t):
 
 @query("l17_score_table")
 def _(t):
-    train, test = m.split_parts(price_rows(t), "key")
+    train, test = m.split_parts(price_vectors(t), "key", stored="prices")
     return m.score_table(m.regressors()["linear_regression"].fit(train), test, "key")
 
 

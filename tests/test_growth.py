@@ -206,3 +206,12 @@ def test_lines_meet_orders_and_are_summed_once(spark, folder):
 
     text = Tables(spark, folder).ratings._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Aggregate") == 1
+
+
+def test_stored_parts_are_hashed_once(spark):
+    from brightledger.operators import models
+    df = spark.range(200).select(F.col("id").alias("key"), (F.col("id") * 2.0).alias("label"))
+    stored, plain = models.split_parts(df, "key", stored="prices"), models.split_parts(df, "key")
+    for a, b in zip(stored, plain):
+        assert sorted(a.collect()) == sorted(b.collect()) and a.columns == b.columns
+        assert "md5" not in a._jdf.queryExecution().optimizedPlan().toString() and "md5" in b._jdf.queryExecution().optimizedPlan().toString()
