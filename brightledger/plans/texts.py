@@ -246,19 +246,19 @@ FROM qt JOIN post p USING (term) JOIN df USING (term) JOIN len USING (doc_id), s
 kw AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM sc) """
 
 
-def keyword_queries(tokens):
+def keyword_queries(counted):
     """The three most frequent longer words of each language."""
-    counted = tokens.select(F.col("lang").alias("query_id"), F.explode("w").alias("term")).filter(
-        F.length("term") >= 4).groupBy("query_id", "term").agg(F.count("*").alias("n"))
+    terms = counted.select(F.col("lang").alias("query_id"), F.inline("terms")).filter(
+        F.length("term") >= 4).groupBy("query_id", "term").agg(F.sum("tf").alias("n"))
     w = Window.partitionBy("query_id").orderBy(F.desc("n"), "term")
-    return counted.withColumn("r", F.row_number().over(w)).filter("r <= 3").select("query_id", "term")
+    return terms.withColumn("r", F.row_number().over(w)).filter("r <= 3").select("query_id", "term")
 
 
 def asked_index(t):
     """Stored postings and lengths of the documents, and the terms asked for."""
-    tokens = materialise(t.documents.select("doc_id", "lang", tx.words(F.col("text")).alias("w")), "tokens")
-    postings, lengths = rt.build_index(tokens, "doc_id", F.col("w"))
-    return postings, lengths, materialise(keyword_queries(tokens), "asked")
+    counted = rt.count_terms(t.documents, ["doc_id", "lang"], tx.words(F.col("text")))
+    postings, lengths = rt.build_index(counted, "doc_id")
+    return postings, lengths, materialise(keyword_queries(counted), "asked")
 
 
 @query("x15_keyword_search", "WITH " + _BM25 + "SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM kw WHERE rank <= 5")
