@@ -284,9 +284,11 @@ def _(t):
 trim(string_split(text, ',')[1], ' ') AS first_item, trim(string_split(text, ',')[-1], ' ') AS last_item FROM documents""")
 def _(t):
     items = strings.split_list(F.col("text"), "None")
+    # a text without a list is one item as it is, and a missing text has none, not even a number of them
+    items = F.when(F.size(items) > 0, items).when(F.col("text").isNotNull(), F.array(F.trim("text")))
     return t.documents.select("doc_id", items.alias("i")).select(
-        "doc_id", F.size("i").alias("n_items"), F.col("i")[0].alias("first_item"),
-        F.element_at("i", -1).alias("last_item"))
+        "doc_id", F.when(F.col("i").isNotNull(), F.size("i")).alias("n_items"), F.get("i", 0).alias("first_item"),
+        F.try_element_at("i", F.lit(-1)).alias("last_item"))
 
 
 @query("f10_lengths", r"""WITH d AS (SELECT doc_id, text,

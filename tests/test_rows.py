@@ -37,6 +37,21 @@ def test_list_splitting(spark):
     assert [one(spark, v, c, "string") for v in ("a, b ,c", "None", "", None)] == ["a|b|c", "", "", ""]
 
 
+def test_lists_of_texts_without_items(spark, tmp_path):
+    import duckdb
+    from compare import differences
+
+    from brightledger.plans.catalog import all_queries, all_sql
+
+    texts = ["a, b ,c", "one", "None", "", "  ", None, ", ", "x,"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    diff, n = differences(all_queries()["f9_split_list"](spark, str(tmp_path)), con, all_sql()["f9_split_list"])
+    assert diff is None, diff
+    assert n == len(texts)
+
+
 def test_plate_normalisation(spark):
     assert one(spark, " oO1l]B ", strings.normalise_plate(F.col("v")), "string") == "00111B"
     assert one(spark, " QS|s Z-B.\n", strings.normalise_plate_wide(F.col("v")), "string") == "051528"
