@@ -72,6 +72,18 @@ def test_annotation_files_hold_a_bounded_number_of_documents(spark, tmp_path):
     assert files.read_annotation_documents(spark, str(tmp_path / "xml")).count() == 25
 
 
+def test_annotation_files_are_compressed(spark, tmp_path):
+    documents = spark.range(500).selectExpr("'f' AS folder", "concat('img_', id) AS filename", "struct(1 AS width, 2 AS height) AS size",
+                                            "array(struct(struct(1 AS xmin, 2 AS ymin, 3 AS xmax, 4 AS ymax) AS bndbox, ' a b ' AS ocr_text, 1 AS worth_ocr)) AS object")
+    sizes = {}
+    for name, options in (("plain", {"compression": "none"}), ("as_is", {})):
+        files.write_annotations(documents.coalesce(1), str(tmp_path / name), **options)
+        sizes[name] = sum(f.stat().st_size for f in (tmp_path / name).glob("part-*"))
+    assert sizes["as_is"] * 10 < sizes["plain"]
+    plain, rows = (files.annotation_rows(files.read_annotation_documents(spark, str(tmp_path / name))).orderBy("filename").collect() for name in sizes)
+    assert rows == plain and len(rows) == 500
+
+
 def test_every_block_of_a_stratum_has_its_own_task(spark):
     from pyspark.sql import functions as F
 
