@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from brightledger.operators.evaluation import regression_summary
 from brightledger.operators.graph import neighbour_weights
 from brightledger.operators.recommend import MAX_RATING, RatingModel, dense_ratings, social_smoothing
-from brightledger.session import materialise, scratch_path
+from brightledger.session import drop_stage, materialise
 
 #: Ratings of one block in one stratum, about.
 BLOCK_RATINGS = 250_000
@@ -37,9 +37,7 @@ def strata(dense: DataFrame, blocks: int, seed: int) -> DataFrame:
     rows = dense.select("u", "i", F.col("label").cast("double").alias("label"), _block("u", blocks).alias("block"), _block("i", blocks).alias("to"))
     rows = rows.select("u", "i", "label", F.pmod(F.col("to") - F.col("block"), F.lit(blocks)).alias("stratum"), "block",
                        F.xxhash64(F.lit(seed), "u", "i").alias("place"))
-    path = scratch_path(dense.sparkSession, "strata")
-    rows.write.partitionBy("stratum").parquet(path)
-    return dense.sparkSession.read.parquet(path)
+    return materialise(rows, "strata", partition_by="stratum")
 
 
 def first_state(dense: DataFrame, rank: int, seed: int) -> DataFrame:
@@ -86,26 +84,36 @@ PACKED = "kind int, stratum int, home int, chunk int, id binary, other binary, b
 _PACKED = pa.schema([*[(c, pa.int32()) for c in ("kind", "stratum", "home", "chunk")], *[(c, pa.binary()) for c in ("id", "other", "b", "f")]])
 
 
-def _packed(kind: int, stratum: int, home: int, ids: np.ndarray, other: np.ndarray, b: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for n, lo in enumerate(range(0, len(ids), CHUNK)):
+def _packed(kind: int, stratum: int, home: int, ids: np.ndarray, other: np.ndarray, b: np.ndarray, f: np.ndarray, first: int = 0) -> Iterator[pa.RecordBatch]:
+    for n, lo in enumerate(range(0, len(ids), CHUNK), first):
         parts = [np.ascontiguousarray(x[lo:lo + CHUNK]).tobytes() for x in (ids, other, b, f)]
         yield pa.RecordBatch.from_arrays([*[pa.array([int(v)], pa.int32()) for v in (kind, stratum, home, n)], *[pa.array([v], pa.binary()) for v in parts]], schema=_PACKED)
 
 
 def _numbered(batches: Iterator[pa.RecordBatch], rank: int) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, stratum, home, id, other, b, f) sorted by the first three, packed; chunks of one kind, stratum and home are numbered in order."""
-    last, n = None, 0
+    """Rows (kind, stratum, home, id, other, b, f) sorted by the first three, packed; chunks of one kind, stratum and home are numbered in order.
+
+    Rows of a chunk are gathered over batches, so that chunks don't follow the size of these.
+    """
+    last, held, n = None, None, 0
     for x in batches:
         keys = np.stack([x.column(c).to_numpy() for c in range(3)])
         change = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)][:x.num_rows])
         for lo, hi in zip(change, [*change[1:], x.num_rows]):
             key, piece = tuple(keys[:, lo].tolist()), x.slice(lo, hi - lo)
-            n = n if key == last else 0
-            last = key
             f = np.zeros((hi - lo, 0)) if key[0] == 2 else piece.column(6).flatten().to_numpy().reshape(-1, rank)
-            for row in _packed(*key, *[piece.column(c).to_numpy(zero_copy_only=False) for c in (3, 4, 5)], f):
-                yield row.set_column(3, _PACKED.field(3), pa.array([n], pa.int32()))
-                n += 1
+            new = [*[piece.column(c).to_numpy(zero_copy_only=False) for c in (3, 4, 5)], f]
+            if key != last:
+                if last is not None:
+                    yield from _packed(*last, *held, n)
+                last, held, n = key, new, 0
+            else:
+                held = [np.concatenate(p) for p in zip(held, new)]
+            if full := len(held[0]) // CHUNK:
+                yield from _packed(*last, *[c[:full * CHUNK] for c in held], n)
+                n, held = n + full, [c[full * CHUNK:] for c in held]
+    if last is not None:
+        yield from _packed(*last, *held, n)
 
 
 def packed_strata(ratings: DataFrame) -> DataFrame:
@@ -113,10 +121,7 @@ def packed_strata(ratings: DataFrame) -> DataFrame:
     rows = ratings.select(F.lit(2).alias("kind"), F.col("stratum").cast("int").alias("stratum"), F.col("block").alias("home"), F.col("u").cast("bigint").alias("id"),
                           F.col("i").cast("bigint").alias("other"), F.col("label").alias("b"), "place")
     rows = rows.repartition("stratum", "home").sortWithinPartitions("stratum", "home", "place", "id", "other").drop("place")
-    packed = rows.mapInArrow(lambda b: _numbered(b, 0), PACKED)
-    path = scratch_path(ratings.sparkSession, "strata")
-    packed.write.partitionBy("stratum").parquet(path)
-    return ratings.sparkSession.read.schema(PACKED).parquet(path).select(*_PACKED.names)
+    return materialise(rows.mapInArrow(lambda b: _numbered(b, 0), PACKED), "strata", partition_by="stratum")
 
 
 def packed_state(state: DataFrame, blocks: int, rank: int) -> DataFrame:
@@ -139,23 +144,22 @@ def unpacked_state(state: DataFrame, rank: int) -> DataFrame:
     return materialise(state.mapInArrow(run, STATE), "state")
 
 
-def _trained(batches: Iterator[pa.RecordBatch], mean: float, rate: float, reg: float, rank: int):
+_RATED = "label double, prediction double"
+_ARROW_RATED = pa.schema([("label", pa.float64()), ("prediction", pa.float64())])
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], rank: int, rated, closed) -> Iterator[pa.RecordBatch]:
     """Packed rows after their block, sorted by block and kind: users, then items, then ratings, which go by as they come.
 
+    ``rated`` gets the ratings with the parts of users and of items (ids, biases, factors); ``closed`` gets these at a block's end, with their homes.
     A task holds the factors of one block of users and one of items.
     """
     block, parts, homes = None, None, None
-
-    def closed():
-        for kind in (0, 1):
-            if parts[kind]:
-                yield from _packed(kind, 0, homes[kind], parts[kind][0], np.zeros(len(parts[kind][0]), np.int64), *parts[kind][1:])
-
     for x in batches:
         for of, kind, home, ids, other, b, f in zip(*[x.column(c).to_pylist() for c in (0, 1, 3, 5, 6, 7, 8)]):
             if of != block:
                 if parts is not None:
-                    yield from closed()
+                    yield from closed(parts, homes)
                 block, parts, homes = of, [[], []], [0, 0]
             ids, b = np.frombuffer(ids, np.int64), np.frombuffer(b, np.float64)
             if kind < 2:
@@ -163,21 +167,56 @@ def _trained(batches: Iterator[pa.RecordBatch], mean: float, rate: float, reg: f
                 parts[kind] = [np.concatenate(p) for p in zip(parts[kind], own)] if parts[kind] else [p.copy() for p in own]
                 homes[kind] = home
             else:
-                (users, bu, fu), (items, bi, fi) = parts
-                u, i = np.searchsorted(users, ids), np.searchsorted(items, np.frombuffer(other, np.int64))
-                descend(u, i, b, bu, bi, fu, fi, mean, rate, reg)
+                yield from rated(np.searchsorted(parts[0][0], ids), np.searchsorted(parts[1][0], np.frombuffer(other, np.int64)), b, parts)
     if parts is not None:
-        yield from closed()
+        yield from closed(parts, homes)
 
 
-def train_packed(state: DataFrame, ratings: DataFrame, stratum: int, blocks: int, mean: float, rate: float, reg: float, rank: int) -> DataFrame:
-    """The packed state after one stratum; every block is trained in a task of its own."""
+def _trained(batches: Iterator[pa.RecordBatch], mean: float, rate: float, reg: float, rank: int) -> Iterator[pa.RecordBatch]:
+    """The packed users and items after their block is trained."""
+    def rated(u, i, label, parts):
+        (_, bu, fu), (_, bi, fi) = parts
+        descend(u, i, label, bu, bi, fu, fi, mean, rate, reg)
+        return ()
+
+    def closed(parts, homes):
+        for kind in (0, 1):
+            if parts[kind]:
+                yield from _packed(kind, 0, homes[kind], parts[kind][0], np.zeros(len(parts[kind][0]), np.int64), *parts[kind][1:])
+
+    return _by_block(batches, rank, rated, closed)
+
+
+def _predicted(batches: Iterator[pa.RecordBatch], mean: float, rank: int, top: float = MAX_RATING) -> Iterator[pa.RecordBatch]:
+    """(label, prediction) of the ratings, as ``RatingModel.predict`` has them."""
+    def rated(u, i, label, parts):
+        (_, bu, fu), (_, bi, fi) = parts
+        guess = np.clip(mean + bu[u] + bi[i] + np.einsum("nk,nk->n", fu[u], fi[i]), 0.0, top)
+        yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(guess)], schema=_ARROW_RATED)
+
+    return _by_block(batches, rank, rated, lambda parts, homes: ())
+
+
+def _met(state: DataFrame, ratings: DataFrame, stratum: int, blocks: int) -> DataFrame:
+    """The packed state and a stratum's ratings, after their block; every block in a task of its own."""
     own = ratings.filter(F.col("stratum") == stratum).select(F.col("home").alias("block"), *_PACKED.names)
     block = F.when(F.col("kind") == 0, F.col("home")).otherwise(F.pmod(F.col("home") - stratum, F.lit(blocks))).cast("int")
     rows = state.select(block.alias("block"), *_PACKED.names).unionByName(own)
     # a hash of the block would put several blocks into one task and none into others
-    rows = rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind", "chunk")
-    return materialise(rows.mapInArrow(lambda b: _trained(b, mean, rate, reg, rank), PACKED), "state")
+    return rows.repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind", "chunk")
+
+
+def train_packed(state: DataFrame, ratings: DataFrame, stratum: int, blocks: int, mean: float, rate: float, reg: float, rank: int) -> DataFrame:
+    """The packed state after one stratum; every block is trained in a task of its own."""
+    return materialise(_met(state, ratings, stratum, blocks).mapInArrow(lambda b: _trained(b, mean, rate, reg, rank), PACKED), "state")
+
+
+def predicted(state: DataFrame, ratings: DataFrame, blocks: int, mean: float, rank: int) -> DataFrame:
+    """(label, prediction) of all packed ratings by a packed state, a stratum after the other: ratings stay where they are, and factors go to them once."""
+    out = None
+    for stratum in range(blocks):
+        out = materialise(_met(state, ratings, stratum, blocks).mapInArrow(lambda b: _predicted(b, mean, rank), _RATED), "rated", onto=out)
+    return out
 
 
 def train_stratum(state: DataFrame, ratings: DataFrame, stratum: int, blocks: int, mean: float, rate: float, reg: float, rank: int) -> DataFrame:
@@ -192,34 +231,53 @@ def fit_by_epochs(ratings: DataFrame, edges: DataFrame | None = None, ranks: Dat
     """The model and (epoch, rate, mae, rmse, mse, r2) after every epoch on ``ratings`` (user_id, item_id, label).
 
     After an epoch users move toward those they trust (``edges`` and ``ranks``, as in ``recommend.prepare``), then the rate
-    decays. A stratum's state is written under ``spark.checkpoint.dir``: a lost executor repeats one stratum at most. A user with
-    very many ratings is trained in one task of a stratum after the other, as the method asks; its ratings go by in batches.
+    decays. A stratum's state is written under ``spark.checkpoint.dir``: a lost executor repeats one stratum at most, and the state
+    before it is deleted. A user with very many ratings is trained in one task of a stratum after the other, as the method asks; its
+    ratings go by in batches.
     """
     ratings = materialise(ratings.filter("user_id is not null and item_id is not null and label is not null"), "ratings")
     mean_table = materialise(ratings.agg(F.avg("label").alias("mu"), F.count("*").alias("n")), "mean")
     first = mean_table.first()
     blocks = blocks or block_count(first["n"])
     dense = materialise(dense_ratings(ratings), "dense")
-    rows = packed_strata(strata(dense, blocks, seed))
+    drop_stage(ratings)
+    dealt = strata(dense, blocks, seed)
+    rows = packed_strata(dealt)
+    drop_stage(dealt)
     ids = [materialise(dense.select(F.col(c).cast("bigint").alias("id"), k).distinct(), "ids") for c, k in (("u", "user_id"), ("i", "item_id"))]
     trust = materialise(neighbour_weights(edges, ranks), "trust") if edges is not None and ranks is not None else None
-    state = materialise(first_state(dense, rank, seed), "state")
-    history, model = None, None
+    start = materialise(first_state(dense, rank, seed), "state")
+    packed = packed_state(start, blocks, rank)
+    for x in (dense, start):
+        drop_stage(x)
+    history, model, before = None, None, []
     for epoch in range(1, epochs + 1):
-        packed = packed_state(state, blocks, rank)
         for stratum in range(blocks):
-            packed = train_packed(packed, rows, stratum, blocks, first["mu"], rate, reg, rank)
-        state = unpacked_state(packed, rank)
+            trained = train_packed(packed, rows, stratum, blocks, first["mu"], rate, reg, rank)
+            drop_stage(packed)
+            packed = trained
+        made = [unpacked_state(packed, rank)]
+        drop_stage(packed)
+        state = made[0]
         users, items = (state.filter(F.col("kind") == k).join(ids[k], "id") for k in (0, 1))
         if trust is not None:
             pulled = social_smoothing(users.select("user_id", "f"), trust, rank, rate, strength)
             users = materialise(users.drop("f").join(pulled, "user_id"), "users")
+            made.append(users)
             state = users.select("kind", "id", "b", "f").unionByName(state.filter("kind = 1"))
+        for x in before:
+            drop_stage(x)
+        before = made
         model = RatingModel(mean_table.select("mu"), users.select("user_id", F.col("b").alias("b_u")), items.select("item_id", F.col("b").alias("b_i")),
                             users.select("user_id", "f"), items.select("item_id", "f"))
-        quality = regression_summary(model.predict(ratings), "label", "prediction").select(
+        packed = packed_state(state, blocks, rank)
+        rated = predicted(packed, rows, blocks, first["mu"], rank)
+        quality = regression_summary(rated, "label", "prediction").select(
             F.lit(epoch).alias("epoch"), F.lit(rate).alias("rate"), "mae", "rmse", "mse", "r2")
         quality = materialise(quality, "quality")
+        drop_stage(rated)
         history = quality if history is None else history.unionByName(quality)
         rate *= decay
+    drop_stage(packed)
+    drop_stage(rows)
     return model, history

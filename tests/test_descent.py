@@ -75,3 +75,33 @@ def test_error_falls_by_epoch(spark):
     assert all(a["rmse"] > b["rmse"] for a, b in zip(rows, rows[1:])) and rows[-1]["r2"] > 0.3
     assert rows[1]["rate"] == pytest.approx(0.05 * 0.95)
     assert model.predict(df).filter("prediction < 0 or prediction > 5").isEmpty()
+
+
+def test_packed_predictions_equal_the_model_and_one_state_is_kept(spark, monkeypatch, tmp_path):
+    import os
+
+    from brightledger import session
+
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path))
+    df = spark.createDataFrame(ratings_of(n=400), "user_id bigint, item_id bigint, label double")
+    model, history = descent.fit_by_epochs(df, rank=3, epochs=3, rate=0.05, blocks=3)
+    left = [d.rsplit("-", 1)[0] for d in os.listdir(tmp_path)]
+    # 27 strata and 3 epochs were trained and measured; the last epoch's state is what the model reads
+    assert left.count("state") == 1 and not {"strata", "dense", "ratings", "rated"} & set(left)
+    last = history.orderBy(F.desc("epoch")).first()
+    errors = model.predict(df).select((F.col("prediction") - F.col("label")).alias("e")).agg(F.avg(F.abs("e")).alias("mae"), F.sqrt(F.avg(F.col("e") ** 2)).alias("rmse")).first()
+    assert last["mae"] == pytest.approx(errors["mae"], abs=1e-12) and last["rmse"] == pytest.approx(errors["rmse"], abs=1e-12)
+
+
+def test_chunks_do_not_follow_the_size_of_batches(spark):
+    dense = spark.range(900).select((F.col("id") % 31).cast("int").alias("u"), (F.col("id") % 29).cast("int").alias("i"), (F.col("id") % 5).alias("label"))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, found = spark.conf.get(key), []
+    try:
+        for n in ("10000", "17"):
+            spark.conf.set(key, n)
+            packed = descent.packed_strata(descent.strata(dense, 2, 1)).orderBy("stratum", "home", "chunk").collect()
+            found.append(packed)
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] == found[1] and len(found[0]) == 4
