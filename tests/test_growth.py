@@ -229,3 +229,27 @@ def test_stored_parts_are_hashed_once(spark):
     for a, b in zip(stored, plain):
         assert sorted(a.collect()) == sorted(b.collect()) and a.columns == b.columns
         assert "md5" not in a._jdf.queryExecution().optimizedPlan().toString() and "md5" in b._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_least_squares_keeps_few_shuffles_and_blocks_follow_the_ratings(spark, monkeypatch):
+    from brightledger.operators import recommend
+
+    rnd = random.Random(9)
+    rows = [(u, i, float(rnd.randrange(1, 6))) for u in range(40) for i in range(25) if rnd.random() < 0.5]
+    prepared = recommend.prepare(spark.createDataFrame(rows, "user_id bigint, item_id bigint, label double"))
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {str(b).split("_")[1] for b in manager.getAllBlocks().mkString(" ").split() if str(b).startswith("shuffle_")}
+
+    made, als = [], recommend.ALS
+    monkeypatch.setattr(recommend, "ALS", lambda **given: made.append(given) or als(**given))
+    before = shuffles()
+    users, items = recommend.factors(prepared, rank=3, iterations=10)
+    assert len(shuffles() - before) < 10  # two in each of ten iterations
+    assert users.count() == 40 and items.count() == 25
+    monkeypatch.setattr(recommend, "ALS_BLOCK_RATINGS", 20)
+    recommend.factors(prepared, rank=3, iterations=1)
+    assert [g["numUserBlocks"] for g in made] == [g["numItemBlocks"] for g in made] == [10, -(-len(rows) // 20)]
+    model = recommend.fit(prepared, rank=3, iterations=10, known=(users, items))
+    assert recommend.fit_quality(model, spark.createDataFrame(rows, "user_id bigint, item_id bigint, label double")).first()["r2"] > 0.3
